@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,64 +45,73 @@ def quantile_limits(
     names: Sequence[str] = ("lower", "upper"),
     approximate: bool = False,
     accuracy: int = 10000,
+    rows_per_range: int = 1_000_000,
 ) -> DataFrame:
     """One row of quantiles, interpolated between neighbours, over all rows.
 
     ``approximate`` takes one pass and returns values near the quantiles that
     occur in the data, with a rank error of ``1/accuracy``. The exact form
-    counts rows per bin, then splits only the bins that hold a wanted rank
-    until few enough distinct values are left to count one by one. Every table
-    it brings together is bounded by the number format, not by the data.
+    counts rows per bin of values and goes on with only the bins that hold a
+    wanted rank: a bin of more than ``rows_per_range`` rows is split and
+    counted again, the others have their distinct values counted. No task and
+    no driver step ever holds more than the bins of one pass. The passes that
+    find the bins run when this is called.
     """
     if len(q) != len(names):
         raise ValueError("one name is needed per quantile")
-    floats32 = isinstance(df.schema[column].dataType, T.FloatType)
-    values = df.select(_number(df, column).cast("double").alias("v")).where(
-        F.col("v").isNotNull()
-    )
+    kind = df.schema[column].dataType
+    value = F.col(column) if isinstance(kind, _FLOATING) else F.col(column).cast("double")
+    present = df.where(value.isNotNull() & ~F.isnan(value)).select(value.alias("v"))
+    v = F.col("v")
     if approximate:
-        found = F.percentile_approx("v", [float(x) for x in q], accuracy)
-        return values.agg(found.alias("_f")).select(
+        found = F.percentile_approx(v.cast("double"), [float(x) for x in q], accuracy)
+        return present.agg(found.alias("_f")).select(
             *(F.get("_f", F.lit(i)).alias(n) for i, n in enumerate(names))
         )
 
-    keys = ["_bin"]
-    binned = values.select("v", _coarse_bin(F.col("v")).alias("_bin"))
-    bins = _bins_with_ranks(binned, keys, q)
-    # A coarse bin holds at most about 2^17 distinct 32-bit values and 2^46
-    # 64-bit ones; two splits by 2^16 bring the latter down to 2^14.
-    for depth in range(0 if floats32 else 2):
-        fine = f"_fine{depth}"
-        binned = _inside(binned, bins, keys).select(
-            "v", *keys, "_base", "_total", _split(F.col("v")).alias(fine)
+    counted = _count(present.withColumn("_bin", _coarse_bin(v)), "_bin")
+    placed = counted.select(
+        "_n", "_lo", "_hi",
+        (F.sum("_n").over(Window.orderBy("_bin")) - F.col("_n")).alias("_base"),
+        F.sum("_n").over(Window.partitionBy()).alias("_total"),
+    )
+    ranks = [(F.col("_total") - 1) * F.lit(float(x)) for x in q]
+    wanted = reduce(or_, (_holds(edge(r)) for r in ranks for edge in (F.floor, F.ceil)))
+    ranges = placed.where(wanted).collect()
+    if not ranges:
+        absent = T.StructType([T.StructField(n, T.DoubleType()) for n in names])
+        return df.sparkSession.createDataFrame([(None,) * len(names)], absent)
+
+    total = ranges[0]["_total"]
+    targets = [(total - 1) * float(x) for x in q]
+    edges = sorted({edge(t) for t in targets for edge in (math.floor, math.ceil)})
+    while any(r["_n"] > rows_per_range and r["_lo"] < r["_hi"] for r in ranges):
+        counted = _count(
+            _inside(present, ranges, kind).withColumn("_part", _split(ranges)), "_range", "_part"
         )
-        keys = [*keys, fine]
-        bins = _bins_with_ranks(binned, keys, q)
-        binned = binned.select("v", *keys)
+        within = Window.partitionBy("_range").orderBy("_part")
+        base = _pick(ranges, "_base") + F.sum("_n").over(within) - F.col("_n")
+        placed = counted.select("_n", "_lo", "_hi", base.alias("_base"))
+        ranges = placed.where(reduce(or_, (_holds(F.lit(e)) for e in edges))).collect()
+
+    within = Window.partitionBy("_range").orderBy("v")
+    first = _pick(ranges, "_base") + F.sum("_n").over(within) - F.col("_n")
     counts = (
-        _inside(binned, bins, keys)
-        .groupBy(*keys, "v")
-        .agg(
-            F.count("*").alias("_n"),
-            F.first("_base").alias("_base"),
-            F.first("_total").alias("_total"),
-        )
+        _inside(present, ranges, kind)
+        .groupBy("_range", "v")
+        .agg(F.count("*").alias("_n"))
+        .select(v.cast("double").alias("v"), "_n", first.alias("_base"))
     )
-    before = F.sum("_n").over(Window.partitionBy(*keys).orderBy("v")) - F.col("_n")
-    placed = counts.select("v", "_n", "_total", (F.col("_base") + before).alias("_first"))
-
-    def quantile(x: float) -> Column:
-        rank = (F.col("_total") - 1) * F.lit(float(x))
 
-        def at(position: Column) -> Column:
-            here = position.between(F.col("_first"), F.col("_first") + F.col("_n") - 1)
-            return F.max(F.when(here, F.col("v")))
+    def at(rank: int) -> Column:
+        return F.max(F.when(_holds(F.lit(rank)), v))
 
-        low, high = at(F.floor(rank)), at(F.ceil(rank))
-        part = F.max(rank - F.floor(rank))
+    def quantile(target: float) -> Column:
+        low, high = at(math.floor(target)), at(math.ceil(target))
+        part = F.lit(target - math.floor(target))
         return F.when(low == high, low).otherwise(low + (high - low) * part)
 
-    return placed.agg(*(quantile(x).alias(n) for x, n in zip(q, names)))
+    return counts.agg(*(quantile(t).alias(n) for t, n in zip(targets, names)))
 
 
 # Bins per factor of two. Exponents of finite doubles lie within -1074..1024.
@@ -114,39 +126,34 @@ def _coarse_bin(v: Column) -> Column:
     return F.when(v > 0, size).when(v < 0, -size).otherwise(0)
 
 
-def _split(v: Column) -> Column:
-    """Position of a value among equal parts of its bin's range."""
-    lo, hi = F.col("_lo"), F.col("_hi")
-    part = F.floor((v - lo) / (hi - lo) * _SPLITS).cast("int")
-    return F.when(hi > lo, F.least(part, F.lit(_SPLITS - 1))).otherwise(0)
+def _count(values: DataFrame, *bins: str) -> DataFrame:
+    return values.groupBy(*bins).agg(
+        F.count("*").alias("_n"), F.min("v").alias("_lo"), F.max("v").alias("_hi")
+    )
 
 
-def _bins_with_ranks(binned: DataFrame, keys: list[str], q: Sequence[float]) -> DataFrame:
-    """The few bins that hold a wanted rank, with range and number of values before them."""
-    counts = [F.count("*").alias("_n"), F.min("v").alias("_lo"), F.max("v").alias("_hi")]
-    if len(keys) == 1:
-        order = Window.orderBy(*keys)
-        base, total = F.lit(0), F.sum("_n").over(Window.partitionBy())
-    else:
-        counts += [F.first("_base").alias("_base"), F.first("_total").alias("_total")]
-        order = Window.partitionBy(*keys[:-1]).orderBy(keys[-1])
-        base, total = F.col("_base"), F.col("_total")
-    before = F.sum("_n").over(order) - F.col("_n") + base
-    placed = (
-        binned.groupBy(*keys)
-        .agg(*counts)
-        .select(*keys, "_n", "_lo", "_hi", before.alias("_base"), total.alias("_total"))
-    )
-    wanted = F.lit(False)
-    for x in q:
-        rank = (F.col("_total") - 1) * F.lit(float(x))
-        for position in (F.floor(rank), F.ceil(rank)):
-            wanted = wanted | position.between(
-                F.col("_base"), F.col("_base") + F.col("_n") - 1
-            )
-    return placed.where(wanted).select(*keys, "_lo", "_hi", "_base", "_total")
-
-
-def _inside(binned: DataFrame, bins: DataFrame, keys: list[str]) -> DataFrame:
-    """Values in the kept bins: at most two per quantile, so they can be broadcast."""
-    return binned.join(F.broadcast(bins), keys)
+def _holds(rank: Column) -> Column:
+    return rank.between(F.col("_base"), F.col("_base") + F.col("_n") - 1)
+
+
+def _pick(ranges: list[Row], field: str) -> Column:
+    """A field of the range that a row belongs to."""
+    return F.get(F.array(*(F.lit(r[field]) for r in ranges)), F.col("_range"))
+
+
+def _inside(present: DataFrame, ranges: list[Row], kind: T.DataType) -> DataFrame:
+    """Values within the ranges, which do not overlap, with the number of their range."""
+    exact = kind if isinstance(kind, _FLOATING) else T.DoubleType()
+
+    def within(r: Row) -> Column:
+        return F.col("v").between(F.lit(r["_lo"]).cast(exact), F.lit(r["_hi"]).cast(exact))
+
+    number = F.coalesce(*(F.when(within(r), F.lit(i)) for i, r in enumerate(ranges)))
+    return present.where(reduce(or_, map(within, ranges))).select("v", number.alias("_range"))
+
+
+def _split(ranges: list[Row]) -> Column:
+    """Position of a value among equal parts of its range."""
+    v, lo, hi = F.col("v").cast("double"), _pick(ranges, "_lo"), _pick(ranges, "_hi")
+    part = F.floor((v - lo) / (hi - lo) * _SPLITS).cast("int")
+    return F.when(hi > lo, F.least(part, F.lit(_SPLITS - 1))).otherwise(0)

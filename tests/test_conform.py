@@ -1,0 +1,75 @@
+import pytest
+from pyspark.sql import types as T
+
+from profilelake.operators.conform import (
+    available_columns,
+    conform,
+    uncastable_files,
+    union_outer,
+)
+from profilelake.schema import schema_of
+
+NAN = float("nan")
+
+
+def test_available_columns(spark):
+    df = spark.createDataFrame([(1, 2)], "b int, c int")
+    assert available_columns(df, ["a", "c", "b"]) == ["c", "b"]
+
+
+def test_order_types_and_absent_columns(spark):
+    schema = schema_of(["N_PROF", "TEMP", "TEMP_QC", "LATITUDE", "DIRECTION", "JULD"])
+    df = spark.createDataFrame(
+        [(NAN, 1.5, 3.0, "x"), (2.0, NAN, NAN, "y")],
+        "TEMP double, LATITUDE float, TEMP_QC double, extra string",
+    )
+    got = conform(df, schema)
+    assert got.schema == schema
+    assert [tuple(r) for r in got.collect()] == [
+        (None, None, 3, 1.5, None, None), (None, 2.0, None, None, None, None)
+    ]
+
+
+def test_values_that_do_not_fit(spark):
+    schema = schema_of(["TEMP_QC", "TEMP"])
+    df = spark.createDataFrame(
+        [("f1", "1", "2.5"), ("f1", "NaN", "nan"), ("f2", "x", "1"), ("f3", "99999", "y")],
+        "source_file string, TEMP_QC string, TEMP string",
+    )
+    with pytest.raises(Exception):
+        conform(df, schema).collect()
+    with pytest.raises(ValueError):
+        conform(df, schema, on_error="ignore")
+    nulled = conform(df, schema, on_error="null")
+    assert [tuple(r) for r in nulled.collect()] == [(1, 2.5), (None, None), (None, 1.0), (None, None)]
+    bad = {r.source_file: r.error for r in uncastable_files(df.where("source_file <> 'f1'"), schema).collect()}
+    assert set(bad) == {"f2", "f3"} and "TEMP_QC" in bad["f2"]
+    fitting = spark.createDataFrame([("f", 1.0)], "source_file string, TEMP float")
+    assert uncastable_files(fitting, schema).count() == 0
+
+
+def test_integer_overflow_fails(spark):
+    df = spark.createDataFrame([(200,), (70000,)], "TEMP_QC bigint")
+    with pytest.raises(Exception):
+        conform(df, schema_of(["TEMP_QC"])).collect()
+    assert conform(df.limit(1), schema_of(["TEMP_QC"])).first().TEMP_QC == 200
+
+
+def test_union_outer(spark):
+    a = spark.createDataFrame([(1, 2.0)], "k int, a double")
+    b = spark.createDataFrame([(1, "x"), (1, "x")], "k int, b string")
+    empty = spark.createDataFrame([], "c int")
+    got = union_outer([a, empty, b])
+    assert got.columns == ["k", "a", "c", "b"] and got.count() == 3
+    assert got.where("a is null and b = 'x' and c is null").count() == 2
+    with pytest.raises(ValueError):
+        union_outer([])
+
+
+def test_wide_schema(spark):
+    from profilelake.schema import level_schema
+
+    df = spark.createDataFrame([(1, NAN)], "N_PROF bigint, TEMP float")
+    row = conform(df, level_schema("bgc")).first()
+    assert len(row) == 219 and row.N_PROF == 1 and row.TEMP is None
+    assert isinstance(level_schema("bgc"), T.StructType)

@@ -1,0 +1,114 @@
+import math
+import random
+from datetime import datetime
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+
+from profilelake.operators.filters import box, filter_rows, quality, time_and_pressure, valid_values
+
+NAN = float("nan")
+ROWS = [
+    {"id": i, "x": x, "n": n, "s": s}
+    for i, (x, n, s) in enumerate(
+        (x, n, s)
+        for x in (None, NAN, -1.0, 0.0, 2.5, float("inf"))
+        for n in (None, 0, 1, 7)
+        for s in (None, "a", "b")
+    )
+]
+
+
+@pytest.fixture(scope="module")
+def table(tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("filters") / "t.parquet")
+    schema = pa.schema([("id", pa.int64()), ("x", pa.float64()), ("n", pa.int64()), ("s", pa.string())])
+    pq.write_table(pa.Table.from_pylist(ROWS, schema), path)
+    return path
+
+
+def both(spark, table, filters):
+    expected = pq.read_table(table, filters=filters)["id"].to_pylist()
+    found = [r.id for r in filter_rows(spark.read.parquet(table), filters).select("id").collect()]
+    return sorted(found), sorted(expected)
+
+
+@pytest.mark.parametrize(
+    "filters",
+    [
+        [("x", op, v)] for op in ("=", "==", "!=", "<", "<=", ">", ">=") for v in (0.0, 2.5)
+    ]
+    + [
+        [("n", "in", [0, 7])],
+        [("n", "in", [0, None])],
+        [("n", "not in", [0, 7])],
+        [("n", "not in", [0, None])],
+        [("s", "in", {"a"})],
+        [("s", "not in", ["a"])],
+        [("x", ">=", -1e30), ("x", "<=", 1e30)],
+        [[("x", ">", 0), ("n", "=", 1)], [("s", "==", "b")]],
+        [[("n", "<", 5)], [("x", "!=", 0.0), ("s", "in", ["a", "b"])]],
+    ],
+)
+def test_like_arrow(spark, table, filters):
+    found, expected = both(spark, table, filters)
+    assert found == expected
+
+
+def test_random_filters_like_arrow(spark, table):
+    rng = random.Random(3)
+
+    def predicate():
+        name, values = rng.choice([("x", [-1.0, 0.0, 2.5]), ("n", [0, 1, 7]), ("s", ["a", "b"])])
+        op = rng.choice(["==", "!=", "<", "<=", ">", ">=", "in", "not in"])
+        if "in" in op:
+            return (name, op, rng.sample(values, rng.randint(1, len(values))))
+        return (name, op, rng.choice(values))
+
+    for _ in range(25):
+        filters = [[predicate() for _ in range(rng.randint(1, 3))] for _ in range(rng.randint(1, 3))]
+        found, expected = both(spark, table, filters)
+        assert found == expected, filters
+
+
+def test_nan_operand(spark, table):
+    df = spark.read.parquet(table)
+    assert filter_rows(df, [("x", "==", NAN)]).count() == 0
+    assert filter_rows(df, [("x", ">=", NAN)]).count() == 0
+    assert filter_rows(df, [("x", "!=", NAN)]).count() == sum(r["x"] is not None for r in ROWS)
+
+
+def test_empty_membership(spark, table):
+    df = spark.read.parquet(table)
+    assert filter_rows(df, [("n", "in", [])]).count() == 0
+    assert filter_rows(df, [("n", "not in", [])]).count() == len(ROWS)
+
+
+@pytest.mark.parametrize("bad", [[], [[]], [("x", "~", 1)]])
+def test_rejected(spark, table, bad):
+    with pytest.raises(ValueError):
+        filter_rows(spark.read.parquet(table), bad)
+
+
+def test_named_filters(spark):
+    rows = [
+        (34.0, -60.0, datetime(2023, 1, 1), 100.0, 1.0, 1),
+        (34.1, -60.0, datetime(2023, 1, 1), 100.0, NAN, 1),
+        (50.0, -60.0, datetime(2023, 12, 31), 300.0, 2.0, 3),
+        (50.0, -50.0, datetime(2023, 6, 1), 200.0, 3.0, 1),
+        (50.0, -60.0, datetime(2024, 1, 1), 300.5, None, None),
+    ]
+    df = spark.createDataFrame(
+        rows,
+        "LATITUDE double, LONGITUDE double, JULD timestamp_ntz, PRES_ADJUSTED float, "
+        "CHLA float, CHLA_QC smallint",
+    )
+    inside = box(df, (34, 80), (-78, -50))
+    assert inside.count() == 3
+    banded = time_and_pressure(inside, (datetime(2023, 1, 1), datetime(2023, 12, 31)), (100, 300))
+    assert banded.count() == 2
+    assert [r.CHLA for r in valid_values(banded, "CHLA").collect()] == [2.0]
+    assert quality(df, "CHLA").count() == 3
+    assert quality(df, "CHLA", [1, 3]).count() == 4
+    assert all(not math.isnan(r.CHLA) for r in valid_values(df, "CHLA").collect())

@@ -1,0 +1,113 @@
+from datetime import datetime
+
+from profilelake.operators import refresh
+from profilelake.plans import plan_refresh
+
+NTZ = "timestamp_ntz"
+D = [datetime(2020, 1, d) for d in range(1, 10)]
+
+
+def frames(spark):
+    index = spark.createDataFrame(
+        [(1, D[0]), (1, D[2]), (2, D[0]), (2, None), (3, D[0]), (4, D[4]), (5, D[0]), (7, D[1])],
+        f"wmoid int, date_update {NTZ}",
+    )
+    floats = spark.createDataFrame(
+        [("a/1/", 1), ("b/1/", 1), ("a/2/", 2), ("a/3/", 3), ("a/4/", 4), ("a/5/", 5), ("a/6/", 6)],
+        "filepath_main string, wmoid int",
+    )
+    candidates = refresh.candidates_per_float(floats, "phy", "/m", "http://h/")
+    files = spark.createDataFrame(
+        [(f"/m/a/{i}/{i}_prof.nc", t) for i, t in ((1, D[3]), (2, D[8]), (4, D[4]), (5, D[5]), (6, D[0]))],
+        f"path string, mtime {NTZ}",
+    )
+    remote = spark.createDataFrame(
+        [(f"http://h/a/{i}/{i}_prof.nc", t, s)
+         for i, t, s in ((1, D[3], 200), (2, D[7], 200), (3, D[1], 404), (4, None, 200), (5, D[6], 200))],
+        f"url string, remote_mtime {NTZ}, status int",
+    )
+    return index, candidates, files, remote
+
+
+def test_candidates(spark):
+    _, candidates, _, _ = frames(spark)
+    row = candidates.where("filepath_main = 'b/1/'").first()
+    assert (row.filename, row.local_path, row.url) == (
+        "1_prof.nc", "/m/b/1/1_prof.nc", "http://h/b/1/1_prof.nc"
+    )
+    index = spark.createDataFrame([("a/1/profiles/", "R1_001.nc", 1)], "filepath string, filename string, wmoid int")
+    one = refresh.candidates_per_profile(index, "/m/", "http://h").first()
+    assert (one.local_path, one.url) == (
+        "/m/dac/a/1/profiles/R1_001.nc", "http://h/dac/a/1/profiles/R1_001.nc"
+    )
+
+
+def test_freshness(spark):
+    index, candidates, files, _ = frames(spark)
+    got = {r.filepath_main: r.state for r in refresh.freshness(candidates, index, files).collect()}
+    assert got == {
+        "a/1/": "current",
+        "b/1/": "missing",   # same float, other directory
+        "a/2/": "stale",     # an undated profile
+        "a/3/": "missing",
+        "a/4/": "stale",     # equal times are not newer
+        "a/5/": "current",
+        "a/6/": "current",   # no profile to be older than
+    }
+
+
+def test_actions(spark):
+    _, candidates, files, remote = frames(spark)
+
+    def actions(**options):
+        df = refresh.refresh_actions(candidates, files, remote, **options)
+        return {r.filepath_main: r.action for r in df.collect()}
+
+    assert actions() == {
+        "a/1/": "keep", "b/1/": "missing_remote", "a/2/": "keep", "a/3/": "missing_remote",
+        "a/4/": "error", "a/5/": "fetch", "a/6/": "error",
+    }
+    assert actions(overwrite=True) == actions()
+    by_presence = actions(checktime=False)
+    assert by_presence == {
+        "a/1/": "keep", "b/1/": "missing_remote", "a/2/": "keep", "a/3/": "missing_remote",
+        "a/4/": "keep", "a/5/": "keep", "a/6/": "keep",
+    }
+    forced = actions(checktime=False, overwrite=True)
+    assert forced["a/1/"] == "fetch" and forced["a/6/"] == "missing_remote"
+
+
+def test_nothing_to_do(spark):
+    index, candidates, files, remote = frames(spark)
+    none = candidates.where("false")
+    assert refresh.refresh_actions(none, files, remote).count() == 0
+    totals = refresh.inventory_totals(spark.createDataFrame([], "length bigint")).first()
+    assert totals.files == 0 and totals.total_mb is None
+
+
+def test_inventory_totals(spark):
+    df = spark.createDataFrame([(1048576,), (524288,)], "length bigint")
+    assert tuple(refresh.inventory_totals(df).first()) == (2, 1.5)
+
+
+def test_plan(spark):
+    rows = [
+        ("a/1/profiles/R1_001.nc", D[0], 1.0, 2.0, D[1]),
+        ("a/2/profiles/R2_001.nc", D[0], 1.0, 2.0, D[4]),
+        ("a/3/profiles/R3_001.nc", D[0], 80.0, 2.0, D[1]),
+        ("broken", D[0], 1.0, 2.0, D[1]),
+    ]
+    index = spark.createDataFrame(
+        rows, f"file string, date {NTZ}, latitude double, longitude double, date_update {NTZ}"
+    )
+    _, _, files, remote = frames(spark)
+    files = files.selectExpr("replace(path, 'prof', 'Sprof') path", "mtime - interval 1 day mtime")
+    remote = remote.selectExpr("replace(url, 'prof', 'Sprof') url", "remote_mtime", "status")
+    plan = plan_refresh(
+        index, files, remote, "bgc", "/m", "http://h", lat_range=[0, 10], start=D[0], end=D[0]
+    )
+    assert plan.rejects.count() == 1 and plan.metadata.count() == 2
+    assert [tuple(r) for r in plan.floats.collect()] == [("a/1/", 1), ("a/2/", 2)]
+    got = {r.wmoid: (r.state, r.action) for r in plan.actions.collect()}
+    # Float 1 is current, so its newer remote time is not even asked for.
+    assert got == {1: ("current", "keep"), 2: ("current", "keep")}
