@@ -16,7 +16,11 @@ def _under(root: str) -> str:
 def candidates_per_float(
     floats: DataFrame, db: str | Flavour, local_root: str, remote_root: str
 ) -> DataFrame:
-    """Local path and address of the one file each float directory holds."""
+    """Local path and address of the one file each float directory holds.
+
+    ``local_root`` is written the way the file inventory shows paths, such as
+    ``file:/data/dac`` or ``s3a://bucket/dac``.
+    """
     name = PF.float_filename("wmoid", flavour(db).file_suffix)
     return floats.select(
         "filepath_main",

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from profilelake import functions as PF
 
@@ -42,37 +44,50 @@ def decode_files(
     ``decoder(path, content)`` returns one pandas frame of staged rows or an
     iterable of them; absent columns become null, ``source_file`` is filled
     in. The result has the staged columns and ``error``: a file that fails at
-    any point yields no staged row but one row with its path and the reason.
+    any point, or holds values that do not fit the schema, yields no staged
+    row but one row with its path and the reason.
 
     Two uses of the result decode twice, so write it to a table first
     (``convert_files`` does).
     """
-    names = schema.fieldNames()
     out = T.StructType([*schema.fields, T.StructField("error", T.StringType())])
-
-    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    arrow = to_arrow_schema(out)
+    times = [f.name for f in schema if isinstance(f.dataType, T.TimestampNTZType)]
+
+    def rows(frame: pd.DataFrame, file: str) -> pa.RecordBatch:
+        def column(field: pa.Field) -> pa.Array:
+            if field.name == "source_file":
+                return pa.array([file] * len(frame), field.type)
+            if field.name == "error" or field.name not in frame:
+                return pa.nulls(len(frame), field.type)
+            values = frame[field.name]
+            if field.name in times:
+                values = pd.to_datetime(values).dt.floor("us")
+            return pa.Array.from_pandas(values, type=field.type)
+
+        return pa.RecordBatch.from_arrays([column(f) for f in arrow], schema=arrow)
+
+    def failure(file: str, error: Exception) -> pa.RecordBatch:
+        reason = f"{type(error).__name__}: {error}"
+        row = {"source_file": file, "error": reason}
+        return pa.RecordBatch.from_pylist([row], schema=arrow)
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for file, content in zip(batch["path"], batch["content"]):
+            for file, content in zip(batch.column("path"), batch.column("content")):
+                name = file.as_py()
                 try:
-                    frames = decoder(file, bytes(content))
+                    frames = decoder(name, content.as_py())
                     if isinstance(frames, pd.DataFrame):
                         frames = [frames]
                     # Kept until the file is through: a late failure drops them all.
-                    frames = [
-                        f.reindex(columns=names).assign(source_file=file, error=None)
-                        for f in frames
-                    ]
+                    decoded = [rows(f, name) for f in frames]
                 except Exception as e:
-                    reason = f"{type(e).__name__}: {e}"
-                    frames = [
-                        pd.DataFrame({"source_file": [file], "error": [reason]}).reindex(
-                            columns=[*names, "error"]
-                        )
-                    ]
-                yield from (f.astype(object).where(f.notna(), None) for f in frames)
+                    decoded = [failure(name, e)]
+                yield from decoded
 
     files = _binary_files(spark, path, glob).select("path", "content")
-    return files.mapInPandas(decode, out)
+    return files.mapInArrow(decode, out)
 
 
 def staged_and_failed(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
