@@ -9,6 +9,7 @@ from profilelake.functions.paths import (
     filepath_main,
     float_filename,
     path_tail,
+    profile_path,
     wmoid,
 )
 from profilelake.functions.times import compact_timestamp, nanoseconds_to_ntz, utc_ntz, year_month
@@ -29,6 +30,7 @@ __all__ = [
     "nanoseconds_to_ntz",
     "normalize_longitude",
     "path_tail",
+    "profile_path",
     "strip",
     "utc_ntz",
     "wmoid",

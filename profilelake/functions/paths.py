@@ -5,34 +5,48 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the path convention, first unanchored match. Groups: 1 up to
-# ``profiles/``, 2 up to the float directory, 3 file name, 4 float, 5 cycle.
-PROFILE_PATH_PATTERN = r"(([a-z]*/[0-9]*/)profiles/)([A-Z]*([0-9]*)_([0-9]*)[A-Z]*.nc)"
+# Fixed value: the path convention. The first match anywhere in a path counts.
+PROFILE_PATH_PATTERN = r"[a-z]*/[0-9]*/profiles/[A-Z]*[0-9]*_[0-9]*[A-Z]*.nc"
+_CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def _part(file: Column | str, group: int) -> Column:
-    """One group of the pattern; null when the path does not match or the group is empty."""
-    return F.nullif(F.regexp_extract(file, PROFILE_PATH_PATTERN, group), F.lit(""))
+def profile_path(file: Column | str) -> Column:
+    """The part of a path that follows the convention; null if none does.
 
+    The functions below take such a path. They cut it with plain string
+    functions, so that a row costs one pattern match for all of its parts.
+    """
+    return F.nullif(F.regexp_extract(file, PROFILE_PATH_PATTERN, 0), F.lit(""))
 
-def wmoid(file: Column | str) -> Column:
-    return _part(file, 4).try_cast("int")
 
+def filepath_main(path: Column | str) -> Column:
+    """``centre/float/``"""
+    return F.concat(F.substring_index(path, "/", 2), F.lit("/"))
 
-def cycle(file: Column | str) -> Column:
-    return _part(file, 5).try_cast("int")
 
+def filepath(path: Column | str) -> Column:
+    """``centre/float/profiles/``"""
+    return F.concat(filepath_main(path), F.lit("profiles/"))
 
-def filepath_main(file: Column | str) -> Column:
-    return _part(file, 2)
 
+def filename(path: Column | str) -> Column:
+    return F.substr(path, F.length(filepath(path)) + 1)
 
-def filepath(file: Column | str) -> Column:
-    return _part(file, 1)
 
+def _numbers(path: Column | str) -> Column:
+    """File name without its ending: ``<mode><float>_<cycle>[D]``."""
+    name = filename(path)
+    return F.left(name, F.length(name) - 3)
 
-def filename(file: Column | str) -> Column:
-    return _part(file, 3)
+
+def wmoid(path: Column | str) -> Column:
+    """Float id, from the file name; null if it has no digits."""
+    return F.ltrim(F.substring_index(_numbers(path), "_", 1), F.lit(_CAPITALS)).try_cast("int")
+
+
+def cycle(path: Column | str) -> Column:
+    """Cycle number, without leading zeros; null if the name has none."""
+    return F.rtrim(F.substring_index(_numbers(path), "_", -1), F.lit(_CAPITALS)).try_cast("int")
 
 
 def float_filename(float_id: Column | str, suffix: str) -> Column:

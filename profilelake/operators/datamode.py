@@ -56,24 +56,18 @@ def spread_data_modes(staged: DataFrame, parameters: Sequence[str]) -> DataFrame
 def source_modes(
     staged: DataFrame, parameters: Sequence[str], keys: Sequence[str]
 ) -> DataFrame:
-    """One row per profile and known parameter with the mode its source gives it."""
+    """Per profile, an array ``modes`` of (parameter, mode) for the known ones it names."""
     names = F.array_distinct(F.transform("_declared", lambda d: d["name"]))
-    known = F.filter(names, lambda n: n.isin(list(parameters)))
+    modes = F.transform(
+        F.filter(names, lambda n: n.isin(list(parameters))),
+        lambda n: F.struct(
+            n.alias("parameter"), _last_mode(F.col("_declared"), n).alias("mode")
+        ),
+    )
     return (
         staged.where(F.col("PARAMETER_DATA_MODE").isNotNull())
         .select(*keys, declared_modes().alias("_declared"))
-        .select(
-            *keys,
-            F.explode(
-                F.transform(
-                    known,
-                    lambda n: F.struct(
-                        n.alias("parameter"), _last_mode(F.col("_declared"), n).alias("mode")
-                    ),
-                )
-            ).alias("_source"),
-        )
-        .select(*keys, "_source.*")
+        .select(*keys, modes.alias("modes"))
     )
 
 

@@ -4,20 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from profilelake.flavour import DATA_MODE_SUFFIX
 from profilelake.operators.datamode import source_modes
 
 
-def _code(mode: Column) -> Column:
-    """A mode as a number, so that levels are hashed rather than sorted to be compared."""
-    return F.when(F.length(mode) <= 1, F.ascii(mode)).otherwise(
-        F.when(mode.isNotNull(), F.lit(-1))
-    )
-
-
 def verify_data_modes(
     levels: DataFrame,
     staged: DataFrame,
@@ -26,43 +19,22 @@ def verify_data_modes(
 ) -> DataFrame:
     """Per profile and parameter, whether every level carries the mode of the source.
 
-    Levels are reduced to one row per profile before anything is joined.
+    Levels are reduced to the distinct sets of modes of their profile, one in
+    sound data, before anything is joined; the last grouping then needs no
+    further shuffle.
     """
     present = [p for p in parameters if p + DATA_MODE_SUFFIX in levels.columns]
-    coded = levels.select(*keys, *(_code(F.col(p + DATA_MODE_SUFFIX)).alias(p) for p in present))
-    summary = coded.groupBy(*keys).agg(
-        F.count("*").alias("_levels"),
-        *(F.min(p).alias(f"_min_{p}") for p in present),
-        *(F.max(p).alias(f"_max_{p}") for p in present),
-        *(F.count(p).alias(f"_count_{p}") for p in present),
-    )
-    found = summary.select(
-        *keys,
-        "_levels",
-        F.explode(
-            F.array(
-                *(
-                    F.struct(
-                        F.lit(p).alias("parameter"),
-                        F.col(f"_min_{p}").alias("_min"),
-                        F.col(f"_max_{p}").alias("_max"),
-                        F.col(f"_count_{p}").alias("_count"),
-                    )
-                    for p in present
-                )
-            )
-        ).alias("_found"),
-    ).select(*keys, "_levels", "_found.*")
-    expected = source_modes(staged, present, keys)
-    code = _code(F.col("mode"))
-    same = (
-        (code >= 0)
-        & F.col("_min").eqNullSafe(code)
-        & F.col("_max").eqNullSafe(code)
-        & (F.col("_count") == F.col("_levels"))
-    )
+    carried = F.array(*(F.col(p + DATA_MODE_SUFFIX) for p in present))
+    found = levels.select(*keys, carried.alias("_carried")).distinct()
+    place = F.array_position(F.array(*map(F.lit, present)), F.col("_source.parameter"))
+    same = F.get("_carried", place.cast("int") - 1).eqNullSafe(F.col("_source.mode"))
     # A profile without levels has none that differs.
-    matches = F.when(F.col("_levels").isNull(), True).otherwise(same)
-    return expected.join(found, [*keys, "parameter"], "left").select(
-        *keys, "parameter", matches.alias("matches")
+    matches = F.when(F.col("_carried").isNull(), True).otherwise(same)
+    return (
+        source_modes(staged, present, keys)
+        .join(found, list(keys), "left")
+        .select(*keys, "_carried", F.explode("modes").alias("_source"))
+        .select(*keys, "_source.parameter", matches.alias("_same"))
+        .groupBy(*keys, "parameter")
+        .agg(F.bool_and("_same").alias("matches"))
     )

@@ -47,13 +47,13 @@ def parse_dates(index: DataFrame) -> DataFrame:
 
 def enrich_index(index: DataFrame) -> DataFrame:
     """Add float id, cycle and path parts, all taken from the profile path."""
-    return index.select(
-        "*",
-        PF.wmoid("file").alias("wmoid"),
-        PF.filepath_main("file").alias("filepath_main"),
-        PF.filepath("file").alias("filepath"),
-        PF.filename("file").alias("filename"),
-        PF.cycle("file").alias("cycle"),
+    return index.select("*", PF.profile_path("file").alias("_path")).select(
+        *index.columns,
+        PF.wmoid("_path").alias("wmoid"),
+        PF.filepath_main("_path").alias("filepath_main"),
+        PF.filepath("_path").alias("filepath"),
+        PF.filename("_path").alias("filename"),
+        PF.cycle("_path").alias("cycle"),
     )
 
 

@@ -1,3 +1,5 @@
+import random
+import re
 from datetime import datetime
 
 import pytest
@@ -48,9 +50,13 @@ def test_path_parts(spark):
         ("aoml/1900722/profiles/R_001.nc",),
         (None,),
     ]
-    got = spark.createDataFrame(rows, "file string").select(
-        PF.wmoid("file"), PF.cycle("file"), PF.filepath_main("file"), PF.filepath("file"),
-        PF.filename("file"), PF.path_tail("file"),
+    got = (
+        spark.createDataFrame(rows, "file string")
+        .select("file", PF.profile_path("file").alias("path"))
+        .select(
+            PF.wmoid("path"), PF.cycle("path"), PF.filepath_main("path"), PF.filepath("path"),
+            PF.filename("path"), PF.path_tail("file"),
+        )
     )
     assert [tuple(r) for r in got.collect()] == [
         (1900722, 7, "aoml/1900722/", "aoml/1900722/profiles/", "SR1900722_007D.nc",
@@ -63,6 +69,38 @@ def test_path_parts(spark):
     ]
 
 
+def test_path_parts_like_one_pattern_per_part(spark):
+    """Random paths, against the groups of a single pattern."""
+    grouped = re.compile(r"(([a-z]*/[0-9]*/)profiles/)([A-Z]*([0-9]*)_([0-9]*)[A-Z]*.nc)")
+    rng = random.Random(1)
+    pieces = ["a", "/", "12", "/profiles/", "profiles", "R", "SD", "_", "007", "D", ".nc", "nc", "x"]
+    usual = ["ab", "/", "12", "/profiles/", "R", "12", "_", "007", "D", ".nc"]
+    paths = ["".join(rng.choices(pieces, k=rng.randint(3, 14))) for _ in range(1000)]
+    for _ in range(2000):
+        path = list(usual)
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(path))
+            path[at : at + rng.randint(0, 1)] = [rng.choice(pieces)]
+        paths.append("".join(path))
+
+    def parts(path):
+        m = grouped.search(path)
+        if m is None:
+            return (path, None, None, None, None, None)
+        number = [int(m[i]) if m[i] else None for i in (4, 5)]
+        return (path, *number, m[2], m[1], m[3])
+
+    got = (
+        spark.createDataFrame([(p,) for p in paths], "file string")
+        .select("file", PF.profile_path("file").alias("path"))
+        .select(
+            "file", PF.wmoid("path"), PF.cycle("path"), PF.filepath_main("path"),
+            PF.filepath("path"), PF.filename("path"),
+        )
+    )
+    assert [tuple(r) for r in got.collect()] == [parts(p) for p in paths]
+
+
 def test_strip(spark):
     assert one(spark, PF.strip(F.lit(" \t\nTEMP x \r\n"))) == "TEMP x"
 
