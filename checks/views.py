@@ -7,13 +7,13 @@ of the rows one order, customer or user holds.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from profilelake.sources.index import enrich_index, parse_dates
+from profilelake.sources.stored import shared_folder
 
 LEVELS = 7
 BLOCK = 512
@@ -35,10 +35,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def scratch(spark: SparkSession) -> str:
     """A fresh folder that every executor can reach."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        shared = tempfile.mkdtemp(prefix="profilelake-")
-    return f"{shared.rstrip('/')}/profilelake/{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/checks-{uuid.uuid4().hex}"
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -137,7 +134,8 @@ def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One profile per order, one file per customer, levels from the line numbers.
 
     Lines that share a level are merged, so an order is reduced before it is
-    shuffled and its arrays stay short.
+    shuffled and its arrays stay short. Files are padded to seven to nine
+    levels, by customer.
     """
     level = (F.col("l_linenumber") - 1) % LEVELS
     merged = (
@@ -157,13 +155,13 @@ def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.slice(F.array(*values), 1, F.col("own_levels")).cast(f"array<{kind}>")
 
     span = range(LEVELS)
-    profiles = (
+    return (
         table(spark, sf_dir, "orders")
         .join(merged, F.col("o_orderkey") == F.col("l_orderkey"), "left")
         .select(
             F.col("o_custkey").cast("string").alias("source_file"),
             F.col("o_orderkey").alias("N_PROF"),
-            F.coalesce("own_levels", F.lit(0)).alias("own_levels"),
+            (F.lit(LEVELS) + F.col("o_custkey") % 3).cast("int").alias("level_count"),
             (F.lit(1900000) + F.col("o_custkey")).alias("PLATFORM_NUMBER"),
             (F.col("o_orderkey") % 300 + 1).alias("CYCLE_NUMBER"),
             F.when(F.col("o_orderkey") % 10 == 0, "D").otherwise("A").alias("DIRECTION"),
@@ -177,8 +175,6 @@ def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
             ).alias("TEMP_QC"),
         )
     )
-    files = profiles.groupBy("source_file").agg(F.max("own_levels").alias("level_count"))
-    return profiles.drop("own_levels").join(files, "source_file")
 
 
 def parameters(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,6 +13,7 @@ from profilelake.operators.datamode import (
     calibration_varies,
     data_mode_too_long,
 )
+from profilelake.sources.stored import stored
 
 
 def failed_checks(staged: DataFrame, parameters: Sequence[str]) -> DataFrame:
@@ -36,15 +37,22 @@ def failed_checks(staged: DataFrame, parameters: Sequence[str]) -> DataFrame:
 
 
 def without_files(staged: DataFrame, failed: DataFrame) -> DataFrame:
-    """Rows of the files that are not listed."""
+    """Rows of the files that are not listed.
+
+    Give a stored list: Spark then broadcasts a short one, and joins a long
+    one so that a file holding much of the data is split.
+    """
     return staged.join(failed.select("source_file"), "source_file", "left_anti").select(
         *staged.columns
     )
 
 
 def quarantine(staged: DataFrame, parameters: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows of sound files, and the list of failed files with reasons."""
-    failed = failed_checks(staged, parameters)
+    """Rows of sound files, and the list of failed files with reasons.
+
+    The list is worked out and stored when this is called.
+    """
+    failed = stored(failed_checks(staged, parameters))
     return without_files(staged, failed), failed
 
 

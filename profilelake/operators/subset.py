@@ -14,6 +14,9 @@ from profilelake.flavour import Flavour, flavour
 EARLIEST = datetime(1900, 1, 1)
 LATEST = datetime(2200, 1, 1)
 
+# Longer lists of floats are joined instead of compared one by one.
+LONGEST_LIST = 1000
+
 
 def subset_area(
     index: DataFrame,
@@ -40,10 +43,12 @@ def subset_dates(
 
 def subset_floats(index: DataFrame, floats: int | Sequence[int] | DataFrame) -> DataFrame:
     """Profiles of the given floats: one id, a list, or a table with a ``wmoid`` column."""
-    if isinstance(floats, DataFrame):
-        return index.join(floats.select("wmoid"), "wmoid", "left_semi").select(*index.columns)
-    ids = [floats] if isinstance(floats, int) else list(floats)
-    return index.where(F.col("wmoid").isin(ids))
+    if not isinstance(floats, DataFrame):
+        ids = [floats] if isinstance(floats, int) else list(floats)
+        if len(ids) <= LONGEST_LIST:
+            return index.where(F.col("wmoid").isin(ids))
+        floats = index.sparkSession.createDataFrame([(i,) for i in ids], "wmoid bigint")
+    return index.join(floats.select("wmoid"), "wmoid", "left_semi").select(*index.columns)
 
 
 def subset_sensors(

@@ -15,6 +15,7 @@ from profilelake.operators.flatten import flatten_levels
 from profilelake.operators.quarantine import failed_checks, without_files
 from profilelake.schema import level_schema, staged_schema
 from profilelake.sources.files import Decoder, decode_files, staged_and_failed
+from profilelake.sources.stored import stored
 from profilelake.sources.tables import write_levels, write_metadata
 
 
@@ -54,30 +55,26 @@ def convert_profiles(
     value that does not fit its type does: fail the run, become null, or send
     its file to ``quarantine``.
 
-    The list of failed files is written first. Its size on disk then tells
-    Spark whether it can be broadcast, so sound runs never shuffle the staged
-    rows. ``staged`` is read more than once and should be a stored table.
+    The list of failed files is stored first. Its size then tells Spark
+    whether it can be broadcast, so that staged rows are not shuffled unless
+    very many files failed. ``staged`` is read more than once and should be a
+    stored table.
     """
     if on_error not in {"raise", "null", "quarantine"}:
         raise ValueError(f"unknown on_error {on_error!r}")
     kind = flavour(db)
     schema = level_schema(kind)
-    spark = staged.sparkSession
 
     bad = [failed_checks(staged, kind.data_mode_parameters)]
     if failed is not None:
         bad.append(failed.select("source_file", "error"))
     if on_error == "quarantine":
-        checked = without_files(staged, bad[0])
+        checked = without_files(staged, stored(bad[0]))
         bad.append(uncastable_files(level_rows(checked, kind), schema))
+    # Stored apart from the dataset's own list, which an append only adds to.
+    listed = stored(union_outer(bad))
     quarantine = f"{root.rstrip('/')}/quarantine/{kind.name}"
-    union_outer(bad).write.mode(mode).parquet(quarantine)
-
-    if mode == "append":
-        # The stored list also names files of earlier batches.
-        listed = union_outer(bad)
-    else:
-        listed = spark.read.schema("source_file string, error string").parquet(quarantine)
+    listed.write.mode(mode).parquet(quarantine)
     sound = without_files(staged, listed)
     levels = conform(
         level_rows(sound, kind, drop_padding),

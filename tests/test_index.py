@@ -64,6 +64,8 @@ def test_subsets(index):
     ]
     assert files(subset.subset_area(usable, lat_range=[-90, -90])) == ["D77_003.nc"]
     assert files(subset.subset_floats(usable, 77)) == ["D77_003.nc"]
+    many = list(range(100, 3000)) + [77]
+    assert files(subset.subset_floats(usable, many)) == ["D77_003.nc"]
     assert files(subset.subset_dates(usable, end=datetime(2020, 12, 31))) == [
         "D13857_003.nc", "R13857_001.nc"
     ]
