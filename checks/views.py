@@ -11,7 +11,10 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
+from profilelake.flavour import BIOGEOCHEMICAL
+from profilelake.schema import staged_schema
 from profilelake.sources.index import enrich_index, parse_dates
 from profilelake.sources.stored import shared_folder
 
@@ -230,3 +233,22 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("CHLA_ADJUSTED"),
         (event % 9 + 1).alias("CHLA_ADJUSTED_QC"),
     )
+
+
+def wide_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Biogeochemical profiles with every measurement of the schema and all data modes."""
+    narrow = staged(spark, sf_dir)
+    source = {"float": F.col("TEMP"), "smallint": F.col("TEMP_QC")}
+    fields = [
+        f
+        for f in staged_schema("bgc")
+        if isinstance(f.dataType, ArrayType) and not f.name.startswith("PARAMETER")
+    ]
+    names = F.array(*map(F.lit, BIOGEOCHEMICAL.data_mode_parameters))
+    letter = F.get(F.array(F.lit("R"), F.lit("A"), F.lit("D")), F.col("N_PROF") % 3)
+    return narrow.select(
+        *(c for c in narrow.columns if c not in {"PRES", "TEMP", "TEMP_QC"}),
+        *(source[f.dataType.elementType.simpleString()].alias(f.name) for f in fields),
+        F.array(names, names).alias("PARAMETER"),
+        F.transform(names, lambda n: letter).alias("PARAMETER_DATA_MODE"),
+    )

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # Fixed value: the range outside which a measurement counts as absent.
 VALID_LIMIT = 1e30
 
+WHITE_SPACE = " \t\n\r\v\f\x1c\x1d\x1e\x1f\x85\xa0"
+
 
 def nan_to_null(value: Column | str) -> Column:
     """Absent floats arrive as NaN; Spark would rank and average them as numbers."""
@@ -23,4 +25,4 @@ def is_valid(value: Column | str) -> Column:
 
 def strip(text: Column | str) -> Column:
     """Remove white space of any kind at both ends."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.trim(text, F.lit(WHITE_SPACE))

@@ -14,10 +14,20 @@ CALIBRATION_ERROR = "PARAMETER differs between calibrations"
 DATA_MODE_ERROR = "data mode of a known parameter is longer than one character"
 
 
+def with_mode_columns(staged: DataFrame) -> DataFrame:
+    """Staged rows with names and modes; files that came without them have null ones."""
+    kinds = {"PARAMETER": "array<array<string>>", "PARAMETER_DATA_MODE": "array<string>"}
+    absent = {c: F.lit(None).cast(k) for c, k in kinds.items() if c not in staged.columns}
+    return staged.withColumns(absent) if absent else staged
+
+
 def declared_modes() -> Column:
-    """Array of (name, mode) of a profile, in file order and without white space."""
+    """Array of (name, mode) of a profile, in file order and without white space.
+
+    Null only where the profile has no modes.
+    """
     return F.zip_with(
-        F.get("PARAMETER", F.lit(0)),
+        F.coalesce(F.get("PARAMETER", F.lit(0)), F.array().cast("array<string>")),
         "PARAMETER_DATA_MODE",
         lambda name, mode: F.struct(
             F.coalesce(PF.strip(name), F.lit("")).alias("name"),
@@ -40,16 +50,23 @@ def spread_data_modes(staged: DataFrame, parameters: Sequence[str]) -> DataFrame
     """
     if not parameters:
         return staged
-    has_modes = F.col("PARAMETER_DATA_MODE").isNotNull()
-    modes = (
-        F.when(
-            has_modes,
-            F.coalesce(_last_mode(F.col("_declared"), F.lit(p)), F.lit("")),
-        ).alias(p + DATA_MODE_SUFFIX)
-        for p in parameters
-    )
-    return staged.select("*", declared_modes().alias("_declared")).select(
-        *staged.columns, *modes
+    # The last of repeated names is the first from the end. Names and modes are
+    # common to all columns, so a profile's arrays are taken apart once.
+    names = F.transform("_reversed", lambda d: d["name"])
+    modes = F.transform("_reversed", lambda d: d["mode"])
+    unnamed = F.when(F.col("PARAMETER_DATA_MODE").isNotNull(), "")
+
+    def mode_of(parameter: str) -> Column:
+        place = F.array_position(names, parameter).cast("int") - 1
+        return F.coalesce(F.get(modes, place), unnamed)
+
+    return (
+        with_mode_columns(staged)
+        .select("*", F.reverse(declared_modes()).alias("_reversed"))
+        .select(
+            *staged.columns,
+            *(mode_of(p).alias(p + DATA_MODE_SUFFIX) for p in parameters),
+        )
     )
 
 
@@ -65,7 +82,8 @@ def source_modes(
         ),
     )
     return (
-        staged.where(F.col("PARAMETER_DATA_MODE").isNotNull())
+        with_mode_columns(staged)
+        .where(F.col("PARAMETER_DATA_MODE").isNotNull())
         .select(*keys, declared_modes().alias("_declared"))
         .select(*keys, modes.alias("modes"))
     )
@@ -78,7 +96,8 @@ def unknown_parameters(staged: DataFrame, parameters: Sequence[str]) -> DataFram
         lambda n: (n != "") & ~n.isin(list(parameters)),
     )
     return (
-        staged.where(F.col("PARAMETER_DATA_MODE").isNotNull())
+        with_mode_columns(staged)
+        .where(F.col("PARAMETER_DATA_MODE").isNotNull())
         .select("source_file", F.explode(F.array_distinct(unknown)).alias("name"))
         .select("source_file", F.concat("name", F.lit(DATA_MODE_SUFFIX)).alias("column"))
         .distinct()
@@ -104,13 +123,13 @@ def data_mode_too_long(parameters: Sequence[str]) -> Column:
 
 def calibration_invariant(staged: DataFrame) -> DataFrame:
     """Per file, whether parameter names are the same in every calibration."""
-    return staged.groupBy("source_file").agg(
+    return with_mode_columns(staged).groupBy("source_file").agg(
         F.bool_and(~calibration_varies()).alias("invariant")
     )
 
 
 def data_modes_valid(staged: DataFrame, parameters: Sequence[str]) -> DataFrame:
     """Per file, whether every known parameter's data mode is one character at most."""
-    return staged.groupBy("source_file").agg(
+    return with_mode_columns(staged).groupBy("source_file").agg(
         F.bool_and(~data_mode_too_long(parameters)).alias("valid")
     )

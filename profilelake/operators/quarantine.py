@@ -12,6 +12,7 @@ from profilelake.operators.datamode import (
     DATA_MODE_ERROR,
     calibration_varies,
     data_mode_too_long,
+    with_mode_columns,
 )
 from profilelake.sources.stored import stored
 
@@ -23,7 +24,8 @@ def failed_checks(staged: DataFrame, parameters: Sequence[str]) -> DataFrame:
     """
     failure = F.when(calibration_varies(), 1).when(data_mode_too_long(parameters), 2)
     return (
-        staged.select("source_file", failure.alias("failure"))
+        with_mode_columns(staged)
+        .select("source_file", failure.alias("failure"))
         .where(F.col("failure").isNotNull())
         .groupBy("source_file")
         .agg(F.min("failure").alias("failure"))

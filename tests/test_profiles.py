@@ -77,6 +77,17 @@ def test_three_states_of_a_data_mode(spark):
     ]
 
 
+def test_profiles_staged_without_names_and_modes(spark):
+    df = stage(spark, profile()).drop("PARAMETER", "PARAMETER_DATA_MODE")
+    spread = datamode.spread_data_modes(df, KNOWN)
+    assert spread.columns == [*df.columns, *(f"{p}_DATA_MODE" for p in KNOWN)]
+    assert spread.first().TEMP_DATA_MODE is None
+    sound, failed = quarantine.quarantine(df, KNOWN)
+    assert sound.count() == 1 and failed.count() == 0
+    assert datamode.calibration_invariant(df).first().invariant
+    assert datamode.unknown_parameters(df, KNOWN).count() == 0
+
+
 def test_mode_is_the_same_on_every_level(spark):
     df = stage(spark, profile(names=["TEMP"], modes=["A"], count=4))
     rows = flatten_levels(datamode.spread_data_modes(df, KNOWN)).collect()
