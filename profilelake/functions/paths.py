@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the path convention. The first match anywhere in a path counts.
-PROFILE_PATH_PATTERN = r"[a-z]*/[0-9]*/profiles/[A-Z]*[0-9]*_[0-9]*[A-Z]*.nc"
-_CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+# Fixed value: the path convention, with groups for float id and cycle. The
+# first match anywhere in a path counts.
+PROFILE_PATH_PATTERN = r"[a-z]*/[0-9]*/profiles/[A-Z]*([0-9]*)_([0-9]*)[A-Z]*.nc"
 
 
 def profile_path(file: Column | str) -> Column:
     """The part of a path that follows the convention; null if none does.
 
-    The functions below take such a path. They cut it with plain string
-    functions, so that a row costs one pattern match for all of its parts.
+    The functions below take such a path. Each names it once, so that a filter
+    on one of them can be pushed down without repeating the work.
     """
     return F.nullif(F.regexp_extract(file, PROFILE_PATH_PATTERN, 0), F.lit(""))
 
@@ -26,27 +26,21 @@ def filepath_main(path: Column | str) -> Column:
 
 def filepath(path: Column | str) -> Column:
     """``centre/float/profiles/``"""
-    return F.concat(filepath_main(path), F.lit("profiles/"))
+    return F.concat(F.substring_index(path, "/", 2), F.lit("/profiles/"))
 
 
 def filename(path: Column | str) -> Column:
-    return F.substr(path, F.length(filepath(path)) + 1)
-
-
-def _numbers(path: Column | str) -> Column:
-    """File name without its ending: ``<mode><float>_<cycle>[D]``."""
-    name = filename(path)
-    return F.left(name, F.length(name) - 3)
+    return F.get(F.split(path, "/", 4), F.lit(3))
 
 
 def wmoid(path: Column | str) -> Column:
     """Float id, from the file name; null if it has no digits."""
-    return F.ltrim(F.substring_index(_numbers(path), "_", 1), F.lit(_CAPITALS)).try_cast("int")
+    return F.regexp_extract(path, PROFILE_PATH_PATTERN, 1).try_cast("int")
 
 
 def cycle(path: Column | str) -> Column:
     """Cycle number, without leading zeros; null if the name has none."""
-    return F.rtrim(F.substring_index(_numbers(path), "_", -1), F.lit(_CAPITALS)).try_cast("int")
+    return F.regexp_extract(path, PROFILE_PATH_PATTERN, 2).try_cast("int")
 
 
 def float_filename(float_id: Column | str, suffix: str) -> Column:
