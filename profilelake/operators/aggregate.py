@@ -53,9 +53,10 @@ def quantile_limits(
     occur in the data, with a rank error of ``1/accuracy``. The exact form
     counts rows per bin of values and goes on with only the bins that hold a
     wanted rank: a bin of more than ``rows_per_range`` rows is split and
-    counted again, the others have their distinct values counted. No task and
-    no driver step ever holds more than the bins of one pass. The passes that
-    find the bins run when this is called.
+    counted again, the others have their distinct values counted. No task
+    holds more than the bins of one pass or ``rows_per_range`` values, and the
+    driver sees at most two bins per quantile. The passes that find the bins
+    run when this is called.
     """
     if len(q) != len(names):
         raise ValueError("one name is needed per quantile")
