@@ -34,8 +34,8 @@ from pyspark.sql import types as T
 
 SPACE = "▁"
 BLOCK = 4096  # characters whose matches are looked up at once
-WORDS_KEPT = 800_000  # encoded words that a Python worker remembers
-PAIRS_KEPT = 1_000_000  # pair answers that a Python worker remembers
+WORDS_KEPT = 250_000  # encoded words that a Python worker remembers
+PAIRS_KEPT = 500_000  # pair answers that a Python worker remembers
 
 
 def _one_byte(error: UnicodeDecodeError) -> tuple[str, int]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from profilelake.llm import pieces, secrets
+from profilelake.llm import pieces, quality_rules, secrets
 from profilelake.llm.common import sha256_hex, table, texts
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -34,6 +34,11 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"), RANKS, RANKS_PATTERN)
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts, log-likelihood ratio and verdict of every document."""
+    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         name: function
