@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from profilelake.llm import pieces, quality_rules, secrets
+from profilelake.llm import licenses, pieces, quality_rules, rule_ensemble, secrets
 from profilelake.llm.common import sha256_hex, table, texts
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -16,6 +16,13 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 RANKS_PATTERN = public_tokenizers.PATTERN
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score and prediction of every document."""
+    return rule_ensemble.classify(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text and the text that they decode to, as digests."""
     docs = texts(table(spark, sf_dir, "documents"))
@@ -39,6 +46,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices of every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         name: function
