@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from profilelake.llm import licenses, pieces, quality_rules, rule_ensemble, secrets
+from profilelake.llm import decontaminate, licenses, near_duplicates, pieces, quality_rules, rule_ensemble, secrets
 from profilelake.llm.common import sha256_hex, table, texts
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -36,6 +36,18 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the edit distance."""
+    return decontaminate.matches(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    return near_duplicates.duplicate_classes(table(spark, sf_dir, "documents"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every whole text."""
     return secrets.scan(table(spark, sf_dir, "documents"), RANKS, RANKS_PATTERN)
