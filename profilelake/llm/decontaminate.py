@@ -214,12 +214,14 @@ def remove_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame
     spark = documents.sparkSession
     kept = documents
     for rows in _blocks(benchmark, BLOCK_CHARS):
-        shared = spark.sparkContext.broadcast(rows)
+        kept = kept.filter(_holds_none(spark.sparkContext.broadcast(rows), BUDGET)(F.col("text")))
+    return kept
 
-        @F.arrow_udf("boolean")
-        def holds_none(column: pa.Array, shared=shared) -> pa.Array:
-            items = built(shared.value, BUDGET)
-            return pa.array([not items.matches(t.as_py() or "") for t in column], pa.bool_())
 
-        kept = kept.filter(holds_none.asNondeterministic()(F.col("text")))
-    return kept
+def _holds_none(shared, budget: float):
+    @F.arrow_udf("boolean")
+    def holds_none(column: pa.Array) -> pa.Array:
+        items = built(shared.value, budget)
+        return pa.array([not items.matches(t.as_py() or "") for t in column], pa.bool_())
+
+    return holds_none.asNondeterministic()

@@ -28,10 +28,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from profilelake.llm.common import sha256_hex, texts
+
 SPACE = "▁"
 BLOCK = 4096  # characters whose matches are looked up at once
 WORDS_KEPT = 250_000  # encoded words that a Python worker remembers
@@ -262,3 +264,15 @@ def decode(ids: Column, model_file: str) -> Column:
         return pa.array([coder.decode(values[a:b]) for a, b in zip(starts, ends)], pa.string())
 
     return piece_text.asNondeterministic()(ids)
+
+
+def digests(documents: DataFrame, model_file: str) -> DataFrame:
+    """One row per document: number and digest of its ids, digest of what they decode to."""
+    encoded = texts(documents).select("doc_id", encode(F.col("text"), model_file).alias("ids"))
+    decoded = encoded.withColumn("decoded", decode(F.col("ids"), model_file))
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        sha256_hex(F.col("decoded")).alias("decoded_sha256"),
+    )

@@ -6,10 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from profilelake.llm import decontaminate, licenses, near_duplicates, pieces, quality_rules, rule_ensemble, secrets
-from profilelake.llm.common import sha256_hex, table, texts
+from profilelake.llm.common import table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -25,15 +24,7 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text and the text that they decode to, as digests."""
-    docs = texts(table(spark, sf_dir, "documents"))
-    encoded = docs.select("doc_id", pieces.encode(F.col("text"), PIECE_MODEL).alias("ids"))
-    decoded = encoded.withColumn("decoded", pieces.decode(F.col("ids"), PIECE_MODEL))
-    return decoded.select(
-        "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        sha256_hex(F.col("decoded")).alias("decoded_sha256"),
-    )
+    return pieces.digests(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -177,3 +177,19 @@ def scan(df: DataFrame, ranks_file: str, pattern: str, chars_per_token: float =
         joined(F.col("found")).alias("spans"),
         count(3).alias("n_random"),
     )
+
+
+def mask(
+    documents: DataFrame, ranks_file: str, pattern: str, chars_per_token: float = 2.0
+) -> DataFrame:
+    """All rows and columns, the secrets of ``text`` replaced; ``n_chars`` follows it."""
+    rows = documents.select(
+        F.struct("*").alias("row"), secret_spans(F.col("text"), ranks_file, pattern, chars_per_token).alias("found")
+    )
+    text = redacted(F.col("row.text"), F.col("found"))
+    masked = rows.select(F.col("row").withField("text", text).alias("row"))
+    if "n_chars" in documents.columns:
+        kind = documents.schema["n_chars"].dataType
+        length = F.coalesce(F.length("row.text").cast(kind), F.col("row.n_chars"))
+        masked = masked.select(F.col("row").withField("n_chars", length).alias("row"))
+    return masked.select("row.*")
