@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from profilelake.llm import decontaminate, licenses, near_duplicates, pieces, quality_rules, rule_ensemble, secrets
+from profilelake.llm import decontaminate, licenses, near_duplicates, pieces, quality_rules, repeats, rule_ensemble, secrets
 from profilelake.llm.common import table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -44,6 +44,11 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"), RANKS, RANKS_PATTERN)
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that stay once repeated strings are gone."""
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts, log-likelihood ratio and verdict of every document."""
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
