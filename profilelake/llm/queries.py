@@ -7,8 +7,19 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from profilelake.llm import decontaminate, licenses, near_duplicates, pieces, quality_rules, repeats, rule_ensemble, secrets
-from profilelake.llm.common import table
+from profilelake.llm import (
+    archives,
+    decontaminate,
+    licenses,
+    near_duplicates,
+    pieces,
+    quality_rules,
+    repeats,
+    rule_ensemble,
+    secrets,
+    shards,
+)
+from profilelake.llm.common import scratch, table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -34,6 +45,13 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sequences in training order, read back from their shards."""
+    folder = scratch(spark, "token-shards")
+    written = shards.write_shards(table(spark, sf_dir, "documents"), folder)
+    return shards.read_shards(spark, written, folder)
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate class of every document."""
     return near_duplicates.duplicate_classes(table(spark, sf_dir, "documents"))
@@ -44,6 +62,13 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"), RANKS, RANKS_PATTERN)
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages through legacy archives and WARC files, as read back."""
+    return archives.round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that stay once repeated strings are gone."""
     return repeats.remove_repeats(table(spark, sf_dir, "documents"))
@@ -67,5 +92,25 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+ORACLE = {
+    "op7_warc": """
+        WITH payloads AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
+                   sha256(coalesce(html, '')) AS payload_digest
+            FROM pages
+        ), firsts AS (
+            SELECT *, CASE WHEN payload_bytes >= 100 THEN
+                   min(page_id) OVER (PARTITION BY payload_digest) END AS first_id
+            FROM payloads
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+        FROM firsts
+    """,
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL where it can express a query; the others are tested against brute force."""
+    return dict(ORACLE)
