@@ -25,7 +25,6 @@ id are one document each. The class id is the smallest document id in the class.
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +38,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 4
 COORDINATES = BANDS * ROWS
+MOST_CENTRES = 32  # members of a bucket that meet all others in one round
 CHUNK_WORDS = 200_000  # words whose darts are in memory at once
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -220,10 +220,13 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _round(members: DataFrame, classes: DataFrame, centres: int) -> tuple[DataFrame, DataFrame]:
     """(members that stay, pairs to compare) of the buckets with several classes left."""
-    placed = members.join(classes, "rep")
-    picks = [F.min(F.struct(F.col("rep").alias("by"), "rep", "class")).alias("c0")] + [
-        F.min(F.struct(F.xxhash64("rep", F.lit(i)).alias("by"), "rep", "class")).alias(f"c{i}")
-        for i in range(1, centres)
+    # Members of small classes go first: once each of them has met all others, what is
+    # left is one large class, whose members need not meet.
+    sizes = classes.groupBy("class").agg(F.count(F.lit(1)).alias("size"))
+    placed = members.join(classes, "rep").join(sizes, "class")
+    picks = [
+        F.min(F.struct("size", F.xxhash64("rep", F.lit(i)).alias("by"), "rep", "class")).alias(f"c{i}")
+        for i in range(centres)
     ]
     chosen = (
         placed.groupBy("band", "hash")
@@ -278,18 +281,19 @@ def duplicate_classes(documents: DataFrame, similarity: float = SIMILARITY) -> D
     hashed = found.select("rep", word_hashes(F.col("words")).alias("words")).dropDuplicates(["rep"])
     hashed = staged(hashed, "shingled")
     classes = classes.withColumn("class", F.col("rep"))
-    tried: list[DataFrame] = []
+    tried = None
     centres = 2
     while True:
         members, pairs = _round(members, classes, centres)
-        if tried:
-            pairs = pairs.join(reduce(DataFrame.unionAll, tried), ["a", "b"], "left_anti")
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
         left = hashed.select(F.col("rep").alias("a"), F.col("words").alias("left"))
         right = hashed.select(F.col("rep").alias("b"), F.col("words").alias("right"))
         compared = pairs.join(left, "a").join(right, "b")
         compared = compared.select("a", "b", jaccard_udf("left", "right").alias("similarity"))
         compared = staged(compared, "compared")
-        tried.append(compared.select("a", "b"))
+        met = compared.select("a", "b")
+        tried = met if tried is None else staged(tried.unionAll(met), "tried")
         links = compared.filter(F.col("similarity") >= similarity)
         if not links.isEmpty():
             of_a = classes.select(F.col("rep").alias("a"), F.col("class").alias("class_a"))
@@ -303,7 +307,7 @@ def duplicate_classes(documents: DataFrame, similarity: float = SIMILARITY) -> D
             classes = staged(classes, "classes")
         if members.isEmpty():
             break
-        centres = min(2 * centres, 16)
+        centres = min(2 * centres, MOST_CENTRES)
     known = reps.join(classes, "rep", "left").select(
         "digest", F.coalesce("class", "rep").alias("class_id")
     )
