@@ -147,12 +147,12 @@ def candidates_profile(spark, sf_dir):
 
 
 def path_tail(spark, sf_dir):
-    files = V.local_files(spark, sf_dir)
+    files = V.all_files(spark, sf_dir)
     return V.plain(files.select("path", PF.path_tail("path").alias("tail")))
 
 
 def file_inventory_stats(spark, sf_dir):
-    totals = refresh.inventory_totals(V.local_files(spark, sf_dir))
+    totals = refresh.inventory_totals(V.all_files(spark, sf_dir))
     return V.plain(totals.withColumn("total_mb", F.round("total_mb", 6)))
 
 
@@ -242,6 +242,23 @@ def quarantine_files(spark, sf_dir):
     return V.plain(quarantine.failed_checks(V.parameters(spark, sf_dir), MODES))
 
 
+def quarantine_levels(spark, sf_dir):
+    return V.plain(quarantine.failed_checks(V.staged_uneven(spark, sf_dir), MODES))
+
+
+def flatten_uneven(spark, sf_dir):
+    return V.plain(flatten_levels(V.staged_uneven(spark, sf_dir)).select(*_LEVEL_COLUMNS))
+
+
+def filter_in_float(spark, sf_dir):
+    rows = flatten_levels(V.staged(spark, sf_dir)).select("source_file", "N_PROF", "N_LEVELS", "TEMP")
+    single = rows.withColumn("PART", (F.col("N_PROF") % 10 / 10).cast("float"))
+    found = filters.filter_rows(
+        single, [[("PART", "in", [0.1, 0.7]), ("TEMP", ">", 30)], [("PART", "in", [0.3])]]
+    )
+    return V.plain(found.select("source_file", "N_PROF", "N_LEVELS", "TEMP"))
+
+
 def quarantine_rest(spark, sf_dir):
     sound, _ = quarantine.quarantine(V.parameters(spark, sf_dir), MODES)
     return V.plain(sound.select("source_file", "N_PROF"))
@@ -256,7 +273,12 @@ def failure_rate(spark, sf_dir):
 
 def verify_data_mode(spark, sf_dir):
     staged, _ = quarantine.quarantine(V.parameters(spark, sf_dir), MODES)
-    levels = flatten_levels(datamode.spread_data_modes(staged, MODES))
+    rows = flatten_levels(datamode.spread_data_modes(staged, MODES))
+    rows = rows.withColumn("PLATFORM_NUMBER", F.col("source_file").cast("bigint"))
+    path = write_levels(conform.conform(rows, level_schema("bgc")), V.scratch(spark), "bgc")
+    levels = read_levels(spark, path, "bgc").withColumn(
+        "source_file", F.col("PLATFORM_NUMBER").cast("string")
+    )
     return V.plain(verify.verify_data_modes(levels, staged, MODES))
 
 
@@ -368,6 +390,7 @@ def queries() -> dict[str, Query]:
         "refresh_action": refresh_action,
         "refresh_plan": refresh_plan,
         "flatten_levels": flatten,
+        "flatten_uneven": flatten_uneven,
         "flatten_drop_padding": flatten_drop_padding,
         "conform_schema": conform_schema,
         "union_outer": union_outer,
@@ -377,11 +400,13 @@ def queries() -> dict[str, Query]:
         "data_mode_invalid": data_mode_invalid,
         "calib_invariant": calib_invariant,
         "quarantine_files": quarantine_files,
+        "quarantine_levels": quarantine_levels,
         "quarantine_rest": quarantine_rest,
         "failure_rate": failure_rate,
         "verify_data_mode": verify_data_mode,
         "convert_pipeline": convert_pipeline,
         "filter_dnf": filter_dnf,
+        "filter_in_float": filter_in_float,
         "filter_not_in": filter_not_in,
         "filter_in_null": filter_in_null,
         "box_filter": box_filter,

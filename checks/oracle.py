@@ -50,11 +50,12 @@ _FLOAT_FILE = (
 )
 
 _FILES = f"""
-v_files AS (
-  SELECT '/mirror/dac/' || {_FLOAT_FILE} AS path,
+v_all_files AS (
+  SELECT c_custkey, '/mirror/dac/' || {_FLOAT_FILE} AS path,
     TIMESTAMP '1998-06-01' + to_days(CAST(c_custkey * 7 % 1500 AS INTEGER)) AS mtime,
     100000 + c_custkey * 37 % 9000 AS length
-  FROM customer WHERE c_custkey % 3 <> 0),
+  FROM customer),
+v_files AS (SELECT path, mtime, length FROM v_all_files WHERE c_custkey % 3 <> 0),
 v_remote AS (
   SELECT 'https://example.org/dac/' || {_FLOAT_FILE} AS url,
     CASE WHEN c_custkey % 23 <> 0
@@ -240,9 +241,9 @@ def oracle_sql() -> dict[str, str]:
             'https://example.org/dac/' || filepath || filename AS url
             FROM v_index WHERE wmoid IS NOT NULL""",
         "path_tail": f"""WITH {_FILES} SELECT path,
-            array_to_string(string_split(path, '/')[-3:], '/') AS tail FROM v_files""",
+            array_to_string(string_split(path, '/')[-3:], '/') AS tail FROM v_all_files""",
         "file_inventory_stats": f"""WITH {_FILES} SELECT count(*) AS files,
-            round(sum(length) / (1024 * 1024), 6) AS total_mb FROM v_files""",
+            round(sum(length) / (1024 * 1024), 6) AS total_mb FROM v_all_files""",
         "freshness": f"""WITH {_INDEX}, {_FILES}, {_candidates('v_index')}, {_states('v_index')}
             SELECT local_path, wmoid, state FROM states""",
         "refresh_action": f"""WITH {_INDEX}, {_FILES}, {_candidates('v_index')}
@@ -315,6 +316,28 @@ def oracle_sql() -> dict[str, str]:
               ELSE 'data mode of a known parameter is longer than one character' END AS error
             FROM flags WHERE bad_calibration OR bad_mode"""
         ),
+        "quarantine_levels": """WITH longest AS (
+              SELECT o_custkey, o_orderkey, max((l_linenumber - 1) % 7) + 1 AS n
+              FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL)
+            SELECT CAST(o_custkey AS VARCHAR) AS source_file,
+              'level_count is missing or smaller than an array' AS error
+            FROM longest GROUP BY o_custkey
+            HAVING bool_or(CASE WHEN o_custkey % 5 = 0 THEN coalesce(n, 0) > 2
+              ELSE o_custkey % 7 = 0 END)""",
+        "flatten_uneven": """WITH longest AS (
+              SELECT orders.*, coalesce(max((l_linenumber - 1) % 7) + 1, 0) AS n
+              FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL),
+            uneven AS (
+              SELECT *, greatest(n, CASE WHEN o_custkey % 5 = 0 THEN 2
+                WHEN o_custkey % 7 = 0 THEN 0 ELSE 7 + o_custkey % 3 END) AS rows FROM longest),
+            """ + _STAGED.replace(
+            "generate_series(0, 6 + o_custkey % 3)) AS lvl FROM orders",
+            "generate_series(0, rows - 1)) AS lvl FROM uneven",
+        ) + f" SELECT {_LEVEL_COLUMNS} FROM levels",
+        "filter_in_float": _levels(
+            """SELECT source_file, "N_PROF", "N_LEVELS", "TEMP" FROM levels
+            WHERE "N_PROF" % 10 = 3 OR ("N_PROF" % 10 IN (1, 7) AND "TEMP" > 30)"""
+        ),
         "quarantine_rest": _parameters(
             """SELECT DISTINCT source_file, n_prof AS "N_PROF" FROM entries
             WHERE source_file NOT IN (
@@ -338,10 +361,13 @@ def oracle_sql() -> dict[str, str]:
               SELECT *, row_number() OVER (PARTITION BY source_file, n_prof ORDER BY event_id)
                 - 1 AS lvl
               FROM entries),
+            lengths AS (
+              SELECT source_file, max(lvl) AS last FROM numbered GROUP BY source_file),
             grid AS (
               SELECT e.source_file, e.user_id, e.n_prof, e.has_modes,
-                unnest(generate_series(0, 2)) AS lvl
+                unnest(generate_series(0, last)) AS lvl
               FROM (SELECT DISTINCT source_file, user_id, n_prof, has_modes FROM entries) e
+              JOIN lengths l ON e.source_file = l.source_file
               JOIN flags f ON e.source_file = f.source_file
               WHERE NOT (bad_calibration OR bad_mode))
             SELECT g.user_id AS "PLATFORM_NUMBER", g.n_prof AS "N_PROF",

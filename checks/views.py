@@ -111,19 +111,22 @@ def _day(start: str, days: Column) -> Column:
     return F.timestamp_add("DAY", days.cast("int"), F.lit(start).cast("timestamp_ntz"))
 
 
-def local_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+def all_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The file of every customer's float."""
     key = F.col("c_custkey")
-    return (
-        table(spark, sf_dir, "customer")
-        .where(key % 3 != 0)
-        .select(
-            _float_file(LOCAL_ROOT).alias("path"),
-            _day("1998-06-01", key * 7 % 1500).alias("mtime"),
-            (F.lit(100000) + key * 37 % 9000).alias("length"),
-        )
+    return table(spark, sf_dir, "customer").select(
+        key.alias("_key"),
+        _float_file(LOCAL_ROOT).alias("path"),
+        _day("1998-06-01", key * 7 % 1500).alias("mtime"),
+        (F.lit(100000) + key * 37 % 9000).alias("length"),
     )
 
 
+def local_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mirror that lacks every third file."""
+    return all_files(spark, sf_dir).where(F.col("_key") % 3 != 0).drop("_key")
+
+
 def remote_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
     return table(spark, sf_dir, "customer").select(
@@ -180,10 +183,18 @@ def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def staged_uneven(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same profiles; some files declare no number of levels, some only two."""
+    customer = F.col("source_file").cast("bigint")
+    count = F.when(customer % 5 == 0, 2).when(customer % 7 != 0, F.col("level_count"))
+    return staged(spark, sf_dir).withColumn("level_count", count)
+
+
 def parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Profiles with parameter names and data modes, three levels each.
+    """Profiles with parameter names and data modes, one level per event.
 
-    One file per user, one profile per user and block of event ids.
+    One file per user, one profile per user and block of event ids; a file has as
+    many levels as its longest profile.
     """
     event, user = F.col("event_id"), F.col("source_file").cast("bigint")
     name = F.create_map(*(F.lit(x) for kv in EVENT_PARAMETERS.items() for x in kv))
@@ -203,13 +214,14 @@ def parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .agg(F.sort_array(F.collect_list(entry)).alias("e"), F.max("ts").alias("JULD"))
     )
-    return grouped.select(
+    longest = grouped.groupBy("source_file").agg(F.max(F.size("e")).alias("level_count"))
+    return grouped.join(longest, "source_file").select(
         "source_file",
         "N_PROF",
-        F.lit(3).alias("level_count"),
+        "level_count",
         user.alias("PLATFORM_NUMBER"),
         "JULD",
-        F.transform(F.slice("e", 1, 3), lambda e: e["value"].cast("float")).alias("TEMP"),
+        F.transform("e", lambda e: e["value"].cast("float")).alias("TEMP"),
         F.array(
             F.transform("e", lambda e: e["name"]),
             F.transform("e", lambda e: F.when(e["differs"], "X").otherwise(e["name"])),

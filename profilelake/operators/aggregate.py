@@ -60,6 +60,8 @@ def quantile_limits(
     """
     if len(q) != len(names):
         raise ValueError("one name is needed per quantile")
+    if not all(0 <= x <= 1 for x in q):
+        raise ValueError(f"quantiles must lie between 0 and 1: {list(q)}")
     kind = df.schema[column].dataType
     value = F.col(column) if isinstance(kind, _FLOATING) else F.col(column).cast("double")
     present = df.where(value.isNotNull() & ~F.isnan(value)).select(value.alias("v"))

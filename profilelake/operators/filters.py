@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Sequence
+from datetime import datetime
 from functools import reduce
 from operator import and_, or_
 from typing import Any
@@ -14,6 +15,8 @@ from pyspark.sql import types as T
 
 from profilelake import functions as PF
 
+_FLOATING = (T.FloatType, T.DoubleType)
+
 Predicate = tuple[str, str, Any]
 Filters = Sequence[Predicate] | Sequence[Sequence[Predicate]]
 
@@ -22,25 +25,52 @@ def _is_nan(value: Any) -> bool:
     return isinstance(value, float) and math.isnan(value)
 
 
-def _membership(column: Column, values: Iterable[Any], floating: bool) -> Column:
-    """True or false, never null: null and NaN belong only when they are listed."""
+_INTEGER_BITS = {"tinyint": 8, "smallint": 16, "int": 32, "bigint": 64}
+
+
+def _fits(value: Any, kind: T.DataType) -> bool:
+    """Whether a column of this type can hold the value at all."""
+    bits = _INTEGER_BITS.get(kind.simpleString())
+    if bits is None or isinstance(value, (bool, str)):
+        return True
+    return value == int(value) and -(2 ** (bits - 1)) <= value < 2 ** (bits - 1)
+
+
+def _typed(value: Any, kind: T.DataType) -> Column:
+    """A listed value in the column's own type: 0.1 is then found in a float column."""
+    if isinstance(kind, T.TimestampNTZType) and isinstance(value, datetime):
+        value = value.isoformat(sep=" ")
+    return F.lit(value).cast(kind)
+
+
+def _membership(column: Column, values: Iterable[Any], kind: T.DataType, inside: bool) -> Column:
+    """``in`` or ``not in``, as comparisons that a Parquet scan can apply.
+
+    Null and NaN belong to the list only when they are listed.
+    """
     listed = [values] if isinstance(values, str) else list(values)
-    plain = [v for v in listed if v is not None and not _is_nan(v)]
-    found = F.coalesce(column.isin(plain), F.lit(False)) if plain else F.lit(False)
-    if any(v is None for v in listed):
-        found = found | column.isNull()
-    if floating and any(_is_nan(v) for v in listed):
-        found = found | F.coalesce(F.isnan(column), F.lit(False))
-    return found
+    listed = [v.item() if hasattr(v, "item") else v for v in listed]
+    plain = [v for v in listed if v is not None and not _is_nan(v) and _fits(v, kind)]
+    null = any(v is None for v in listed)
+    nan = isinstance(kind, _FLOATING) and any(_is_nan(v) for v in listed)
+    found = column.isin([_typed(v, kind) for v in plain]) if plain else None
+    if inside:
+        parts = [] if found is None else [found]
+        parts += [column.isNull()] * null + [F.isnan(column)] * nan
+        return reduce(or_, parts) if parts else F.lit(False)
+    if found is None:
+        kept = column.isNotNull() if null else F.lit(True)
+    else:
+        kept = column.isNotNull() & ~found if null else column.isNull() | ~found
+    return kept & ~F.isnan(column) if nan else kept
 
 
 def _predicate(schema: T.StructType, name: str, op: str, value: Any) -> Column:
     column = F.col(name)
-    floating = isinstance(schema[name].dataType, (T.FloatType, T.DoubleType))
-    if op == "in":
-        return _membership(column, value, floating)
-    if op == "not in":
-        return ~_membership(column, value, floating)
+    kind = schema[name].dataType
+    floating = isinstance(kind, _FLOATING)
+    if op in {"in", "not in"}:
+        return _membership(column, value, kind, op == "in")
     if op == "!=":
         return column.isNotNull() if _is_nan(value) else column != F.lit(value)
     if op not in {"=", "==", "<", "<=", ">", ">="}:
@@ -55,8 +85,9 @@ def _predicate(schema: T.StructType, name: str, op: str, value: Any) -> Column:
     if op == "<=":
         return column <= literal
     above = column > literal if op == ">" else column >= literal
-    # Spark ranks NaN above every number; here it is never in range.
-    return above & ~F.isnan(column) if floating else above
+    # Spark ranks NaN above every number; here it is never in range. A comparison says so
+    # in a form that reaches the scan, which isnan does not.
+    return above & (column <= F.lit(math.inf).cast(kind)) if floating else above
 
 
 def filter_condition(schema: T.StructType, filters: Filters) -> Column:

@@ -14,15 +14,23 @@ from profilelake.operators.datamode import (
     data_mode_too_long,
     with_mode_columns,
 )
+from profilelake.operators.flatten import longest_array
 from profilelake.sources.stored import stored
 
+LEVELS_ERROR = "level_count is missing or smaller than an array"
+
 
 def failed_checks(staged: DataFrame, parameters: Sequence[str]) -> DataFrame:
     """Failing files with the reason, one row each.
 
-    Reads names and modes only, and only failing profiles are shuffled.
+    Names, modes and array lengths are looked at, and only failing profiles are
+    shuffled. A file without number of levels, or with more values than levels,
+    fails where ``staged`` has a ``level_count``.
     """
     failure = F.when(calibration_varies(), 1).when(data_mode_too_long(parameters), 2)
+    if "level_count" in staged.columns:
+        declared = F.col("level_count")
+        failure = failure.when(declared.isNull() | (longest_array(staged) > declared), 3)
     return (
         with_mode_columns(staged)
         .select("source_file", failure.alias("failure"))
@@ -32,7 +40,8 @@ def failed_checks(staged: DataFrame, parameters: Sequence[str]) -> DataFrame:
         .select(
             "source_file",
             F.when(F.col("failure") == 1, CALIBRATION_ERROR)
-            .otherwise(DATA_MODE_ERROR)
+            .when(F.col("failure") == 2, DATA_MODE_ERROR)
+            .otherwise(LEVELS_ERROR)
             .alias("error"),
         )
     )

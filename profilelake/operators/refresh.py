@@ -51,48 +51,35 @@ def latest_updates(index: DataFrame) -> DataFrame:
     )
 
 
-def freshness(candidates: DataFrame, index: DataFrame, files: DataFrame) -> DataFrame:
-    """Add ``state``: ``missing``, ``current`` or ``stale``.
+def _with_mtime(candidates: DataFrame, files: DataFrame) -> DataFrame:
+    """Add the local file's time, null without a file; a path listed twice counts once."""
+    local = files.groupBy(F.col("path").alias("local_path")).agg(F.max("mtime").alias("_mtime"))
+    return candidates.join(local, "local_path", "left")
 
-    A file is current when it is newer than every update of its float; a
-    profile without update time cannot be ruled out and makes it stale.
-    """
-    local = files.select(F.col("path").alias("local_path"), F.col("mtime").alias("_mtime"))
-    updates = latest_updates(index)
+
+def _with_state(timed: DataFrame, index: DataFrame) -> DataFrame:
     newer = (F.col("undated") == 0) & (F.col("last_update") < F.col("_mtime"))
     # No profile at all: nothing the file could be older than.
     newer = F.when(F.col("undated").isNull(), True).otherwise(F.coalesce(newer, F.lit(False)))
     state = (
         F.when(F.col("_mtime").isNull(), "missing").when(newer, "current").otherwise("stale")
     )
-    return (
-        candidates.join(local, "local_path", "left")
-        .join(updates, "wmoid", "left")
-        .select(*candidates.columns, state.alias("state"))
+    return timed.join(latest_updates(index), "wmoid", "left").select(
+        *timed.columns, state.alias("state")
     )
 
 
-def refresh_actions(
-    candidates: DataFrame,
-    files: DataFrame,
-    remote: DataFrame,
-    checktime: bool = True,
-    overwrite: bool = False,
+def _with_action(
+    timed: DataFrame, remote: DataFrame, checktime: bool, overwrite: bool
 ) -> DataFrame:
-    """Add ``action``: ``keep``, ``fetch``, ``error`` or ``missing_remote``.
-
-    ``remote`` lists ``url, remote_mtime, status``; an address it lacks counts
-    as not found. With ``checktime`` a present file is kept unless the remote
-    one is newer, and ``overwrite`` plays no part. Candidates that carry a
-    ``state`` are kept when it says ``current``. The result is the dry run.
-    """
-    local = files.select(F.col("path").alias("local_path"), F.col("mtime").alias("_mtime"))
-    listing = remote.select("url", "remote_mtime", "status")
+    listing = remote.groupBy("url").agg(
+        F.max("remote_mtime").alias("remote_mtime"), F.min("status").alias("status")
+    )
     exists = F.col("_mtime").isNotNull()
     found = F.coalesce(F.col("status"), F.lit(404)) != 404
     action = F
     if checktime:
-        if "state" in candidates.columns:
+        if "state" in timed.columns:
             action = action.when(F.col("state") == "current", "keep")
         action = action.when(exists & F.col("remote_mtime").isNull(), "error").when(
             exists & (F.col("remote_mtime") <= F.col("_mtime")), "keep"
@@ -100,10 +87,53 @@ def refresh_actions(
     elif not overwrite:
         action = action.when(exists, "keep")
     action = action.when(~found, "missing_remote").otherwise("fetch")
-    return (
-        candidates.join(local, "local_path", "left")
-        .join(listing, "url", "left")
-        .select(*candidates.columns, action.alias("action"))
+    return timed.join(listing, "url", "left").select(*timed.columns, action.alias("action"))
+
+
+def freshness(candidates: DataFrame, index: DataFrame, files: DataFrame) -> DataFrame:
+    """Add ``state``: ``missing``, ``current`` or ``stale``.
+
+    A file is current when it is newer than every update of its float; a
+    profile without update time cannot be ruled out and makes it stale.
+    """
+    return _with_state(_with_mtime(candidates, files), index).select(
+        *candidates.columns, "state"
+    )
+
+
+def refresh_actions(
+    candidates: DataFrame,
+    files: DataFrame,
+    remote: DataFrame,
+    checktime: bool = True,
+    overwrite: bool = False,
+) -> DataFrame:
+    """Add ``action``: ``keep``, ``fetch``, ``error`` or ``missing_remote``.
+
+    ``remote`` lists ``url, remote_mtime, status``; an address it lacks counts
+    as not found, one listed twice counts once (latest time, least status).
+    With ``checktime`` a present file is kept unless the remote one is newer,
+    and ``overwrite`` plays no part. Candidates that carry a ``state`` are kept
+    when it says ``current``. The result is the dry run.
+    """
+    timed = _with_mtime(candidates, files)
+    return _with_action(timed, remote, checktime, overwrite).select(
+        *candidates.columns, "action"
+    )
+
+
+def planned_actions(
+    candidates: DataFrame,
+    index: DataFrame,
+    files: DataFrame,
+    remote: DataFrame,
+    checktime: bool = True,
+    overwrite: bool = False,
+) -> DataFrame:
+    """``state`` and ``action`` together: the inventory is joined once for both."""
+    stated = _with_state(_with_mtime(candidates, files), index)
+    return _with_action(stated, remote, checktime, overwrite).select(
+        *candidates.columns, "state", "action"
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -14,9 +14,6 @@ from profilelake.flavour import Flavour, flavour
 EARLIEST = datetime(1900, 1, 1)
 LATEST = datetime(2200, 1, 1)
 
-# Longer lists of floats are joined instead of compared one by one.
-LONGEST_LIST = 1000
-
 
 def subset_area(
     index: DataFrame,
@@ -41,13 +38,18 @@ def subset_dates(
                                              F.lit(end or LATEST).cast("timestamp_ntz")))
 
 
-def subset_floats(index: DataFrame, floats: int | Sequence[int] | DataFrame) -> DataFrame:
-    """Profiles of the given floats: one id, a list, or a table with a ``wmoid`` column."""
+def subset_floats(
+    index: DataFrame, floats: int | str | Iterable[int | str] | DataFrame
+) -> DataFrame:
+    """Profiles of the given floats: one id, a list, or a table with a ``wmoid`` column.
+
+    Ids may be numbers of any kind or their text. All forms become a table that
+    is joined; Spark broadcasts it by its size.
+    """
     if not isinstance(floats, DataFrame):
-        ids = [floats] if isinstance(floats, int) else list(floats)
-        if len(ids) <= LONGEST_LIST:
-            return index.where(F.col("wmoid").isin(ids))
-        floats = index.sparkSession.createDataFrame([(i,) for i in ids], "wmoid bigint")
+        single = isinstance(floats, str) or not isinstance(floats, Iterable)
+        ids = {int(i) for i in ([floats] if single else floats)}
+        floats = index.sparkSession.createDataFrame([(i,) for i in sorted(ids)], "wmoid bigint")
     return index.join(floats.select("wmoid"), "wmoid", "left_semi").select(*index.columns)
 
 

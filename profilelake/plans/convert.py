@@ -65,16 +65,16 @@ def convert_profiles(
     kind = flavour(db)
     schema = level_schema(kind)
 
-    bad = [failed_checks(staged, kind.data_mode_parameters)]
+    # The run's own list; the dataset's list is only added to by an append.
+    folder = f"{root.rstrip('/')}/runs"
+    bad = [stored(failed_checks(staged, kind.data_mode_parameters), folder)]
     if failed is not None:
         bad.append(failed.select("source_file", "error"))
     if on_error == "quarantine":
-        checked = without_files(staged, stored(bad[0]))
+        checked = without_files(staged, bad[0])
         bad.append(uncastable_files(level_rows(checked, kind), schema))
-    # Stored apart from the dataset's own list, which an append only adds to.
-    listed = stored(union_outer(bad))
+    listed = stored(union_outer(bad), folder)
     quarantine = f"{root.rstrip('/')}/quarantine/{kind.name}"
-    listed.write.mode(mode).parquet(quarantine)
     sound = without_files(staged, listed)
     levels = conform(
         level_rows(sound, kind, drop_padding),
@@ -84,7 +84,8 @@ def convert_profiles(
     written = write_levels(
         levels, root, kind, mode, target_file_bytes=target_file_bytes, cluster_by=cluster_by
     )
-    described = None if metadata is None else write_metadata(metadata, root, kind)
+    listed.write.mode(mode).parquet(quarantine)
+    described = None if metadata is None else write_metadata(metadata, root, kind, mode)
     return Conversion(written, quarantine, described)
 
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from profilelake.flavour import Flavour, flavour
-from profilelake.operators.refresh import candidates_per_float, freshness, refresh_actions
+from profilelake.operators.refresh import candidates_per_float, planned_actions
 from profilelake.operators.subset import float_list, subset_index
 from profilelake.sources.index import enrich_index, split_rejects
 
@@ -41,8 +41,6 @@ def plan_refresh(
     usable, rejects = split_rejects(enrich_index(index))
     metadata = subset_index(usable, kind, **subset)
     floats = float_list(metadata)
-    candidates = freshness(
-        candidates_per_float(floats, kind, local_root, remote_root), metadata, files
-    )
-    actions = refresh_actions(candidates, files, remote, checktime, overwrite)
+    candidates = candidates_per_float(floats, kind, local_root, remote_root)
+    actions = planned_actions(candidates, metadata, files, remote, checktime, overwrite)
     return MirrorPlan(metadata, floats, actions, rejects)

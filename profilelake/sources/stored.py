@@ -11,18 +11,26 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for intermediate data; a local one if it names none."""
-    folder = spark.conf.get(_SETTING, None)
-    return (folder or tempfile.mkdtemp(prefix="profilelake-")).rstrip("/")
+    """The folder the cluster names for intermediate data.
+
+    A folder of this machine serves only where executors are threads of it
+    (``local[...]``); elsewhere they could not see each other's files.
+    """
+    folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError(f"{_SETTING} must name a folder that all executors share")
+    return tempfile.mkdtemp(prefix="profilelake-")
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, folder: str | None = None) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     Cuts lineage, and gives the planner the true size: a small table is
     broadcast, a large one is joined by shuffles that can be split where one
     key is hot.
     """
-    path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    path = f"{folder or shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

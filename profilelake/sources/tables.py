@@ -130,10 +130,12 @@ def write_levels(
     return path
 
 
-def write_metadata(metadata: DataFrame, root: str, db: str | Flavour) -> str | None:
+def write_metadata(
+    metadata: DataFrame, root: str, db: str | Flavour, mode: str = "overwrite"
+) -> str | None:
     """Write the index subset beside the level data; an empty one is skipped."""
     if metadata.isEmpty():
         return None
     path = metadata_path(root, db)
-    metadata.write.mode("overwrite").parquet(path)
+    metadata.write.mode(mode).parquet(path)
     return path

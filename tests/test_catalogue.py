@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry_point
+from checks import catalogue, oracle
 from compare import connect, duck_rows, spark_rows
 from conftest import SF_DIR
 
-QUERIES = entry_point.queries()
-SQL = entry_point.oracle_sql()
+QUERIES = catalogue.queries()
+SQL = oracle.oracle_sql()
 TYPES = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE"}
 
 
@@ -18,6 +19,8 @@ def duck():
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert all(entry_point.oracle_sql()[name] == SQL[name] for name in SQL)
 
 
 @pytest.mark.parametrize("name", list(QUERIES))

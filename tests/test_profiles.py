@@ -49,10 +49,18 @@ def test_drop_padding(spark):
 
 
 def test_files_without_levels_and_overlong_arrays(spark):
-    df = stage(spark, profile(count=0), profile(file="g", count=2))
-    assert [(r.source_file, r.N_LEVELS) for r in flatten_levels(df).orderBy("N_LEVELS").collect()] == [
-        ("g", 0), ("g", 1)
-    ]
+    df = stage(spark, profile(count=0), profile(file="g", count=2), profile(file="h", count=None))
+    rows = [(r.source_file, r.N_LEVELS) for r in flatten_levels(df).collect()]
+    assert sorted(rows) == [(f, k) for f in "fgh" for k in range(3)]
+    bad = {r.source_file: r.error for r in quarantine.failed_checks(df, KNOWN).collect()}
+    assert bad == dict.fromkeys("fgh", quarantine.LEVELS_ERROR)
+
+
+def test_sound_files_keep_every_value(spark):
+    df = stage(spark, profile(), profile(file="g", prof=1))
+    assert quarantine.failed_checks(df, KNOWN).isEmpty()
+    values = df.selectExpr("sum(size(filter(PRES, p -> p is not null)))").first()[0]
+    assert flatten_levels(df).where("PRES is not null").count() == values
 
 
 def test_wanted_columns(spark):
