@@ -38,20 +38,39 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from profilelake.llm.common import staged, texts
 from profilelake.llm.near_duplicates import mix
 
 LENGTH = 100
-KMER = 32
+KMER = 24
+WIDE = 64  # bytes of the blocks that a context's hash is made of
 CHUNK_BYTES = 4_000_000  # bytes whose anchors are looked for at once
 BLOCK_BYTES = 2_000_000  # bytes of contexts in one suffix array
 GROUP_LIMIT = 5_000  # contexts of one anchor that may meet in a block
 
-FOUND = "kind int, h bigint, c bigint, doc_id bigint, start int, n int, anchor int"
-REPEAT, FIRST, OPEN = 0, 1, 2
+#: ``place`` packs a run: where it starts, its windows, and what is known of it.
+FOUND = "h bigint, c bigint, doc_id bigint, place bigint"
+SETTLED = "h bigint, doc_id bigint, place bigint"
+REPEAT, OPEN, SPLIT = 0, 1, 2
+
+
+def _packed(start: np.ndarray, n: np.ndarray, kind: int) -> np.ndarray:
+    return (start.astype(np.int64) << 10 | n.astype(np.int64)) << 2 | kind
+
+
+def _start(place: Column) -> Column:
+    return F.shiftright(place, 12)
+
+
+def _windows(place: Column) -> Column:
+    return F.shiftright(place, 2).bitwiseAND(1023)
+
+
+def _kind(place: Column) -> Column:
+    return place.bitwiseAND(3)
 
 _BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -66,13 +85,16 @@ def anchors(data: np.ndarray, owner: np.ndarray, length: int = LENGTH):
 
     ``data`` holds the bytes of several documents, ``owner`` their numbers.
     """
-    if len(data) < max(length, 2 * KMER):
+    if len(data) < length:
         return [np.zeros(0, np.int64)] * 3 + [np.zeros(0, np.uint64)] * 2
-    hashes, step = _BYTES[data], 1
-    while step < KMER:
-        hashes = _doubled(hashes, step)
+    levels, step = [_BYTES[data]], 1
+    while step < WIDE:
+        levels.append(_doubled(levels[-1], step))
         step *= 2
-    wide = _doubled(hashes, KMER)
+    wide = levels[-1]
+    hashes, step = levels[4][: len(levels[4]) - 8], 16  # 16 bytes and the 8 after them
+    hashes = mix(hashes * np.uint64(0xD6E8FEB86659FD93) + levels[3][16 : 16 + len(hashes)])
+    del levels
     span = length - KMER + 1  # anchors to choose from in a window
     least, at, width = hashes, np.arange(len(hashes), dtype=np.int32), 1
     while 2 * width <= span:
@@ -94,18 +116,15 @@ def anchors(data: np.ndarray, owner: np.ndarray, length: int = LENGTH):
     n = np.flatnonzero(ends) - start + 1
     anchor, size = at[start], n + length - 1
     context = mix(wide[start] + (anchor - start).astype(np.uint64))
-    for place in (start + (size - 2 * KMER) // 2, start + size - 2 * KMER):
+    for place in (start + (size - WIDE) // 2, start + size - WIDE):
         context = mix(context * np.uint64(0xD6E8FEB86659FD93) + wide[place])
     context = mix(context + size.astype(np.uint64))
     return start, n, anchor, hashes[anchor], context
 
 
-def _rows(kind, h, c, doc, start, n, anchor) -> pa.RecordBatch:
-    kinds = np.broadcast_to(np.int32(kind), len(doc)) if np.isscalar(kind) else kind
-    columns = [pa.array(x.astype(np.int64)) for x in (h, c, doc)]
-    small = [pa.array(x.astype(np.int32)) for x in (start, n, anchor)]
-    names = ["kind", "h", "c", "doc_id", "start", "n", "anchor"]
-    return pa.record_batch([pa.array(kinds.astype(np.int32)), *columns, *small], names=names)
+def _rows(names: str, *columns: np.ndarray) -> pa.RecordBatch:
+    arrays = [pa.array(np.asarray(x).astype(np.int64)) for x in columns]
+    return pa.record_batch(arrays, names=names.replace(" bigint", "").split(", "))
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]):
@@ -136,56 +155,96 @@ def _find(length: int):
             doc = np.array(ids, np.int64)[which]
             start, anchor = start - begins[which], anchor - begins[which]
             order = np.lexsort((start, doc, c, h))
-            h, c, doc, start, n, anchor = (x[order] for x in (h, c, doc, start, n, anchor))
+            h, c, doc, start, n = (x[order] for x in (h, c, doc, start, n))
             again = np.zeros(len(h), bool)
             again[1:] = (h[1:] == h[:-1]) & (c[1:] == c[:-1])
-            # The first of each kind is shuffled by its hash, a repeat by its document.
             lead = np.maximum.accumulate(np.where(again, 0, np.arange(len(h))))
             same = again & (doc == doc[lead]) & (start == start[lead])
-            key = np.where(again, mix(doc.astype(np.uint64)), h)
-            kind = np.where(again, REPEAT, FIRST)
-            keep = ~same
-            yield _rows(*(x[keep] for x in (kind, key, c, doc, start, n, anchor)))
+            first, again = ~again, again & ~same
+            yield _rows(FOUND, h[first], c[first], doc[first], _packed(start[first], n[first], OPEN))
+            # Repeats of this chunk, adjacent runs as one, travel with their document's number.
+            doc, start, end = _joined(doc[again], start[again], n[again])
+            for at in range(0, int((end - start).max(initial=0)), 1000):
+                part = end - start > at
+                size = np.minimum(end[part] - start[part] - at, 1000)
+                place = _packed(start[part] + at, size, REPEAT)
+                yield _rows(FOUND, mix(doc[part].astype(np.uint64)), place * 0, doc[part], place)
 
     return find
 
 
-def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by hash and content: repeats, and firsts that have rivals."""
-    held = None  # the last first, which may have a rival in the next batch
-    for batch in batches:
-        kind, h, c, doc, start, n, anchor = (
-            batch.column(i).to_numpy(zero_copy_only=False) for i in range(7)
-        )
-        ready = kind == REPEAT
-        if ready.any():
-            yield _rows(REPEAT, *(x[ready] for x in (h, c, doc, start, n, anchor)))
-        rows = [x[~ready] for x in (h, c, doc, start, n, anchor)]
-        if held is not None:
-            rows = [np.concatenate([np.array([v]), x]) for v, x in zip(held[0], rows)]
-        h, c, doc, start, n, anchor = rows
-        if not len(h):
-            continue
-        again = np.zeros(len(h), bool)
-        again[1:] = (h[1:] == h[:-1]) & (c[1:] == c[:-1])
-        lead = np.maximum.accumulate(np.where(again, 0, np.arange(len(h))))
-        repeat = again & ~((doc == doc[lead]) & (start == start[lead]))
-        if repeat.any():
-            yield _rows(REPEAT, *(x[repeat] for x in rows))
-        firsts = [x[~again] for x in rows]
-        same = firsts[0][1:] == firsts[0][:-1]
-        rival = np.zeros(len(firsts[0]), bool)
-        rival[1:] |= same
-        rival[:-1] |= same
-        if held is not None:
-            rival[0] |= held[1]
-        held = [x[-1] for x in firsts], bool(rival[-1])
-        open_ = rival.copy()
-        open_[-1] = False
-        if open_.any():
-            yield _rows(OPEN, *(x[open_] for x in firsts))
-    if held is not None and held[1]:
-        yield _rows(OPEN, *(np.array([v]) for v in held[0]))
+def _joined(doc: np.ndarray, start: np.ndarray, n: np.ndarray):
+    """(document, start, end) of runs of windows, adjacent ones joined."""
+    order = np.lexsort((start, doc))
+    doc, start, end = doc[order], start[order], (start + n)[order]
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (start[1:] != end[:-1])
+    at = np.flatnonzero(new)
+    last = np.append(at[1:], len(doc)) - 1 if len(at) else at
+    return doc[at], start[at], end[last]
+
+
+def _settle(group_limit: int):
+    """From rows sorted by hash and content: repeats, and firsts that have rivals.
+
+    The firsts of one hash are held until their number is known, or until there are
+    too many to meet in one block: then they and all that follow are split.
+    """
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros(0, np.int64)] * 3  # firsts of the hash that is being read
+        last, over = None, False
+        for batch in batches:
+            h, c, doc, place = (
+                batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)
+            )
+            ready = place & 3 == REPEAT
+            if ready.any():
+                yield _rows(SETTLED, h[ready] * 0, doc[ready], place[ready])
+            rows = [x[~ready] for x in (h, c, doc, place)]
+            if not len(rows[0]):
+                continue
+            if last is not None:
+                rows = [np.concatenate([[v], x]) for v, x in zip(last, rows)]
+            h, c, doc, place = rows
+            again = np.zeros(len(h), bool)
+            again[1:] = (h[1:] == h[:-1]) & (c[1:] == c[:-1])
+            lead = np.maximum.accumulate(np.where(again, 0, np.arange(len(h))))
+            repeat = again & ~((doc == doc[lead]) & (place == place[lead]))
+            if repeat.any():
+                yield _rows(SETTLED, h[repeat] * 0, doc[repeat], place[repeat] & ~3)
+            first = ~again
+            new = first.copy()
+            new[0] = last is None
+            last = [x[np.flatnonzero(first)[-1]] for x in rows]
+            h, doc, place = (
+                np.concatenate([x, y[new]]) for x, y in zip(held, (h, doc, place))
+            )
+            if not len(h):
+                continue
+            starts = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+            counts = np.diff(np.append(starts, len(h)))
+            # Without held rows of a hash over the limit, its later rows are split as well.
+            if over and h[0] != hot:
+                over = False
+            many = counts > group_limit
+            if over:
+                many[0] = True
+            size = np.repeat(counts, counts)
+            split = np.repeat(many, counts)
+            out = split | (size > 1)
+            keep = 0 if many[-1] else counts[-1]
+            out[len(h) - keep :] = False
+            if out.any():
+                kind = np.where(split[out], SPLIT, OPEN)
+                yield _rows(SETTLED, h[out], doc[out], place[out] & ~3 | kind)
+            over = bool(many[-1])
+            hot = h[-1]
+            held = [x[len(h) - keep :] for x in (h, doc, place)]
+        if len(held[0]) > 1:
+            yield _rows(SETTLED, *held)
+
+    return settle
 
 
 def _fetch(length: int):
@@ -199,8 +258,8 @@ def _fetch(length: int):
             for doc, text, wanted in zip(batch["doc_id"], batch["text"], batch["wanted"]):
                 raw, doc = text.as_py().encode(), doc.as_py()
                 for w in wanted.as_py():
-                    start, n = w["start"], w["n"]
-                    if not w["split"]:
+                    start, n = w["place"] >> 12, w["place"] >> 2 & 1023
+                    if w["place"] & 3 != SPLIT:
                         rows.append((w["h"], doc, start, n, raw[start : start + n + length - 1]))
                         continue
                     for at in range(start, start + n):
@@ -278,10 +337,8 @@ def _block_repeats(h, doc, start, n, parts, length: int) -> pa.RecordBatch:
     last = np.zeros(len(found), bool)
     last[:-1] = found[1:] & (which[1:] == which[:-1])
     end = np.flatnonzero(found & ~last)
-    zero = np.zeros(len(first), np.int64)
-    return _rows(
-        REPEAT, zero, zero, doc[which[first]], start[which[first]] + within[first], end - first + 1, zero
-    )
+    place = _packed(start[which[first]] + within[first], end - first + 1, REPEAT)
+    return _rows(SETTLED, place * 0, doc[which[first]], place)
 
 
 def _compare(length: int):
@@ -295,7 +352,8 @@ def _compare(length: int):
                 if row[3] == 1 and rows and rows[-1][0] == row[0] and rows[-1][4] == row[4]:
                     # Equal single windows of a split anchor: the first is kept, in order.
                     if row[1:3] != rows[-1][1:3]:
-                        yield _rows(REPEAT, *(np.array([v]) for v in (0, 0, row[1], row[2], 1, 0)))
+                        place = _packed(np.array([row[2]]), np.array([1]), REPEAT)
+                        yield _rows(SETTLED, place * 0, np.array([row[1]]), place)
                     continue
                 rows.append(row)
                 size += len(row[4])
@@ -319,11 +377,12 @@ def _cut(length: int):
             for doc, text, repeats in zip(batch["doc_id"], batch["text"], batch["repeats"]):
                 raw, at, spans, kept = text.as_py().encode(), 0, 0, []
                 end = -1
-                for r in sorted(repeats.as_py() or (), key=lambda r: r["start"]):
-                    if r["start"] > end:
-                        kept.append(raw[max(end, 0) : r["start"]])
+                for place in sorted(repeats.as_py() or ()):
+                    start = place >> 12
+                    if start > end:
+                        kept.append(raw[max(end, 0) : start])
                         spans += 1
-                    end = max(end, r["start"] + r["n"] + length - 1)
+                    end = max(end, start + (place >> 2 & 1023) + length - 1)
                 kept.append(raw[max(end, 0) :])
                 left = b"".join(kept)
                 digest = hashlib.sha256(left).hexdigest()
@@ -335,40 +394,50 @@ def _cut(length: int):
     return cut
 
 
-def repeats(documents: DataFrame, length: int = LENGTH, group_limit: int = GROUP_LIMIT) -> DataFrame:
-    """(doc_id, start, n): runs of windows whose strings start earlier too."""
-    docs = texts(documents).filter("doc_id IS NOT NULL")
+def repeats(docs: DataFrame, length: int = LENGTH, group_limit: int = GROUP_LIMIT) -> DataFrame:
+    """(doc_id, place): packed runs of windows whose strings start earlier too.
+
+    ``docs`` has (doc_id, text), ids not null.
+    """
     found = docs.mapInArrow(_find(length), FOUND)
-    sorted_ = found.repartition("h").sortWithinPartitions("h", "c", "doc_id", "start")
-    settled = staged(sorted_.mapInArrow(_settle, FOUND), "contexts")
-    open_ = settled.filter(F.col("kind") == OPEN).select("h", "doc_id", "start", "n")
-    hot = open_.groupBy("h").count().filter(F.col("count") > group_limit)
-    marked = open_.join(hot.withColumn("split", F.lit(True)).drop("count"), "h", "left")
-    wanted = marked.groupBy("doc_id").agg(
-        F.collect_list(
-            F.struct("h", "start", "n", F.coalesce("split", F.lit(False)).alias("split"))
-        ).alias("wanted")
+    sorted_ = found.repartition("h").sortWithinPartitions("h", "c", "doc_id", "place")
+    settled = staged(sorted_.mapInArrow(_settle(group_limit), SETTLED), "contexts")
+    wanted = (
+        settled.filter(_kind(F.col("place")) != REPEAT)
+        .groupBy("doc_id")
+        .agg(F.collect_list(F.struct("h", "place")).alias("wanted"))
     )
     bytes_ = docs.join(wanted, "doc_id").select("doc_id", "text", "wanted").mapInArrow(
         _fetch(length), "h bigint, doc_id bigint, start int, n int, bytes binary"
     )
     met = bytes_.repartition("h").sortWithinPartitions("h", "bytes", "doc_id", "start")
-    rest = met.mapInArrow(_compare(length), FOUND)
-    return settled.filter(F.col("kind") == REPEAT).unionAll(rest).select("doc_id", "start", "n")
+    rest = met.mapInArrow(_compare(length), SETTLED)
+    return settled.filter(_kind(F.col("place")) == REPEAT).unionAll(rest).select("doc_id", "place")
+
+
+def runs(documents: DataFrame, length: int = LENGTH) -> DataFrame:
+    """(doc_id, start, n): the runs of repeated windows, for inspection."""
+    found = repeats(texts(documents).filter("doc_id IS NOT NULL"), length)
+    return found.select(
+        "doc_id", _start(F.col("place")).alias("start"), _windows(F.col("place")).alias("n")
+    )
 
 
 def remove_repeats(
     documents: DataFrame, length: int = LENGTH, group_limit: int = GROUP_LIMIT
 ) -> DataFrame:
     """One row per document: bytes, removed bytes, removed runs, digest of what is left."""
-    if not 2 * KMER <= length <= 128 or length - KMER < 1:
-        raise ValueError(f"length must be from {2 * KMER} to 128")
-    found = repeats(documents, length, group_limit)
-    per_doc = found.groupBy("doc_id").agg(
-        F.collect_list(F.struct("start", "n")).alias("repeats")
+    if not WIDE <= length <= 128:
+        raise ValueError(f"length must be from {WIDE} to 128")
+    # Both joins with the documents shuffle them in one form, so Spark does it once.
+    docs = texts(documents).filter("doc_id IS NOT NULL")
+    per_doc = repeats(docs, length, group_limit).groupBy("doc_id").agg(
+        F.collect_list("place").alias("repeats")
     )
-    docs = texts(documents).join(per_doc, "doc_id", "left").select("doc_id", "text", "repeats")
-    return docs.mapInArrow(
+    known = docs.join(per_doc, "doc_id", "left").select("doc_id", "text", "repeats")
+    nameless = texts(documents).filter("doc_id IS NULL")
+    nameless = nameless.withColumn("repeats", F.lit(None).cast("array<bigint>"))
+    return known.unionAll(nameless).mapInArrow(
         _cut(length),
         "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",
     )
