@@ -33,7 +33,7 @@ LEAST_WORDS = 50
 BUCKETS = 16_384
 TRUSTED_ROWS = 20_000
 THRESHOLD = -0.075
-SMOOTHING = 1.0
+PRIOR = 10 * BUCKETS  # grams of the corpus's own mix that the trusted side starts with
 
 
 def words(text: Column) -> Column:
@@ -128,10 +128,11 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> l
         corpus[row["bucket"]], target[row["bucket"]] = row["corpus"], row["target"]
     if not sum(target):
         return [0.0] * buckets
-    extra = SMOOTHING * buckets
-    base = math.log((sum(corpus) + extra) / (sum(target) + extra))
+    # The trusted side is drawn towards the corpus: with few trusted grams no bucket says
+    # much, and a document is not rejected for words that merely were not seen there.
+    all_, good = sum(corpus), sum(target)
     return [
-        math.log((t + SMOOTHING) / (c + SMOOTHING)) + base
+        math.log((t * all_ / c + PRIOR) / (good + PRIOR)) if c else 0.0
         for t, c in zip(target, corpus, strict=True)
     ]
 

@@ -1,0 +1,70 @@
+"""Encoding and decoding against the sentencepiece library."""
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+import sentencepiece
+from pyspark.sql import functions as F
+
+from conftest import SF_DIR
+from llm_cases import no_docs, odd_docs, texts  # noqa: F401
+from profilelake.llm import pieces, queries
+
+MODEL = queries.PIECE_MODEL
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=MODEL)
+
+
+def own(text):
+    return np.frombuffer(pieces.pieces(MODEL).encode(text), np.int32).tolist()
+
+
+@pytest.mark.parametrize("letters", ["aeinrst  \n\t▁.,!0159éßñ漢字日€😀‍\x00İſ", "▁ aabnt"])
+def test_random_texts(library, letters):
+    rng = random.Random(5)
+    for _ in range(3000):
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 40)))
+        assert own(text) == library.encode(text), repr(text)
+
+
+@pytest.mark.parametrize("text", ["a" * 20000, " " * 9000, "ab" * 9000, "漢" * 9000, "x \n" * 5000])
+def test_long_texts_without_breaks(library, text):
+    assert own(text) == library.encode(text)
+
+
+def test_decoding_of_any_ids(library):
+    rng = random.Random(6)
+    for _ in range(3000):
+        ids = [rng.randint(0, 600) for _ in range(rng.randint(0, 8))]
+        assert pieces.pieces(MODEL).decode(np.array(ids, np.int32)) == library.decode(ids), ids
+
+
+def test_pairs_are_judged_by_merging():
+    coder = pieces.pieces(MODEL)
+    assert coder.merge("the") == ["the"] and coder.compatible("", "the")
+    assert not coder.compatible("t", "he")
+
+
+def test_query(spark, library, texts):
+    rows = queries.op2_sentencepiece(spark, SF_DIR).collect()
+    assert {r.doc_id for r in rows} == set(texts)
+    for r in rows:
+        ids = library.encode(texts[r.doc_id])
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(library.decode(ids).encode()).hexdigest()
+
+
+def test_odd_rows(spark, odd_docs, no_docs, library):
+    rows = pieces.digests(odd_docs, MODEL).collect()
+    assert sorted(r.n_tokens for r in rows) == sorted(
+        len(library.encode(t or "")) for (t,) in odd_docs.select("text").collect()
+    )
+    assert pieces.digests(no_docs, MODEL).count() == 0
+    nothing = spark.createDataFrame([(None,), ([],)], "ids array<int>")
+    assert [r.t for r in nothing.select(pieces.decode(F.col("ids"), MODEL).alias("t")).collect()] == ["", ""]

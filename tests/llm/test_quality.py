@@ -1,0 +1,97 @@
+"""Quality rules against plain loops, and the rule ensemble on held-out labels."""
+
+import collections
+import re
+import zlib
+
+import duckdb
+
+from conftest import SF_DIR
+from llm_cases import no_docs, odd_docs, texts  # noqa: F401
+from profilelake.llm import quality_rules, queries, rule_ensemble
+
+
+def counts(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = collections.Counter(zip(words, words[1:], words[2:]))
+    covered = set()
+    for i, w in enumerate(zip(words, words[1:], words[2:])):
+        if windows[w] > 1:
+            covered.update((i, i + 1, i + 2))
+    return (
+        len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")),
+        len(lines) - len(set(lines)), len(covered),
+    )
+
+
+def check(rows, texts):
+    for r in rows:
+        got = (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words)
+        assert got == counts(texts[r.doc_id]), r
+        failed = r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words
+        assert r.base_failed == failed and r.kept == (not failed and r.score >= quality_rules.THRESHOLD)
+
+
+def test_base_counts(spark):
+    texts = {
+        1: "a b c d a b c x a b c", 2: "x\nx\n \n \nx y\nx", 3: "a a a a a", 4: None, 5: "",
+        6: "é é #*$ b\x0bc\r\n|<>&%", 7: "a b c d e f " * 9, 8: "a b", 9: "q " * 4000,
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1), (None, 1)], "doc_id bigint, quality int")
+    check(quality_rules.judge(docs, labels).collect(), texts)
+
+
+def test_query(spark, texts):
+    rows = queries.op9_quality_rules(spark, SF_DIR).collect()
+    assert {r.doc_id for r in rows} == set(texts)
+    check(rows, texts)
+
+
+def test_scores_are_log_ratios_of_both_sides(spark):
+    docs = spark.createDataFrame(
+        [(1, "good words here"), (2, "bad junk there"), (3, "good words here")], "doc_id bigint, text string"
+    )
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id bigint, quality int")
+    score = {r.doc_id: r.score for r in quality_rules.judge(docs, labels).collect()}
+    assert score[1] == score[3] > 0 > score[2]
+    none = quality_rules.judge(docs, labels.where("false")).collect()
+    assert {r.score for r in none} == {0.0}
+
+
+def test_odd_rows(spark, odd_docs, no_docs):
+    labels = spark.createDataFrame([(5, 1), (5, 0)], "doc_id bigint, quality int")
+    assert quality_rules.judge(odd_docs, labels).count() == odd_docs.count()
+    assert quality_rules.judge(no_docs, labels).count() == 0
+    scored = rule_ensemble.classify(odd_docs, labels)
+    assert scored.where("score between 0 and 1").count() == odd_docs.count()
+    assert rule_ensemble.classify(no_docs, labels.where("false")).count() == 0
+    kept = rule_ensemble.keep_good(odd_docs, labels)
+    assert kept.columns == odd_docs.columns and kept.count() == odd_docs.count()
+
+
+def test_ensemble_on_held_out_labels(spark):
+    folder = SF_DIR.replace("sf0.001", "sf0.01")
+    rows = {r.doc_id: r for r in queries.op1_quality_classifier(spark, folder).collect()}
+    labels = duckdb.sql(f"SELECT doc_id, quality FROM '{folder}/labels.parquet'").fetchall()
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in rows.items())
+    assert all(r.predicted == int(r.score >= 0.3) for r in rows.values())
+    held = [(rows[i].predicted, q) for i, q in labels if rows[i].held_out]
+    assert len(held) > 50 and sum(p == q for p, q in held) / len(held) > 0.95
+
+
+def test_rules_of_a_printed_tree():
+    text = """RandomForest tree
+  If (feature 3 <= 0.25)
+   If (feature 1 <= 7.0)
+    Predict: 0.0
+   Else (feature 1 > 7.0)
+    Predict: 1.0
+  Else (feature 3 > 0.25)
+   Predict: 1.0"""
+    inf = float("inf")
+    assert rule_ensemble.tree_rules(text) == [
+        ((3, -inf, 0.25),), ((1, -inf, 7.0), (3, -inf, 0.25)), ((1, 7.0, inf), (3, -inf, 0.25)),
+        ((3, 0.25, inf),),
+    ]
