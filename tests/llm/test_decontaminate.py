@@ -1,0 +1,96 @@
+"""Edit matching against dynamic programming over all pairs."""
+
+import random
+
+from conftest import SF_DIR
+from llm_cases import no_docs, odd_docs, texts  # noqa: F401
+from profilelake.llm import decontaminate as dc
+from profilelake.llm import queries
+
+
+def least_distance(pattern, text):
+    row = [0] * (len(text) + 1)
+    for i, a in enumerate(pattern, 1):
+        new = [i]
+        for j, b in enumerate(text, 1):
+            new.append(min(row[j - 1] + (a != b), row[j] + 1, new[-1] + 1))
+        row = new
+    return min(row), row.index(min(row))
+
+
+def test_myers():
+    rng = random.Random(3)
+    for _ in range(2000):
+        p = [rng.choice("abcd") for _ in range(rng.randint(1, 9))]
+        t = [rng.choice("abcd") for _ in range(rng.randint(0, 14))]
+        assert dc.myers(p, t) == least_distance(p, t)
+
+
+def test_all_pairs():
+    rng = random.Random(4)
+
+    def some(n):
+        return " ".join(rng.choice(["aa", "bb", "cc", "dd"]) for _ in range(n))
+
+    for _ in range(600):
+        items = tuple((i, some(rng.randint(1, 12))) for i in range(3))
+        text = some(rng.randint(0, 30))
+        want = {}
+        for i, item in items:
+            words = item.split()
+            d = least_distance(words, text.split())[0]
+            if d <= min(int(0.25 * len(words)), len(words) - 1):
+                want[i] = d
+        found = dc.Items(items, 0.25).matches(text)
+        assert {i: d for i, d, *_ in found} == want
+        for i, d, n, first, end in found:
+            assert least_distance(dict(items)[i].split(), text.split()[first:end])[0] == d
+
+
+def test_edited_items_and_blocks(spark):
+    rng = random.Random(5)
+    items = {i: [f"w{rng.randrange(400)}" for _ in range(40)] for i in range(12)}
+    docs = {}
+    for i, words in items.items():
+        edited = list(words)
+        for _ in range(i):  # 0 to 11 edits; 8 are within the budget
+            edited[rng.randrange(40)] = f"z{rng.randrange(10**6)}"
+        docs[i] = "Lead, in. " + " ".join(edited).upper() + "; end"
+    docs[99] = " ".join(f"q{k}" for k in range(400))
+    df = spark.createDataFrame(list(docs.items()), "doc_id bigint, text string")
+    bench = spark.createDataFrame(
+        [(i, " ".join(w)) for i, w in items.items()] + [(50, None), (51, ""), (None, "...")],
+        "item_id bigint, text string",
+    )
+    want = {(d, i): n for d in docs for i in items
+            if (n := least_distance(items[i], dc.word_list(docs[d]))[0]) <= 8}
+    for block in (dc.BLOCK_CHARS, 300):
+        rows = dc.matches(df, bench, block_chars=block).collect()
+        assert {(r.doc_id, r.item_id): r.distance for r in rows} == want and len(rows) == len(want)
+    kept = {r.doc_id for r in dc.remove_contaminated(df, bench).collect()}
+    assert kept == set(docs) - {d for d, _ in want}
+
+
+def test_query(spark, texts):
+    bench = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()
+    got = {(r.doc_id, r.item_id) for r in queries.op3_decontamination(spark, SF_DIR).collect()}
+    exact = set()
+    for i, t in texts.items():
+        line = " " + " ".join(dc.word_list(t)) + " "
+        exact |= {(i, b.item_id) for b in bench if " " + " ".join(dc.word_list(b.text)) + " " in line}
+    assert exact and exact <= got
+    items = {b.item_id: dc.word_list(b.text) for b in bench}
+    for i, b in got:
+        assert least_distance(items[b], dc.word_list(texts[i]))[0] <= 0.2 * len(items[b])
+
+
+def test_odd_rows(spark, odd_docs, no_docs):
+    bench = spark.createDataFrame([(1, "gamma delta epsilon zeta"), (1, "gamma delta epsilon zeta")],
+                                  "item_id bigint, text string")
+    rows = dc.matches(odd_docs, bench).collect()
+    assert sorted(r.doc_id for r in rows) == [-7, -7, 5, 5, 5, 5]
+    kept = dc.remove_contaminated(odd_docs, bench)
+    assert kept.columns == odd_docs.columns and kept.count() == odd_docs.count() - 3
+    assert dc.matches(no_docs, bench).count() == 0
+    assert dc.matches(odd_docs, bench.where("false")).count() == 0
+    assert dc.remove_contaminated(odd_docs, bench.where("false")).count() == odd_docs.count()
