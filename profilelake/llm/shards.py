@@ -5,18 +5,22 @@ the range walk on along their cycle until they are back in it, so every sequence
 gets one global slot and every slot one sequence. Slots are cut into shards, and
 each task gets a range of shards, sorts it and writes it from start to end.
 
-A record has a fixed stride: document id, part, number of ids (little-endian
-int64, int32, int32), then the ids, padded with zeros. So slot ``s`` is found by a
-division, reading on from any slot is sequential, and a complete shard is known by
-its size: a run that is started again leaves complete shards alone.
-
-Ids are those of the byte vocabulary: one byte each, 0 to 255. The number of a
-text's sequences then follows from its length, so texts are read twice but
-nothing is stored between: sequences are numbered by the partitions of the scan,
-and one count per partition is all that comes to the driver.
-
-Cases: null and empty texts have no sequence; rows with null ids are written with
-id -1; repeated rows get slots of their own; texts of any length are cut whole.
+Documents are packed: each partition of the scan is one stream of documents, an end
+id after each, and is cut into sequences, so only a stream's last one is short. A
+record has a fixed stride: the id of the document that it begins in, where in it,
+the number of ids (little-endian int64, int64, int32), then the ids, the short ones
+padded. So slot ``s`` is found by a division, reading on from any slot is
+sequential, and a complete shard is known by its size: a run that is started again
+leaves complete shards alone.
+
+Ids are those of the byte vocabulary: one byte each, and 255, which no text holds,
+for the end. The number of sequences then follows from the texts' lengths, so texts
+are read twice but nothing is stored between, and one count per partition is all
+that comes to the driver.
+
+Cases: null and empty texts are an end id; rows with null ids are written with id
+-1; repeated rows are written as often; texts of any length are cut whole; an empty
+table gives no shard.
 """
 
 from __future__ import annotations
@@ -39,12 +43,14 @@ SEQUENCE = 2048
 SHARD_SLOTS = 8192
 KEY = 20_240_101
 ROUNDS = 6
-HEAD = "<qii"
+HEAD = "<qqi"
 HEAD_BYTES = struct.calcsize(HEAD)
 
-SEQUENCES = "slot bigint, doc_id bigint, part int, n int, data binary"
+END = b"\xff"
+
+SEQUENCES = "slot bigint, doc_id bigint, start bigint, n int, data binary"
 SHARDS = "shard bigint, slots int"
-READ = "slot bigint, doc_id bigint, part int, n int, ids_crc bigint"
+READ = "slot bigint, doc_id bigint, start bigint, n int, ids_crc bigint"
 
 
 def permuted(numbers: np.ndarray, count: int, key: int = KEY) -> np.ndarray:
@@ -67,40 +73,61 @@ def permuted(numbers: np.ndarray, count: int, key: int = KEY) -> np.ndarray:
 def numbered(documents: DataFrame, sequence: int = SEQUENCE) -> tuple[DataFrame, list[int]]:
     """(documents, where the numbers of each partition of their scan begin)."""
     docs = texts(documents)
-    size = F.octet_length("text")
     sums = (
-        docs.select(F.ceil(size / sequence).alias("n"), F.spark_partition_id().alias("p"))
+        docs.select((F.octet_length("text") + 1).alias("n"), F.spark_partition_id().alias("p"))
         .groupBy("p")
         .agg(F.sum("n").alias("n"))
         .collect()
     )
-    counts = dict((r["p"], int(r["n"] or 0)) for r in sums)
+    counts = {r["p"]: -(-r["n"] // sequence) for r in sums}
     begins = [0]
     for p in range(max(counts, default=-1) + 1):
         begins.append(begins[-1] + counts.get(p, 0))
     return docs, begins
 
 
+def _records(
+    batches: Iterator[pa.RecordBatch], sequence: int
+) -> Iterator[list[tuple[int, int, int, bytes]]]:
+    """(document, where in it, ids, compressed ids) of the stream's sequences, in lists."""
+    rows: list[tuple[int, int, int, bytes]] = []
+    held, doc, start = b"", -1, 0
+    for batch in batches:
+        for id_, text in zip(batch["doc_id"], batch["text"]):
+            raw, id_ = text.as_py().encode() + END, id_.as_py()
+            id_ = -1 if id_ is None else id_
+            if not held:
+                doc, start = id_, 0
+            at = 0
+            while len(held) + len(raw) - at >= sequence:
+                take = sequence - len(held)
+                rows.append((doc, start, sequence, zlib.compress(held + raw[at : at + take], 1)))
+                held, doc, at = b"", id_, at + take
+                start = at
+                if len(rows) == 1000:
+                    yield rows
+                    rows = []
+            held += raw[at:]
+    if held:
+        rows.append((doc, start, len(held), zlib.compress(held, 1)))
+    if rows:
+        yield rows
+
+
 def _sequences(begins: list[int], sequence: int, key: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = TaskContext.get().partitionId()
         at, end = (begins[p], begins[p + 1]) if p + 1 < len(begins) else (begins[-1],) * 2
-        for batch in batches:
-            rows = []
-            for doc, text in zip(batch["doc_id"], batch["text"]):
-                raw, doc = text.as_py().encode(), doc.as_py()
-                for part, start in enumerate(range(0, len(raw), sequence)):
-                    ids = raw[start : start + sequence]
-                    rows.append((-1 if doc is None else doc, part, len(ids), zlib.compress(ids, 1)))
-            slots = permuted(np.arange(at, at + len(rows)), begins[-1], key) if rows else []
+        for rows in _records(batches, sequence):
+            slots = permuted(np.arange(at, at + len(rows)), begins[-1], key)
             at += len(rows)
             if at > end:
                 raise RuntimeError("the scan's partitions differ between the two readings")
-            doc, part, n, data = zip(*rows) if rows else [()] * 4
+            doc, start, n, data = zip(*rows)
             yield pa.record_batch(
-                [pa.array(slots, pa.int64()), pa.array(doc, pa.int64()), pa.array(part, pa.int32()),
+                [pa.array(slots, pa.int64()), pa.array(doc, pa.int64()), pa.array(start, pa.int64()),
                  pa.array(n, pa.int32()), pa.array(data, pa.binary())],
-                names=["slot", "doc_id", "part", "n", "data"],
+                names=["slot", "doc_id", "start", "n", "data"],
             )
         if at != end:
             raise RuntimeError("the scan's partitions differ between the two readings")
@@ -118,7 +145,7 @@ def _writer(folder: str, count: int, sequence: int, shard_slots: int):
         rows = (
             row
             for batch in batches
-            for row in zip(*(batch[k] for k in ("slot", "doc_id", "part", "n", "data")))
+            for row in zip(*(batch[k] for k in ("slot", "doc_id", "start", "n", "data")))
         )
         row = next(rows, None)
         while row is not None:
@@ -130,9 +157,9 @@ def _writer(folder: str, count: int, sequence: int, shard_slots: int):
             else:
                 with files.writing(shard_path(folder, shard)) as out:
                     while row is not None and row[0].as_py() // shard_slots == shard:
-                        _, doc, part, n, data = (x.as_py() for x in row)
+                        _, doc, start, n, data = (x.as_py() for x in row)
                         ids = zlib.decompress(data)
-                        out.write(struct.pack(HEAD, doc, part, n) + ids.ljust(sequence, b"\0"))
+                        out.write(struct.pack(HEAD, doc, start, n) + ids.ljust(sequence, b"\0"))
                         row = next(rows, None)
             yield pa.record_batch(
                 [pa.array([shard], pa.int64()), pa.array([slots], pa.int32())],
@@ -191,14 +218,14 @@ def read_shards(
                     source.seek(begin * stride)
                     for k in range(begin, slots):
                         record = source.read(stride)
-                        doc, part, n = struct.unpack_from(HEAD, record)
+                        doc, start, n = struct.unpack_from(HEAD, record)
                         crc = zlib.crc32(record[HEAD_BYTES : HEAD_BYTES + n])
-                        rows.append((shard * shard_slots + k, doc, part, n, crc))
+                        rows.append((shard * shard_slots + k, doc, start, n, crc))
                 columns = list(zip(*rows)) if rows else [()] * 5
-                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
                 yield pa.record_batch(
                     [pa.array(c, t) for c, t in zip(columns, kinds)],
-                    names=["slot", "doc_id", "part", "n", "ids_crc"],
+                    names=["slot", "doc_id", "start", "n", "ids_crc"],
                 )
 
     wanted = shards.filter((F.col("shard") + 1) * shard_slots > first_slot)

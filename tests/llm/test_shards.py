@@ -18,27 +18,48 @@ def test_permutation(count):
     assert count < 17 or (other != slots).any()
 
 
-def parts(text, size=shards.SEQUENCE):
-    raw = (text or "").encode()
-    return [raw[i : i + size] for i in range(0, len(raw), size)]
+def layout(rows, size=shards.SEQUENCE):
+    """slot -> (document, where in it, ids, crc) of documents in one stream."""
+    stream, where = b"", []
+    for i, text in rows:
+        raw = (text or "").encode() + b"\xff"
+        where += [(-1 if i is None else i, k) for k in range(len(raw))]
+        stream += raw
+    cut = [(where[k], stream[k : k + size]) for k in range(0, len(stream), size)]
+    slots = shards.permuted(np.arange(len(cut)), len(cut))
+    return {int(s): (*w, len(ids), zlib.crc32(ids)) for s, (w, ids) in zip(slots, cut)}
+
+
+def got(rows):
+    return {r.slot: (r.doc_id, r.start, r.n, r.ids_crc) for r in rows}
 
 
 def test_query(spark, texts):
     rows = queries.op4_token_shards(spark, SF_DIR).collect()
-    want = {(i, k): (len(p), zlib.crc32(p)) for i, t in texts.items() for k, p in enumerate(parts(t))}
-    assert {(r.doc_id, r.part): (r.n, r.ids_crc) for r in rows} == want
-    assert sorted(r.slot for r in rows) == list(range(len(want)))
+    stored = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    assert stored.rdd.getNumPartitions() == 1
+    assert got(rows) == layout((r.doc_id, r.text) for r in stored.collect())
+
+
+def test_streams_of_many_partitions(spark, texts, tmp_path):
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(7).cache()
+    done = shards.write_shards(docs, str(tmp_path), 100, 64)
+    rows = shards.read_shards(spark, done, str(tmp_path), 0, 100, 64).collect()
+    assert sorted(r.slot for r in rows) == list(range(len(rows)))
+    assert sum(r.n for r in rows) == sum(len(t.encode()) + 1 for t in texts.values())
+    for r in rows:
+        begin = (texts[r.doc_id].encode() + b"\xff")[r.start : r.start + r.n]
+        assert begin and (len(begin) < r.n or zlib.crc32(begin) == r.ids_crc)
+    docs.unpersist()
 
 
 def test_layout_resume_and_odd_rows(spark, odd_docs, no_docs, tmp_path):
     folder, size, per = str(tmp_path / "s"), 64, 50
-    docs = odd_docs.repartition(4).cache()  # one numbering for both readings
+    docs = odd_docs.coalesce(1).cache()  # one stream, numbered alike in both readings
     done = shards.write_shards(docs, folder, size, per)
     rows = sorted(shards.read_shards(spark, done, folder, 0, size, per).collect())
-    want = sorted((-1 if r.doc_id is None else r.doc_id, k, len(p)) for r in docs.collect()
-                  for k, p in enumerate(parts(r.text, size)))
-    assert sorted((r.doc_id, r.part, r.n) for r in rows) == want
-    assert [r.slot for r in rows] == list(range(len(want)))
+    want = layout(((r.doc_id, r.text) for r in docs.collect()), size)
+    assert got(rows) == want
     later = sorted(shards.read_shards(spark, done, folder, 73, size, per).collect())
     assert later == rows[73:]
     stride = shards.HEAD_BYTES + size
