@@ -14,8 +14,11 @@ from profilelake.flavour import BIOGEOCHEMICAL
 from profilelake.operators import aggregate, conform, datamode, filters, quarantine, refresh
 from profilelake.operators import subset, verify
 from profilelake.operators.flatten import flatten_levels
-from profilelake.plans import convert_profiles, map_data, plan_refresh
-from profilelake.schema import level_schema
+from profilelake.plans import convert_files, convert_profiles, map_data, plan_refresh
+from profilelake.schema import level_schema, load_schema, save_schema, staged_schema
+from profilelake.sources.files import decode_files, file_inventory, staged_and_failed
+from profilelake.sources.stored import stored
+from profilelake.sources.tables import read_staged
 from profilelake.sources import (
     read_index,
     read_levels,
@@ -52,11 +55,9 @@ def index_rejects(spark, sf_dir):
 
 
 def index_scan(spark, sf_dir):
-    text = V.index_text(spark, sf_dir)
-    path = f"{V.scratch(spark)}/{BIOGEOCHEMICAL.index_file}"
     columns = ["file", "date", "latitude", "longitude", "parameters", "date_update"]
-    text.select(*columns).write.option("header", True).csv(path)
-    schema = text.select(*columns).schema
+    path = V.write_index(spark, sf_dir, columns)
+    schema = V.index_text(spark, sf_dir).select(*columns).schema
     return V.plain(read_index(spark, path, "bgc", schema).select(*columns))
 
 
@@ -288,6 +289,78 @@ def convert_pipeline(spark, sf_dir):
     return V.plain(read_levels(spark, done.levels, "bgc", columns))
 
 
+def _decoded(spark, sf_dir):
+    schema = staged_schema("bgc", ["PRES"])
+    rows = decode_files(spark, V.write_files(spark, sf_dir), V.decode_lines, schema, "*_Sprof.nc")
+    return staged_and_failed(stored(rows))
+
+
+def decode_profiles(spark, sf_dir):
+    staged, _ = _decoded(spark, sf_dir)
+    tail = PF.path_tail("source_file").alias("tail")
+    return V.plain(staged.select(tail, "N_PROF", F.get("PRES", F.lit(0)).alias("PRES")))
+
+
+def decode_failures(spark, sf_dir):
+    _, failed = _decoded(spark, sf_dir)
+    return V.plain(failed.select(PF.path_tail("source_file").alias("tail")))
+
+
+def inventory_scan(spark, sf_dir):
+    files = file_inventory(spark, V.write_files(spark, sf_dir), "*_Sprof.nc")
+    return V.plain(files.select(PF.path_tail("path").alias("tail"), "length"))
+
+
+def staged_scan(spark, sf_dir):
+    path = f"{V.scratch(spark)}/staged"
+    V.staged(spark, sf_dir).write.parquet(path)
+    rows = flatten_levels(read_staged(spark, path, "phy"))
+    return V.plain(rows.select(*_LEVEL_COLUMNS))
+
+
+def convert_subset(spark, sf_dir):
+    folder = V.write_files(spark, sf_dir)
+    index = V.index(spark, sf_dir)
+    floats = subset.float_list(subset.subset_index(index, "bgc", lat_range=[-60, 60]))
+    shown = file_inventory(spark, folder, "*_Sprof.nc").select("path").first()
+    root = shown.path.rsplit("/", 3)[0] if shown else folder
+    chosen = refresh.candidates_per_float(floats, "bgc", root, V.REMOTE_ROOT)
+    scratch = V.scratch(spark)
+    done = convert_files(
+        spark, folder, V.decode_lines, scratch, "bgc", f"{scratch}/staged",
+        schema=staged_schema("bgc", ["PRES"]), files=stored(chosen.select("local_path")),
+    )
+    columns = ["PLATFORM_NUMBER", "N_PROF", "N_LEVELS", "PRES"]
+    return V.plain(read_levels(spark, done.levels, "bgc", columns))
+
+
+_WRITTEN = ("PLATFORM_NUMBER", "N_PROF", "N_LEVELS", "PRES", "TEMP")
+
+
+def write_append(spark, sf_dir):
+    rows = conform.conform(flatten_levels(V.staged(spark, sf_dir)), level_schema("phy"))
+    root, odd = V.scratch(spark), F.col("PLATFORM_NUMBER") % 2 == 1
+    write_levels(rows.where(odd), root, "phy")
+    path = write_levels(rows.where(~odd), root, "phy", mode="append")
+    return V.plain(read_levels(spark, path, "phy", list(_WRITTEN)))
+
+
+def write_sized(spark, sf_dir):
+    rows = conform.conform(flatten_levels(V.staged(spark, sf_dir)), level_schema("phy"))
+    path = write_levels(rows, V.scratch(spark), "phy", target_file_bytes=1 << 20)
+    return V.plain(read_levels(spark, path, "phy", list(_WRITTEN)))
+
+
+def schema_roundtrip(spark, sf_dir):
+    root = V.scratch(spark)
+    save_schema(spark, level_schema("phy"), f"{root}/schema")
+    schema = load_schema(spark, f"{root}/schema")
+    rows = conform.conform(flatten_levels(V.staged(spark, sf_dir)), schema)
+    path = write_levels(rows, root, "phy")
+    found = spark.read.schema(schema).parquet(path)
+    return V.plain(found.select(*_WRITTEN))
+
+
 def filter_dnf(spark, sf_dir):
     return V.plain(
         filters.filter_rows(
@@ -405,6 +478,14 @@ def queries() -> dict[str, Query]:
         "failure_rate": failure_rate,
         "verify_data_mode": verify_data_mode,
         "convert_pipeline": convert_pipeline,
+        "decode_profiles": decode_profiles,
+        "decode_failures": decode_failures,
+        "inventory_scan": inventory_scan,
+        "staged_scan": staged_scan,
+        "convert_subset": convert_subset,
+        "write_append": write_append,
+        "write_sized": write_sized,
+        "schema_roundtrip": schema_roundtrip,
         "filter_dnf": filter_dnf,
         "filter_in_float": filter_in_float,
         "filter_not_in": filter_not_in,

@@ -198,6 +198,15 @@ def _absent(columns: tuple[str, ...], kind: str) -> str:
     return ", ".join(f'CAST(NULL AS {kind}) AS "{c}"' for c in columns)
 
 
+_WRITTEN = 'SELECT "PLATFORM_NUMBER", "N_PROF", "N_LEVELS", "PRES", "TEMP" FROM levels'
+
+
+def _tail(key: str) -> str:
+    """The last three parts of a customer's file path."""
+    name = f"CAST(1900000 + {key} AS VARCHAR)"
+    return f"{_centre(key)} || '/' || {name} || '/' || {name} || '_Sprof.nc'"
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "index_extract": f"""WITH {_INDEX} SELECT ord, wmoid, cycle, filepath_main, filepath,
@@ -381,6 +390,29 @@ def oracle_sql() -> dict[str, str]:
             LEFT JOIN profile_modes m ON m.source_file = g.source_file AND m.n_prof = g.n_prof
               AND m.name = 'TEMP'"""
         ),
+        "decode_profiles": f"""SELECT {_tail('o_custkey')} AS tail, o_orderkey AS "N_PROF",
+            CAST(o_orderkey % 97 AS DOUBLE) AS "PRES"
+            FROM orders WHERE o_custkey % 17 <> 0""",
+        "decode_failures": f"""SELECT DISTINCT {_tail('o_custkey')} AS tail
+            FROM orders WHERE o_custkey % 17 = 0""",
+        "inventory_scan": f"""SELECT {_tail('o_custkey')} AS tail,
+            CASE WHEN o_custkey % 17 = 0 THEN 6 ELSE
+              sum(strlen(o_orderkey || ',' || o_orderkey % 97)) + count(*) - 1
+            END::BIGINT AS length
+            FROM orders GROUP BY o_custkey""",
+        "staged_scan": _levels(f"SELECT {_LEVEL_COLUMNS} FROM levels"),
+        "convert_subset": f"""WITH {_INDEX}, floats AS (
+              SELECT DISTINCT filepath_main FROM v_index
+              WHERE wmoid IS NOT NULL AND latitude BETWEEN -60 AND 60 AND longitude IS NOT NULL
+                AND date IS NOT NULL)
+            SELECT 1900000 + o_custkey AS "PLATFORM_NUMBER", o_orderkey AS "N_PROF",
+              CAST(0 AS BIGINT) AS "N_LEVELS", CAST(o_orderkey % 97 AS DOUBLE) AS "PRES"
+            FROM orders WHERE o_custkey % 17 <> 0
+              AND {_centre('o_custkey')} || '/' || CAST(1900000 + o_custkey AS VARCHAR) || '/'
+                IN (SELECT filepath_main FROM floats)""",
+        "write_append": _levels(_WRITTEN),
+        "write_sized": _levels(_WRITTEN),
+        "schema_roundtrip": _levels(_WRITTEN),
         "filter_dnf": _obs(
             """SELECT event_id, "LATITUDE", "PRES_ADJUSTED" FROM v_obs
             WHERE ("LATITUDE" > 50 AND "CHLA_ADJUSTED" >= 0.5 AND NOT isnan("CHLA_ADJUSTED"))

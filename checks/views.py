@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import uuid
 
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
@@ -127,6 +129,74 @@ def local_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return all_files(spark, sf_dir).where(F.col("_key") % 3 != 0).drop("_key")
 
 
+def profile_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(name, text) of a small file per customer with orders; every 17th is broken."""
+    line = F.concat_ws(",", "o_orderkey", F.col("o_orderkey") % 97)
+    grouped = (
+        table(spark, sf_dir, "orders")
+        .groupBy("o_custkey")
+        .agg(F.sort_array(F.collect_list(F.struct("o_orderkey", line.alias("line")))).alias("l"))
+        .select(
+            F.col("o_custkey").alias("c_custkey"),
+            F.concat_ws("\n", F.transform("l", lambda x: x["line"])).alias("lines"),
+        )
+    )
+    return grouped.select(
+        _float_file("").alias("name"),
+        F.when(F.col("c_custkey") % 17 == 0, "broken").otherwise(F.col("lines")).alias("text"),
+    )
+
+
+def write_files(spark: SparkSession, sf_dir: str) -> str:
+    """The profile files, written by the executors into a fresh shared folder."""
+    folder = scratch(spark)
+
+    def write(batches):
+        for frame in batches:
+            for name, text in zip(frame["name"], frame["text"]):
+                where, path = fs.FileSystem.from_uri(f"{folder}/{name}".replace("file:///", "/", 1))
+                where.create_dir(path.rpartition("/")[0], recursive=True)
+                with where.open_output_stream(path) as out:
+                    out.write(text.encode())
+            yield frame[["name"]]
+
+    profile_texts(spark, sf_dir).mapInPandas(write, "name string").write.format("noop").mode(
+        "overwrite"
+    ).save()
+    return folder
+
+
+def decode_lines(path: str, content: bytes) -> pd.DataFrame:
+    """A decoder of the profile files."""
+    rows = [line.split(",") for line in content.decode().split("\n")]
+    return pd.DataFrame(
+        {
+            "N_PROF": [int(key) for key, _ in rows],
+            "level_count": 1,
+            "PLATFORM_NUMBER": int(path.split("/")[-2]),
+            "PRES": [[float(value)] for _, value in rows],
+        }
+    )
+
+
+def write_index(spark: SparkSession, sf_dir: str, columns: list[str]) -> str:
+    """The index as text files, each with eight preamble lines and a header."""
+    folder = f"{scratch(spark)}/{BIOGEOCHEMICAL.index_file}"
+    text = index_text(spark, sf_dir).select(*(F.col(c).cast("string") for c in columns))
+
+    def lines(batches):
+        started = False
+        for frame in batches:
+            rows = frame.fillna("").agg(",".join, axis=1).tolist() if len(frame) else []
+            if rows and not started:
+                rows = [f"# preamble line {k}" for k in range(8)] + [",".join(columns)] + rows
+                started = True
+            yield pd.DataFrame({"value": rows})
+
+    text.mapInPandas(lines, "value string").write.text(folder)
+    return folder
+
+
 def remote_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
     return table(spark, sf_dir, "customer").select(

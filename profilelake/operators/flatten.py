@@ -21,20 +21,12 @@ def measurement_arrays(staged: DataFrame) -> list[T.StructField]:
     ]
 
 
-def longest_array(staged: DataFrame) -> Column:
-    """Length of a profile's longest measurement array; 0 without one."""
-    sizes = [
-        F.coalesce(F.array_size(F.col(f.name)), F.lit(0)) for f in measurement_arrays(staged)
-    ]
+def longest_array(arrays: Iterable[T.StructField]) -> Column:
+    """Length of a profile's longest array; 0 without one."""
+    sizes = [F.coalesce(F.array_size(F.col(f.name)), F.lit(0)) for f in arrays]
     return F.greatest(F.lit(0), F.lit(0), *sizes)
 
 
-def row_count(staged: DataFrame) -> Column:
-    """Levels that a profile is given: its file's, or more if its arrays hold more."""
-    declared = F.coalesce(F.col("level_count").cast("long"), F.lit(0).cast("long"))
-    return F.greatest(declared, longest_array(staged).cast("long"))
-
-
 def _has_value(field: T.StructField) -> Column:
     present = F.col(field.name).isNotNull()
     if isinstance(field.dataType.elementType, (T.FloatType, T.DoubleType)):
@@ -50,7 +42,7 @@ def flatten_levels(
     A file's levels are rectangular: each profile gives ``level_count`` rows,
     those past its own data holding nulls. No value is lost: a profile whose
     arrays are longer than ``level_count``, or that has none, gives as many rows
-    as its longest array (``failed_checks`` names such files). ``drop_padding`` leaves out rows
+    as its longest kept array (``failed_checks`` names such files). ``drop_padding`` leaves out rows
     without any measurement. ``wanted`` names the columns to keep; absent ones
     are not an error.
 
@@ -63,7 +55,8 @@ def flatten_levels(
     scalars = [
         c for c in staged.columns if c not in dropped and (keep is None or c in keep)
     ]
-    rows = row_count(staged)
+    declared = F.coalesce(F.col("level_count").cast("long"), F.lit(0).cast("long"))
+    rows = F.greatest(declared, longest_array(arrays).cast("long"))
     positions = F.sequence(F.lit(0).cast("long"), rows - 1)
     filled = [
         F.coalesce(F.col(f.name), F.array().cast(f.dataType)).alias(f.name) for f in arrays

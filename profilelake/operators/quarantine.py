@@ -14,7 +14,7 @@ from profilelake.operators.datamode import (
     data_mode_too_long,
     with_mode_columns,
 )
-from profilelake.operators.flatten import longest_array
+from profilelake.operators.flatten import longest_array, measurement_arrays
 from profilelake.sources.stored import stored
 
 LEVELS_ERROR = "level_count is missing or smaller than an array"
@@ -30,7 +30,7 @@ def failed_checks(staged: DataFrame, parameters: Sequence[str]) -> DataFrame:
     failure = F.when(calibration_varies(), 1).when(data_mode_too_long(parameters), 2)
     if "level_count" in staged.columns:
         declared = F.col("level_count")
-        failure = failure.when(declared.isNull() | (longest_array(staged) > declared), 3)
+        failure = failure.when(declared.isNull() | (longest_array(measurement_arrays(staged)) > declared), 3)
     return (
         with_mode_columns(staged)
         .select("source_file", failure.alias("failure"))

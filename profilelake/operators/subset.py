@@ -43,13 +43,13 @@ def subset_floats(
 ) -> DataFrame:
     """Profiles of the given floats: one id, a list, or a table with a ``wmoid`` column.
 
-    Ids may be numbers of any kind or their text. All forms become a table that
-    is joined; Spark broadcasts it by its size.
+    Ids may be numbers of any kind or their text. A list of any length becomes part
+    of the query; a table is joined, and broadcast by its size.
     """
     if not isinstance(floats, DataFrame):
         single = isinstance(floats, str) or not isinstance(floats, Iterable)
         ids = {int(i) for i in ([floats] if single else floats)}
-        floats = index.sparkSession.createDataFrame([(i,) for i in sorted(ids)], "wmoid bigint")
+        return index.where(F.col("wmoid").isin(sorted(ids)))
     return index.join(floats.select("wmoid"), "wmoid", "left_semi").select(*index.columns)
 
 

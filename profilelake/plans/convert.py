@@ -16,7 +16,7 @@ from profilelake.operators.quarantine import failed_checks, without_files
 from profilelake.schema import level_schema, staged_schema
 from profilelake.sources.files import Decoder, decode_files, staged_and_failed
 from profilelake.sources.stored import stored
-from profilelake.sources.tables import write_levels, write_metadata
+from profilelake.sources.tables import range_count, write_levels, write_metadata
 
 
 @dataclass(frozen=True)
@@ -37,6 +37,14 @@ def level_rows(
     return flatten_levels(spread, kind.columns, drop_padding)
 
 
+def _profile_keys(staged: DataFrame, cluster_by: Sequence[str] | None) -> list[str]:
+    """Clustering keys if all of them are values of a profile, completed by its identity."""
+    arrays = {f.name for f in staged.schema if isinstance(f.dataType, T.ArrayType)}
+    if not cluster_by or not set(cluster_by) <= set(staged.columns) - arrays:
+        return []
+    return [*dict.fromkeys([*cluster_by, "source_file", "N_PROF"])]
+
+
 def convert_profiles(
     staged: DataFrame,
     root: str,
@@ -76,13 +84,23 @@ def convert_profiles(
     listed = stored(union_outer(bad), folder)
     quarantine = f"{root.rstrip('/')}/quarantine/{kind.name}"
     sound = without_files(staged, listed)
+    keys = _profile_keys(staged, cluster_by)
+    if keys:
+        # Profiles are dealt into ranges before they become levels: their rows are fewer.
+        sound = sound.repartitionByRange(range_count(staged, target_file_bytes), *keys)
     levels = conform(
         level_rows(sound, kind, drop_padding),
         schema,
         on_error="null" if on_error == "null" else "raise",
     )
     written = write_levels(
-        levels, root, kind, mode, target_file_bytes=target_file_bytes, cluster_by=cluster_by
+        levels,
+        root,
+        kind,
+        mode,
+        target_file_bytes=target_file_bytes,
+        cluster_by=cluster_by,
+        clustered=bool(keys),
     )
     listed.write.mode(mode).parquet(quarantine)
     described = None if metadata is None else write_metadata(metadata, root, kind, mode)
@@ -98,15 +116,18 @@ def convert_files(
     staged_path: str,
     schema: T.StructType | None = None,
     glob: str | None = None,
+    files: DataFrame | None = None,
     **options,
 ) -> Conversion:
     """Decode files, keep the staged rows at ``staged_path``, convert them.
 
-    Each file is decoded once. ``options`` are those of ``convert_profiles``.
+    Each file is decoded once. ``files`` (with a ``local_path``, such as the
+    actions of a refresh plan) restricts the run to those; missing ones are listed
+    in the quarantine. ``options`` are those of ``convert_profiles``.
     """
     kind = flavour(db)
     decoded = decode_files(
-        spark, path, decoder, schema or staged_schema(kind), glob or f"*{kind.file_suffix}"
+        spark, path, decoder, schema or staged_schema(kind), glob or f"*{kind.file_suffix}", files
     )
     decoded.write.mode("overwrite").parquet(staged_path)
     staged, failed = staged_and_failed(spark.read.schema(decoded.schema).parquet(staged_path))

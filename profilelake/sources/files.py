@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,9 +39,15 @@ def decode_files(
     decoder: Decoder,
     schema: T.StructType,
     glob: str | None = None,
+    files: DataFrame | None = None,
 ) -> DataFrame:
     """Run a user decoder over many files, one call per file.
 
+    ``files`` names the wanted ones in ``local_path``: the inventory's paths are
+    joined with them first, only their contents are read, and a wanted file that
+    is not there gives a row with an ``error``. Executors then open files
+    themselves, through PyArrow's file systems.
+
     ``decoder(path, content)`` returns one pandas frame of staged rows or an
     iterable of them; absent columns become null, ``source_file`` is filled
     in. The result has the staged columns and ``error``: a file that fails at
@@ -86,8 +93,39 @@ def decode_files(
                     decoded = [failure(name, e)]
                 yield from decoded
 
-    files = _binary_files(spark, path, glob).select("path", "content")
-    return files.mapInArrow(decode, out)
+    if files is None:
+        contents = _binary_files(spark, path, glob).select("path", "content")
+        return contents.mapInArrow(decode, out)
+
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file, there in zip(batch.column("path"), batch.column("there")):
+                name = file.as_py()
+                if not there.as_py():
+                    yield failure(name, FileNotFoundError("not in the inventory"))
+                    continue
+                try:
+                    where, inside = fs.FileSystem.from_uri(_uri(name))
+                    with where.open_input_file(inside) as source:
+                        content = source.read()
+                except Exception as e:
+                    yield failure(name, e)
+                    continue
+                yield from decode(iter([pa.record_batch([[name], [content]], ["path", "content"])]))
+
+    wanted = files.select(F.col("local_path").alias("path")).distinct()
+    there = _binary_files(spark, path, glob).select("path", F.lit(True).alias("there"))
+    chosen = wanted.join(there, "path", "left").select(
+        "path", F.coalesce("there", F.lit(False)).alias("there")
+    )
+    # Paths are small and contents are not, so tasks are dealt by number of files.
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    return chosen.repartition(tasks, "path").mapInArrow(opened, out)
+
+
+def _uri(path: str) -> str:
+    """A path as Spark shows it (``file:/data``) in the form that PyArrow takes."""
+    return "/" + path.removeprefix("file:").lstrip("/") if path.startswith("file:/") else path
 
 
 def staged_and_failed(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:

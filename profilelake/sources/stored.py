@@ -34,3 +34,17 @@ def stored(df: DataFrame, folder: str | None = None) -> DataFrame:
     path = f"{folder or shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def replace_folder(spark: SparkSession, new: str, old: str) -> None:
+    """Put a finished folder in the place of another.
+
+    A rename, as far as the file system has one: there the old data is gone only once
+    the new data is complete.
+    """
+    source = spark._jvm.org.apache.hadoop.fs.Path(new)
+    target = spark._jvm.org.apache.hadoop.fs.Path(old)
+    system = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.delete(target, True)
+    if not system.rename(source, target):
+        raise OSError(f"{new} could not be renamed to {old}")

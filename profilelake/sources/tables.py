@@ -7,6 +7,8 @@ one leaves the others alone.
 
 from __future__ import annotations
 
+import math
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +19,7 @@ from profilelake import functions as PF
 from profilelake.flavour import Flavour, flavour
 from profilelake.operators.filters import Filters, filter_rows
 from profilelake.schema import level_schema, staged_schema
+from profilelake.sources.stored import replace_folder
 
 DEFAULT_FILE_BYTES = 300 * 1024 * 1024
 
@@ -88,6 +91,20 @@ def read_metadata(
     return metadata if filters is None else filter_rows(metadata, filters)
 
 
+def range_count(rows: DataFrame, file_bytes: int | None) -> int:
+    """Ranges that give files near a size, from the bytes of the files that rows come from.
+
+    Rows that come from no files are counted, at eight bytes a value.
+    """
+    paths = rows.inputFiles()
+    if paths:
+        read = rows.sparkSession.read.format("binaryFile").load(paths)
+        total = read.agg(F.sum("length")).first()[0] or 0
+    else:
+        total = 8 * len(rows.columns) * rows.count()
+    return max(1, math.ceil(total / (file_bytes or DEFAULT_FILE_BYTES)))
+
+
 def write_levels(
     levels: DataFrame,
     root: str,
@@ -96,37 +113,39 @@ def write_levels(
     target_file_bytes: int | None = None,
     max_records_per_file: int | None = None,
     cluster_by: Sequence[str] | None = None,
+    ranges: int | None = None,
+    clustered: bool = False,
 ) -> str:
     """Write a flavour's level dataset and return its path.
 
-    A run replaces the dataset; ``append`` adds a batch. By default each task
-    writes its own file and nothing is shuffled, since Spark already packs and
-    splits its input evenly. ``target_file_bytes`` (such as
-    ``DEFAULT_FILE_BYTES``) rebalances rows to files near that size.
-    ``cluster_by`` sorts the dataset by ranges of those columns, which lets
-    later reads skip row groups.
+    A run replaces the dataset, and a failed run leaves the old one: rows are
+    written beside it and take its place at the end. ``append`` adds a batch. By
+    default each task writes its own file and nothing is shuffled, since Spark
+    already packs and splits its input evenly. ``target_file_bytes`` (such as
+    ``DEFAULT_FILE_BYTES``) deals rows evenly to as many files as the input's bytes
+    ask for. ``cluster_by`` sorts the dataset by ranges of those columns, which
+    lets later reads skip row groups; the number of ranges is ``ranges``, or
+    follows from the input's bytes. ``clustered`` rows are in ranges already and
+    are only sorted.
     """
     path = levels_path(root, db)
-    spark = levels.sparkSession
     if cluster_by:
         keys = [*cluster_by, *(c for c in _ROW_IDENTITY if c in levels.columns)]
         keys = list(dict.fromkeys(keys))
-        levels = levels.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        if not clustered:
+            number = ranges or range_count(levels, target_file_bytes)
+            levels = levels.repartitionByRange(number, *keys)
+        levels = levels.sortWithinPartitions(*keys)
     elif target_file_bytes is not None:
-        levels = levels.hint("rebalance")
+        levels = levels.repartition(ranges or range_count(levels, target_file_bytes))
+    replaced = mode == "overwrite"
+    target = f"{path}-{uuid.uuid4().hex}" if replaced else path
     writer = levels.write.mode(mode)
     if max_records_per_file is not None:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    if target_file_bytes is None:
-        writer.parquet(path)
-        return path
-    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(size)
-    spark.conf.set(size, str(target_file_bytes))
-    try:
-        writer.parquet(path)
-    finally:
-        spark.conf.set(size, before)
+    writer.parquet(target)
+    if replaced:
+        replace_folder(levels.sparkSession, target, path)
     return path
 
 

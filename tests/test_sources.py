@@ -158,7 +158,7 @@ def test_clustered_write_splits_a_hot_key(spark, tmp_path):
     before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        path = write_levels(hot, str(tmp_path), "phy", cluster_by=["LATITUDE"])
+        path = write_levels(hot, str(tmp_path), "phy", cluster_by=["LATITUDE"], ranges=8)
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
     sizes, ranges = [], []
