@@ -38,7 +38,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 4
 COORDINATES = BANDS * ROWS
-MOST_CENTRES = 32  # members of a bucket that meet all others in one round
+FIRST_CENTRES, MOST_CENTRES = 4, 32  # members of a bucket that meet all others in one round
 CHUNK_WORDS = 200_000  # words whose darts are in memory at once
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -207,7 +207,6 @@ def components(edges: DataFrame) -> DataFrame:
         step = labels.join(near, labels.node == near.a).select(
             "node", F.col("label").alias("old"), F.least("label", "near").alias("label")
         )
-        step = staged(step)
         up = step.select(F.col("node").alias("at"), F.col("label").alias("up"))
         jumped = step.join(up, step.label == up["at"]).select(
             "node", F.least("label", "up").alias("label"), (F.col("old") != F.least("label", "up")).alias("moved")
@@ -218,12 +217,13 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _round(members: DataFrame, classes: DataFrame, centres: int) -> tuple[DataFrame, DataFrame]:
-    """(members that stay, pairs to compare) of the buckets with several classes left."""
-    # Members of small classes go first: once each of them has met all others, what is
-    # left is one large class, whose members need not meet.
-    sizes = classes.groupBy("class").agg(F.count(F.lit(1)).alias("size"))
-    placed = members.join(classes, "rep").join(sizes, "class")
+def _open_members(members: DataFrame, classes: DataFrame, centres: int) -> DataFrame:
+    """Members of buckets that hold several classes, with the bucket's next centres.
+
+    Members of small classes go first: once each of them has met all others, what is
+    left is one large class, whose members need not meet.
+    """
+    placed = members.join(classes, "rep")
     picks = [
         F.min(F.struct("size", F.xxhash64("rep", F.lit(i)).alias("by"), "rep", "class")).alias(f"c{i}")
         for i in range(centres)
@@ -240,17 +240,31 @@ def _round(members: DataFrame, classes: DataFrame, centres: int) -> tuple[DataFr
             ).alias("centres"),
         )
     )
-    open_ = staged(placed.join(chosen, ["band", "hash"]), "open")
-    pairs = (
+    return placed.join(chosen, ["band", "hash"])
+
+
+def _pairs(open_: DataFrame) -> DataFrame:
+    """Members and centres of different classes, each pair once."""
+    return (
         open_.select("rep", "class", F.explode_outer("centres").alias("c"))
         .filter(F.col("c.class") != F.col("class"))
         .select(F.least("rep", "c.rep").alias("a"), F.greatest("rep", "c.rep").alias("b"))
         .distinct()
     )
-    stay = open_.filter(
-        ~F.exists("centres", lambda c: c["rep"] == F.col("rep"))
-    ).select("band", "hash", "rep")
-    return stay, pairs
+
+
+def _merged(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """Classes joined along links, and their new sizes."""
+    of_a = classes.select(F.col("rep").alias("a"), F.col("class").alias("class_a"))
+    of_b = classes.select(F.col("rep").alias("b"), F.col("class").alias("class_b"))
+    edges = links.join(of_a, "a").join(of_b, "b")
+    edges = edges.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
+    found = components(edges)
+    moved = classes.join(found, classes["class"] == found.node, "left").select(
+        "rep", F.coalesce("label", "class").alias("class")
+    )
+    sizes = moved.groupBy("class").agg(F.count(F.lit(1)).alias("size"))
+    return staged(moved.join(sizes, "class").select("rep", "class", "size"), "classes")
 
 
 def duplicate_classes(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -280,33 +294,31 @@ def duplicate_classes(documents: DataFrame, similarity: float = SIMILARITY) -> D
     )
     hashed = found.select("rep", word_hashes(F.col("words")).alias("words")).dropDuplicates(["rep"])
     hashed = staged(hashed, "shingled")
-    classes = classes.withColumn("class", F.col("rep"))
+    classes = classes.select("rep", F.col("rep").alias("class"), F.lit(1).cast("bigint").alias("size"))
+    left = hashed.select(F.col("rep").alias("a"), F.col("words").alias("left"))
+    right = hashed.select(F.col("rep").alias("b"), F.col("words").alias("right"))
     tried = None
-    centres = 2
+    centres = FIRST_CENTRES
     while True:
-        members, pairs = _round(members, classes, centres)
+        open_ = staged(_open_members(members, classes, centres), "open")
+        if open_.isEmpty():
+            break
+        pairs = _pairs(open_)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        left = hashed.select(F.col("rep").alias("a"), F.col("words").alias("left"))
-        right = hashed.select(F.col("rep").alias("b"), F.col("words").alias("right"))
         compared = pairs.join(left, "a").join(right, "b")
-        compared = compared.select("a", "b", jaccard_udf("left", "right").alias("similarity"))
-        compared = staged(compared, "compared")
+        compared = staged(
+            compared.select("a", "b", jaccard_udf("left", "right").alias("similarity")), "compared"
+        )
         met = compared.select("a", "b")
-        tried = met if tried is None else staged(tried.unionAll(met), "tried")
+        tried = met if tried is None else tried.unionAll(met)
         links = compared.filter(F.col("similarity") >= similarity)
         if not links.isEmpty():
-            of_a = classes.select(F.col("rep").alias("a"), F.col("class").alias("class_a"))
-            of_b = classes.select(F.col("rep").alias("b"), F.col("class").alias("class_b"))
-            edges = links.join(of_a, "a").join(of_b, "b")
-            edges = edges.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
-            merged = components(edges)
-            classes = classes.join(merged, classes["class"] == merged.node, "left").select(
-                "rep", F.coalesce("label", "class").alias("class")
-            )
-            classes = staged(classes, "classes")
-        if members.isEmpty():
-            break
+            classes = _merged(classes, links)
+        # Centres have met every member of their bucket.
+        members = open_.filter(
+            ~F.exists("centres", lambda c: c["rep"] == F.col("rep"))
+        ).select("band", "hash", "rep")
         centres = min(2 * centres, MOST_CENTRES)
     known = reps.join(classes, "rep", "left").select(
         "digest", F.coalesce("class", "rep").alias("class_id")
