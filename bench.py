@@ -34,11 +34,55 @@ HEADLINE = (
     "verify_data_mode",
     "write_roundtrip",
     "convert_pipeline",
+    "decode_profiles",
+    "convert_subset",
     "map_mean",
     "map_limits",
 )
 
 
+def conversions(spark: SparkSession, profiles: int = 400, levels: int = 400) -> dict[str, float]:
+    """MB/s of whole conversions of stored staged rows with profiles of several hundred levels.
+
+    MB are those of the written level dataset.
+    """
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import ArrayType
+
+    from checks import views
+    from profilelake.plans import convert_profiles
+    from profilelake.schema import staged_schema
+
+    rates = {}
+    for db in ("phy", "bgc"):
+        root = views.scratch(spark)
+        values = F.transform(
+            F.sequence(F.lit(1), F.lit(levels)), lambda k: F.rand(1) * 30 + k.cast("double")
+        )
+        flags = F.transform(F.sequence(F.lit(1), F.lit(levels)), lambda k: k % 4 + 1)
+        columns = []
+        for field in staged_schema(db):
+            kind = field.dataType
+            if isinstance(kind, ArrayType) and not field.name.startswith("PARAMETER"):
+                source = values if kind.elementType.simpleString() == "float" else flags
+                columns.append(source.cast(kind).alias(field.name))
+        spark.range(profiles).select(
+            (F.col("id") % 16).cast("string").alias("source_file"),
+            F.col("id").alias("N_PROF"),
+            F.lit(levels).alias("level_count"),
+            (F.col("id") % 16 + 1900000).alias("PLATFORM_NUMBER"),
+            *columns,
+        ).write.parquet(f"{root}/staged")
+        staged = spark.read.parquet(f"{root}/staged")
+        start = time.perf_counter()
+        done = convert_profiles(staged, f"{root}/out", db)
+        seconds = time.perf_counter() - start
+        files = spark.read.format("binaryFile").load(done.levels)
+        written = files.agg({"length": "sum"}).first()[0]
+        rates[f"{db}_mb_per_s"] = round(written / 1e6 / seconds, 2)
+    return rates
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -73,6 +117,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                "conversions": conversions(spark),
                 "sf": os.path.basename(os.path.normpath(sf_dir)).removeprefix("sf"),
             }
         )
