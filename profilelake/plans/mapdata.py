@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -14,9 +15,15 @@ from profilelake.operators.filters import box, time_and_pressure, valid_values
 
 @dataclass(frozen=True)
 class MapData:
+    """Selected rows, means by position, and quantile limits, worked out when asked for."""
+
     rows: DataFrame
     means: DataFrame
-    limits: DataFrame
+    find_limits: Callable[[], DataFrame]
+
+    @cached_property
+    def limits(self) -> DataFrame:
+        return self.find_limits()
 
 
 def map_data(
@@ -40,5 +47,5 @@ def map_data(
     return MapData(
         rows,
         group_mean(rows, variable),
-        quantile_limits(rows, variable, q, approximate=approximate),
+        lambda: quantile_limits(rows, variable, q, approximate=approximate),
     )
