@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from checks import catalogue
 from checks import views as V
 from conftest import SF_DIR
+from profilelake.flavour import BIOGEOCHEMICAL, CORE
 from profilelake.operators import aggregate, subset
 from profilelake.operators.filters import filter_rows
 from profilelake.plans import convert_mirror, convert_profiles
@@ -193,7 +194,7 @@ def test_only_chosen_files_are_decoded_for_both_databases(spark, tmp_path):
     index = tmp_path / "index"
     index.mkdir()
     head = "file,date,latitude,longitude,ocean,profiler_type,institution,"
-    for name, extra in (("ar_index_global_prof.txt", ""), ("argo_synthetic-profile_index.txt", "parameters,parameter_data_mode,")):
+    for name, extra in ((CORE.index_file, ""), (BIOGEOCHEMICAL.index_file, "parameters,parameter_data_mode,")):
         lines = ["# one", "# two", head + extra + "date_update"]
         for wmoid, lat in ((1900001, 10.0), (1900002, 50.0), (1900009, 11.0)):
             cells = [f"aoml/{wmoid}/profiles/R{wmoid}_001.nc", "20200101000000", lat, 5.0, "A", 846, "AO"]
