@@ -38,7 +38,8 @@ ASSIGN_VALUE, ACCESS_LENGTH = 12, 18
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 DIGESTS = {32, 40, 48, 56, 64, 96, 128}
 UUID = re.compile(r"[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}", re.IGNORECASE)
-WORDS = re.compile(r"[+/_=-]*(([A-Z]?[a-z]+|[A-Z]+)\d{0,4}([+/_=-]+|(?=[A-Z])|$))*")
+# Possessive throughout: a long run has one way to be read, so a mismatch is final.
+WORDS = re.compile(r"[+/_=-]*+(?:[A-Za-z]++[0-9]{0,4}+(?![a-z0-9])[+/_=-]*+)*+")
 
 SPANS = T.ArrayType(
     T.StructType(

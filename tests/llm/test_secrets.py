@@ -2,10 +2,12 @@
 
 import hashlib
 import re
+import subprocess
+import sys
 
 from pyspark.sql import functions as F
 
-from conftest import SF_DIR
+from conftest import ROOT, SF_DIR
 from llm_cases import no_docs, odd_docs, texts  # noqa: F401
 from profilelake.llm import queries, secrets
 
@@ -84,3 +86,16 @@ def test_overlapping_spans_give_one_mark(spark):
     spans = [(0, 0, 10), (5, 2, 12), (12, 2, 14)]
     df = spark.createDataFrame([("0123456789abcdefgh", spans)], "t string, s array<struct<start:int,kind:int,end:int>>")
     assert df.select(secrets.redacted(F.col("t"), F.col("s"))).first()[0] == "[SECRET][SECRET]efgh"
+
+
+def test_long_runs_take_linear_time():
+    """Runs of capitals, small letters and base64 padding, in a process that can be stopped."""
+    code = """
+from profilelake.llm import queries, secrets
+encoding = secrets.vocabulary(queries.RANKS, queries.RANKS_PATTERN)
+for run in ("A" * 5000, "a" * 5000, "AB" * 2500, "aB" * 2500, "=" * 5000, "A=" * 2500, "/" * 5000, "A1" * 2500):
+    for end in ("", "1a", "1a=", "12345", "=="):
+        secrets.random_spans(run + end, encoding, 2.0)
+        secrets.random_spans("x1" + run + end, encoding, 2.0)
+"""
+    subprocess.run([sys.executable, "-c", code], cwd=ROOT, timeout=60, check=True)
