@@ -5,8 +5,8 @@ efficiency test adds strings that no pattern names: a run of key characters
 with few characters per token under a byte-pair vocabulary is random, since
 words, paths and identifiers compress. Known shapes are not secrets and are left
 out before the test: digests (hexadecimal of a digest's length), UUIDs, plain
-numbers, and identifiers made of letters only or of words joined by ``_``, ``-``,
-``/`` or capitals.
+numbers, and identifiers: words that the vocabulary holds, joined by ``_``, ``-``,
+``/``, capitals or short numbers. Letters alone are no such shape.
 
 Spans count code points, ends are exclusive. A null or empty text has no span.
 Rows are judged alone and whole, so repeated rows give repeated results.
@@ -37,9 +37,12 @@ ASSIGN_VALUE, ACCESS_LENGTH = 12, 18
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 DIGESTS = {32, 40, 48, 56, 64, 96, 128}
+HEXADECIMAL = re.compile(r"[0-9a-f]+")
 UUID = re.compile(r"[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}", re.IGNORECASE)
-# Possessive throughout: a long run has one way to be read, so a mismatch is final.
-WORDS = re.compile(r"[+/_=-]*+(?:[A-Za-z]++[0-9]{0,4}+(?![a-z0-9])[+/_=-]*+)*+")
+# What an identifier consists of. Words of LONG letters or more must make
+# up WORDY of its letters and digits; other parts of SHORT letters or more must be words too.
+PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
+LONG, SHORT, WORDY, DIGIT_GROUP = 4, 3, 2 / 3, 4
 
 SPANS = T.ArrayType(
     T.StructType(
@@ -63,14 +66,39 @@ def vocabulary(ranks_file: str, pattern: str):
 
 
 def known_shape(value: str) -> bool:
-    """Digests, UUIDs, numbers and identifiers."""
+    """Digests, UUIDs and numbers."""
     bare = value.strip("=-_/+")
     lower = bare.lower()
-    if not any(c.isdigit() for c in bare) or not any(c.isalpha() for c in bare):
+    if not any(c.isalpha() for c in bare):
         return True
-    if all(c in "0123456789abcdef" for c in lower) and len(bare) in DIGESTS:
+    if any(c.isdigit() for c in bare) and len(bare) in DIGESTS and HEXADECIMAL.fullmatch(lower):
         return True
-    return bool(UUID.fullmatch(bare) or WORDS.fullmatch(bare))
+    return bool(UUID.fullmatch(bare))
+
+
+def is_word(part: str, encoding) -> bool:
+    """Whether the vocabulary holds the letters as one token, in some usual case."""
+    lower = part.lower()
+    forms = (part, lower, lower.capitalize(), " " + lower, " " + lower.capitalize())
+    return any(f.encode() in encoding._mergeable_ranks for f in forms)
+
+
+def identifier(value: str, encoding) -> bool:
+    """Words joined by separators, capitals and short numbers, in whatever case.
+
+    The parts are cut in one pass; random strings have letters that are no words.
+    """
+    wordy = total = 0
+    for part in PART.findall(value):
+        total += len(part)
+        if part[0].isdigit():
+            if len(part) > DIGIT_GROUP:
+                return False
+        elif len(part) >= SHORT:
+            if not is_word(part, encoding):
+                return False
+            wordy += len(part) if len(part) >= LONG else 0
+    return wordy >= WORDY * total
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -93,7 +121,7 @@ def random_spans(text: str, encoding, chars_per_token: float) -> list[tuple[int,
     spans = []
     for m in CANDIDATE.finditer(text):
         value = m.group()
-        if known_shape(value):
+        if known_shape(value) or identifier(value, encoding):
             continue
         if len(value) < chars_per_token * len(encoding.encode_ordinary(value)):
             spans.append((m.start(), 3, m.end()))

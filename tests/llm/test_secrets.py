@@ -1,7 +1,9 @@
 """Secret spans against a plain reading of the patterns."""
 
 import hashlib
+import random
 import re
+import string
 import subprocess
 import sys
 
@@ -99,3 +101,36 @@ for run in ("A" * 5000, "a" * 5000, "AB" * 2500, "aB" * 2500, "=" * 5000, "A=" *
         secrets.random_spans("x1" + run + end, encoding, 2.0)
 """
     subprocess.run([sys.executable, "-c", code], cwd=ROOT, timeout=60, check=True)
+
+
+ALPHABETS = {
+    "base32": string.ascii_uppercase + "234567",
+    "base62": string.ascii_letters + string.digits,
+    "base64": string.ascii_letters + string.digits + "+/",
+    "upper": string.ascii_uppercase + string.digits,
+    "capitals": string.ascii_uppercase,
+}
+
+
+def encoding():
+    return secrets.vocabulary(queries.RANKS, queries.RANKS_PATTERN)
+
+
+def test_recall_on_random_keys():
+    for name, alphabet in ALPHABETS.items():
+        for length in (20, 24, 32, 40, 64):
+            draw = random.Random(f"{name}{length}")
+            keys = ["".join(draw.choices(alphabet, k=length)) for _ in range(300)]
+            found = sum(secrets.random_spans(k, encoding(), 2.0) == [(0, 3, length)] for k in keys)
+            assert found >= 0.97 * len(keys), (name, length, found)
+    for key in ("JBSWY3DPEHPK3PXPJBSWY3", "ASIA4ZQ7XKPLM2N8WTRB"):
+        assert secrets.random_spans(f"key {key} end", encoding(), 2.0) == [(4, 3, 4 + len(key))]
+
+
+def test_identifiers_are_left_out():
+    for value in (
+        "some_long_identifier_name2", "MAX_CONNECTION_TIMEOUT_30", "HTTPServerRequestHandler2",
+        "internationalization", "src/main/resources/config2/settings", "SHA256_DIGEST_LENGTH_BYTES",
+        "Rechtsschutzversicherungsgesellschaften", "version_2_of_the_3rd_document",
+    ):
+        assert secrets.random_spans(value, encoding(), 2.0) == [], value
