@@ -6,7 +6,8 @@ with few characters per token under a byte-pair vocabulary is random, since
 words, paths and identifiers compress. Known shapes are not secrets and are left
 out before the test: digests (hexadecimal of a digest's length), UUIDs, plain
 numbers, and identifiers: words that the vocabulary holds, joined by ``_``, ``-``,
-``/``, capitals or short numbers. Letters alone are no such shape.
+``/``, capitals or short numbers. Letters alone are no such shape. A run that is
+readable as a whole (a path, a name before a key) is tested by its parts as well.
 
 Spans count code points, ends are exclusive. A null or empty text has no span.
 Rows are judged alone and whole, so repeated rows give repeated results.
@@ -35,7 +36,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 ASSIGN_VALUE, ACCESS_LENGTH = 12, 18
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+LEAST = 20
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
 DIGESTS = {32, 40, 48, 56, 64, 96, 128}
 HEXADECIMAL = re.compile(r"[0-9a-f]+")
 UUID = re.compile(r"[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}", re.IGNORECASE)
@@ -44,6 +46,13 @@ UUID = re.compile(r"[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}", re.IGNORECASE)
 PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 LONG, SHORT, WORDY, DIGIT_GROUP = 4, 3, 2 / 3, 4
 
+# The parts of a run, from what length on a part's ratio shows that it is
+# text, and what follows a key.
+RUN_PART = re.compile(rf"(?<![A-Za-z0-9])(?:{UUID.pattern})(?![A-Za-z0-9])|[A-Za-z0-9]+", re.IGNORECASE)
+TELLING = 8
+MIXED = re.compile(r"[a-z][A-Z]")
+PADDING = re.compile(r"={1,2}(?![A-Za-z0-9=])")
+
 SPANS = T.ArrayType(
     T.StructType(
         [
@@ -116,15 +125,95 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return spans
 
 
+def is_random(value: str, encoding, chars_per_token: float) -> bool:
+    """Whether the vocabulary can't shorten a value that is no known shape."""
+    if known_shape(value) or identifier(value, encoding):
+        return False
+    return len(value) < chars_per_token * len(encoding.encode_ordinary(value))
+
+
+def readable(part: str, encoding, chars_per_token: float) -> bool | None:
+    """Whether a part is text; None if it is too short to tell, or a number."""
+    if UUID.fullmatch(part):
+        return True
+    if part.isdigit():
+        return None
+    if identifier(part, encoding):
+        return True if len(part) >= LONG else None
+    if len(part) < chars_per_token * len(encoding.encode_ordinary(part)):
+        return None if len(part) < LONG and part.isalpha() and not MIXED.search(part) else False
+    return True if len(part) >= TELLING else None
+
+
+def random_stretches(value: str, encoding, chars_per_token: float) -> list[tuple[int, int]]:
+    """The random stretches of a run that is readable as a whole, in one pass.
+
+    Readable parts and ``=`` before more part them; what is between is joined, so a
+    base64 key with ``/``, ``+``, ``-`` or ``_`` is judged as one, and its padding is
+    added. Where a stretch as a whole passes for text, its long parts are judged alone.
+    """
+    stretches: list[list[tuple[int, int, bool]]] = [[]]
+    end = 0
+    for m in RUN_PART.finditer(value):
+        says = readable(m.group(), encoding, chars_per_token)
+        if "=" in value[end : m.start()]:
+            stretches.append([])
+        end = m.end()
+        if says:
+            stretches.append([])
+        else:
+            stretches[-1].append((m.start(), m.end(), says is False))
+    found = []
+    for parts in stretches:
+        random = [i for i, p in enumerate(parts) if p[2]]
+        if not random:
+            continue
+        # A short part at an end may belong to a key that holds separators.
+        first, last = random[0], random[-1]
+        wide_first = first - (first > 0 and parts[first - 1][1] - parts[first - 1][0] < LONG)
+        wide_last = last + (last + 1 < len(parts) and parts[last + 1][1] - parts[last + 1][0] < LONG)
+        for i, j in ((wide_first, wide_last), (first, last)):
+            whole = padded(value, parts[i][0], parts[j][1])
+            if whole[1] - whole[0] >= LEAST and is_random(value[slice(*whole)], encoding, chars_per_token):
+                found.append(whole)
+                break
+        else:
+            found.extend(random_parts(value, parts, encoding, chars_per_token))
+    return found
+
+
+def random_parts(
+    value: str, parts: list[tuple[int, int, bool]], encoding, chars_per_token: float
+) -> list[tuple[int, int]]:
+    """The long parts of a stretch that are random alone."""
+    found = []
+    for start, stop, _ in parts:
+        alone = padded(value, start, stop)
+        if alone[1] - alone[0] >= LEAST and is_random(value[slice(*alone)], encoding, chars_per_token):
+            found.append(alone)
+    return found
+
+
+def padded(value: str, start: int, end: int) -> tuple[int, int]:
+    """The stretch with up to two ``=`` behind it, unless a value follows them."""
+    after = PADDING.match(value, end)
+    return (start, after.end() if after else end)
+
+
 def random_spans(text: str, encoding, chars_per_token: float) -> list[tuple[int, int, int]]:
-    """Runs of key characters that the vocabulary can't shorten."""
+    """Runs of key characters that the vocabulary can't shorten, or stretches of them."""
     spans = []
     for m in CANDIDATE.finditer(text):
         value = m.group()
-        if known_shape(value) or identifier(value, encoding):
+        if known_shape(value):
             continue
-        if len(value) < chars_per_token * len(encoding.encode_ordinary(value)):
+        if is_random(value, encoding, chars_per_token):
             spans.append((m.start(), 3, m.end()))
+        elif not value.isalnum():
+            spans.extend(
+                (m.start() + a, 3, m.start() + b)
+                for a, b in random_stretches(value, encoding, chars_per_token)
+            )
     return spans
 
 

@@ -134,3 +134,43 @@ def test_identifiers_are_left_out():
         "Rechtsschutzversicherungsgesellschaften", "version_2_of_the_3rd_document",
     ):
         assert secrets.random_spans(value, encoding(), 2.0) == [], value
+
+
+PREFIXES = (
+    "https://storage.example.com/production-bucket/customer-documents/archive/signature=",
+    "https://example.com/hooks/services/incoming/", "production/settings/access_key_of_the_service=",
+)
+
+
+def test_keys_behind_readable_text():
+    for prefix in PREFIXES:
+        for name, alphabet in ALPHABETS.items():
+            for length in (24, 40, 64):
+                draw = random.Random(f"{prefix}{name}{length}")
+                keys = ["".join(draw.choices(alphabet, k=length)) for _ in range(100)]
+                # Separators at a key's ends can't be told from those around it.
+                keys = [k.replace(k[0], "q").replace(k[-1], "Z") + "==" for k in keys]
+                lost = 0
+                for key in keys:
+                    text = f"see {prefix}{key}/documents/production/archive ok"
+                    at = text.index(key)
+                    spans = secrets.random_spans(text, encoding(), 2.0)
+                    lost += not any(a <= at and b >= at + length for a, _, b in spans)
+                assert lost <= 2, (prefix, name, length, lost)
+
+
+def test_only_the_key_is_marked():
+    key = "Xq7b92LmZp04/TvRw8Ks1Yd+Hc93Nf=="
+    for prefix in PREFIXES:
+        text = f"see {prefix}{key}/customer/documents/production/archive/of/the/settings ok"
+        spans = secrets.random_spans(text, encoding(), 2.0)
+        assert [text[a:b] for a, _, b in spans] == [key]
+
+
+def test_readable_runs_have_no_random_stretch():
+    for value in (
+        "https://example.com/reports/2024/12/31/annual-summary-of-operations/index",
+        "production/123e4567-e89b-12d3-a456-426614174000/documents/of/the/customer/archive",
+        "mirlo/archive/documents/da39a3ee5e6b4b0d3255bfef95601890afd80709/production/customer",
+    ):
+        assert secrets.random_spans(value, encoding(), 2.0) == [], value
