@@ -1,9 +1,11 @@
 """License phrases, and text blocks that hold a license notice.
 
 The base scan counts places where a phrase's words stand one after another. The
-method is an exact set-similarity join of text blocks (lines) with notice
-templates: a pair matches if the block holds at least ``containment`` of the
-template's distinct words. Tokens are ordered by their frequency over all blocks
+method is an exact set-similarity join of text blocks with notice templates.
+Blocks are lines, and paragraphs of several lines, as notices are often wrapped:
+lines without a word, such as blank ones or a lone comment mark, part paragraphs.
+A pair matches if the block holds at least ``containment`` of the
+template's distinct words. Tokens are ordered by their frequency over all lines
 of the corpus, rarest first; then
 
 * prefix filter: of ``n`` template tokens of which ``need`` must be shared, one
@@ -32,6 +34,7 @@ from profilelake.llm.common import texts
 
 # What parts words, and the base phrases with their labels.
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+GAP = r"\n[\x00-\x2F\x3A-\x60\x7B-\x7F]*\n"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PHRASES = (
     ("gnu general public license", "gpl"),
@@ -106,7 +109,7 @@ def template_tokens() -> list[tuple[str, list[str]]]:
 
 
 def frequency_order(documents: DataFrame) -> list[str]:
-    """The templates' tokens, rarest first over all blocks of all documents.
+    """The templates' tokens, rarest first over all lines of all documents.
 
     Counts per token come back: as many numbers as the templates have words.
     """
@@ -160,7 +163,11 @@ def block_matches(text: Column, order: list[str], containment: float) -> Column:
         return F.when(matches, found)
 
     # array_intersect keeps the order of its first side: a block's tokens, rarest first.
-    blocks = F.transform(F.split(text, "\n"), lambda b: F.array_intersect(known, F.split(b, BREAK)))
+    paragraphs = F.filter(F.split(text, GAP), lambda p: F.contains(p, F.lit("\n")))
+    blocks = F.transform(
+        F.concat(F.split(text, "\n"), paragraphs),
+        lambda b: F.array_intersect(known, F.split(b, BREAK)),
+    )
     candidates = F.filter(blocks, lambda b: F.arrays_overlap(b, rare))
     return F.flatten(
         F.transform(

@@ -1,6 +1,7 @@
 """License scans against brute force over all (line, template) pairs."""
 
 import re
+import textwrap
 
 from conftest import SF_DIR
 from llm_cases import no_docs, odd_docs, texts  # noqa: F401
@@ -65,3 +66,37 @@ def test_no_python_in_the_plans(spark, capsys):
         queries.queries()[name](spark, SF_DIR).explain()
         text = capsys.readouterr().out
         assert not re.search("Python|Pandas|Arrow", text), text
+
+
+NOTICES = {
+    "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted "
+    "provided that the following conditions are met:",
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+    "associated documentation files (the Software), to deal in the Software without restriction",
+    "apache": "Unless required by applicable law or agreed to in writing, software distributed under the License "
+    'is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.',
+    "mpl": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the "
+    "MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+}
+
+
+def test_wrapped_notices(spark):
+    cases = []
+    for label, notice in NOTICES.items():
+        for width in (30, 60, 76):
+            lines = textwrap.wrap(notice, width)
+            for mark in ("", "# ", "// ", " * ", ";; "):
+                head = [f"{mark}Copyright someone", mark.rstrip(), *(mark + x for x in lines), mark.rstrip(), "", "int x;"]
+                cases.append((label, "\n".join(head)))
+                cases.append((label, "\r\n".join(head)))
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(cases)], "doc_id bigint, text string")
+    rows = {r.doc_id: r for r in licenses.scan(df).collect()}
+    for i, (label, text) in enumerate(cases):
+        assert rows[i].labels == label and rows[i].score >= licenses.CONTAINMENT, (text, rows[i])
+
+
+def test_paragraphs_end_at_lines_without_words(spark):
+    lines = textwrap.wrap(NOTICES["bsd"], 60)
+    texts = [gap.join(lines) for gap in ("\n\n", "\n \t\n", "\n#\n", "\r\n\r\n")]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert [r.labels for r in licenses.scan(df).collect()] == [""] * len(texts)
