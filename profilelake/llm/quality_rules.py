@@ -7,8 +7,9 @@ ratio of the two, so it does not depend on the document's length. A document is
 kept if it passes the base rules and its score reaches a fixed threshold; every
 document gets a verdict, and the same one in every run.
 
-The corpus counts cover all documents. The trusted side is the ``trusted_rows``
-trusted ids that come first by hash: a stated bound, small enough to broadcast.
+The corpus counts cover all documents, the trusted ones all documents marked good.
+Only counts per bucket are compared and the prior is a share of the trusted grams,
+so a corpus of the same mix gives the same verdicts whatever its size.
 
 Cases: null and empty texts have no words, score 0 and fail the base rules;
 documents without trusted ones to compare with all score 0 and follow the base
@@ -31,9 +32,8 @@ SYMBOLS = r"[#*$%&|<>]"
 LEAST_WORDS = 50
 
 BUCKETS = 16_384
-TRUSTED_ROWS = 20_000
 THRESHOLD = -0.075
-PRIOR = 10 * BUCKETS  # grams of the corpus's own mix that the trusted side starts with
+PRIOR = 0.06  # grams of the corpus's own mix that the trusted side starts with, for each of its own
 
 
 def words(text: Column) -> Column:
@@ -96,43 +96,45 @@ def grams(words: Column, buckets: int = BUCKETS) -> Column:
     return F.concat(ones, pairs)
 
 
-def trusted_ids(labels: DataFrame, bound: int = TRUSTED_ROWS) -> DataFrame:
-    """At most ``bound`` ids of documents marked good, first by hash."""
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """The distinct ids of documents marked good."""
     good = labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull())
-    return (
-        good.select("doc_id")
-        .distinct()
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(bound)
-        .withColumn("trusted", F.lit(True))
-    )
+    return good.select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct()
 
 
-def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> list[float]:
-    """The log ratio of every bucket; ``buckets`` numbers, whatever the corpus."""
-    split = docs.select("doc_id", words(F.col("text")).alias("words"))
-    marked = split.select("doc_id", grams(F.col("words"), buckets).alias("grams")).join(
-        F.broadcast(trusted), "doc_id", "left"
-    )
+def bucket_counts(docs: DataFrame, buckets: int = BUCKETS) -> list[int]:
+    """Grams per bucket; ``buckets`` numbers, whatever the corpus."""
+    split = docs.select(words(F.col("text")).alias("words"))
     # The outer form: for the plain one, Spark filters by the array's size below and
     # computes the words anew for every element.
     rows = (
-        marked.select(F.explode_outer("grams").alias("bucket"), "trusted")
+        split.select(F.explode_outer(grams(F.col("words"), buckets)).alias("bucket"))
         .filter(F.col("bucket").isNotNull())
         .groupBy("bucket")
-        .agg(F.count(F.lit(1)).alias("corpus"), F.count("trusted").alias("target"))
+        .count()
         .collect()
     )
-    corpus, target = [0] * buckets, [0] * buckets
+    counts = [0] * buckets
     for row in rows:
-        corpus[row["bucket"]], target[row["bucket"]] = row["corpus"], row["target"]
-    if not sum(target):
-        return [0.0] * buckets
-    # The trusted side is drawn towards the corpus: with few trusted grams no bucket says
-    # much, and a document is not rejected for words that merely were not seen there.
+        counts[row["bucket"]] = row["count"]
+    return counts
+
+
+def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> list[float]:
+    """The log ratio of every bucket.
+
+    Trusted documents are counted by themselves: Spark broadcasts a short list of ids,
+    and shuffles the texts to a long one.
+    """
+    corpus = bucket_counts(docs, buckets)
+    target = bucket_counts(docs.join(trusted, "doc_id", "left_semi"), buckets)
     all_, good = sum(corpus), sum(target)
+    if not good:
+        return [0.0] * buckets
+    # The trusted side is drawn towards the corpus: a document is not rejected for few
+    # words that merely were not seen there.
     return [
-        math.log((t * all_ / c + PRIOR) / (good + PRIOR)) if c else 0.0
+        math.log((t / good * all_ / c + PRIOR) / (1 + PRIOR)) if c else 0.0
         for t, c in zip(target, corpus, strict=True)
     ]
 
@@ -149,11 +151,10 @@ def judge(
     labels: DataFrame,
     threshold: float = THRESHOLD,
     buckets: int = BUCKETS,
-    trusted_rows: int = TRUSTED_ROWS,
 ) -> DataFrame:
     """One row per document: base counts, score and verdict."""
     docs = texts(documents)
-    ratios = log_ratios(docs, trusted_ids(labels, trusted_rows), buckets)
+    ratios = log_ratios(docs, trusted_ids(labels), buckets)
     counted = (
         docs.withColumn("words", words(F.col("text")))
         .select(

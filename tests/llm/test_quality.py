@@ -95,3 +95,34 @@ def test_rules_of_a_printed_tree():
         ((3, -inf, 0.25),), ((1, -inf, 7.0), (3, -inf, 0.25)), ((1, 7.0, inf), (3, -inf, 0.25)),
         ((3, 0.25, inf),),
     ]
+
+
+def test_verdicts_do_not_depend_on_the_size(spark):
+    texts = [f"good w{i % 7} x{i % 5} tail" if i % 3 else f"junk w{i % 7} y{i % 4} noise" for i in range(60)]
+    labels = [(i, int(i % 3 > 0)) for i in range(30)]
+    scores = []
+    for copies in (1, 10, 200):
+        docs = [(k * 1000 + i, t) for k in range(copies) for i, t in enumerate(texts)]
+        marks = [(k * 1000 + i, q) for k in range(copies) for i, q in labels]
+        df = spark.createDataFrame(docs, "doc_id bigint, text string")
+        judged = quality_rules.judge(df, spark.createDataFrame(marks, "doc_id bigint, quality int"))
+        scores.append([r.score for r in judged.where("doc_id < 1000").orderBy("doc_id").collect()])
+    for other in scores[1:]:
+        assert max(abs(a - b) for a, b in zip(scores[0], other, strict=True)) < 1e-9
+
+
+def test_all_trusted_documents_count(spark):
+    """More trusted ids than the former bound, joined with and without a broadcast."""
+    n = 30_000
+    docs = spark.range(n).selectExpr("id AS doc_id", "concat('only', pmod(id, 97), ' words') AS text")
+    labels = spark.range(n).selectExpr("id AS doc_id", "1 AS quality")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for limit in (before, "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            trusted = quality_rules.trusted_ids(labels)
+            assert trusted.count() == n
+            assert sum(quality_rules.bucket_counts(docs.join(trusted, "doc_id", "left_semi"))) == 3 * n
+            assert {abs(r) < 1e-9 for r in quality_rules.log_ratios(docs, trusted)} == {True}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
