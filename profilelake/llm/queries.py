@@ -18,6 +18,7 @@ from profilelake.llm import (
     rule_ensemble,
     secrets,
     shards,
+    shuffle_shards,
 )
 from profilelake.llm.common import scratch, table
 
@@ -84,6 +85,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document."""
+    return shuffle_shards.assign(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         name: function
