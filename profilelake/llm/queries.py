@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from profilelake.llm import (
     archives,
@@ -19,6 +20,7 @@ from profilelake.llm import (
     secrets,
     shards,
     shuffle_shards,
+    whitening,
 )
 from profilelake.llm.common import scratch, table
 
@@ -90,6 +92,12 @@ def op11_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shuffle_shards.assign(table(spark, sf_dir, "documents"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened coordinates of every embedding; a deviation beyond 64 bits is null."""
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         name: function
