@@ -13,6 +13,7 @@ from profilelake.llm import (
     decontaminate,
     licenses,
     near_duplicates,
+    phrases,
     pieces,
     quality_rules,
     repeats,
@@ -92,6 +93,11 @@ def op11_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shuffle_shards.assign(table(spark, sf_dir, "documents"))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best 2,000 phrases of every language."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whitened coordinates of every embedding; a deviation beyond 64 bits is null."""
     found = whitening.whiten(table(spark, sf_dir, "embeddings"))
@@ -122,6 +128,52 @@ ORACLE = {
                CASE WHEN first_id <> page_id THEN first_id END AS refers_to
         FROM firsts
     """,
+    "op12_phrases": """
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                   translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[.,;:!?\\x0A-\\x0D]')) AS piece
+            FROM documents
+        ), split AS (
+            SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda w: w <> '') AS w
+            FROM pieces
+        ), grams AS (
+            SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) AS g
+            FROM split, range(1, 6) AS lengths(k)
+            WHERE len(w) >= k
+        ), f AS (
+            SELECT lang, k, g, count(*) AS f FROM grams GROUP BY ALL
+        ), totals AS (
+            SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang
+        ), found AS (
+            SELECT * FROM f WHERE k > 1 AND f >= 100
+        ), longer AS (
+            SELECT lang, g, max(f) AS longer, sum(is_right) AS n_right, sum(1 - is_right) AS n_left
+            FROM (SELECT lang, g[1:k - 1] AS g, f, 1 AS is_right FROM found WHERE k > 2
+                  UNION ALL SELECT lang, g[2:k], f, 0 FROM found WHERE k > 2)
+            GROUP BY lang, g
+        ), cuts AS (
+            SELECT c.lang, c.g, c.f AS a, n, cut, x.f AS l, y.f AS r,
+                   1000 * c.f::HUGEINT * n::HUGEINT // (x.f::HUGEINT * y.f) AS score
+            FROM found c
+            JOIN totals USING (lang)
+            JOIN range(1, 5) AS cuts(cut) ON cut < c.k
+            JOIN f x ON x.lang = c.lang AND x.g = c.g[1:cut]
+            JOIN f y ON y.lang = c.lang AND y.g = c.g[cut + 1:c.k]
+        ), best AS (
+            SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1
+        ), ranked AS (
+            SELECT best.lang, array_to_string(best.g, ' ') AS phrase, a, l, r, n, score,
+                   coalesce(n_left, 0) AS n_left, coalesce(n_right, 0) AS n_right
+            FROM best LEFT JOIN longer ON longer.lang = best.lang AND longer.g = best.g
+            WHERE longer IS NULL OR longer.longer < a
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+               phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score,
+               n_left::BIGINT AS n_left, n_right::BIGINT AS n_right
+        FROM ranked
+        QUALIFY rank <= 2000
+    """,
 }
 
 
