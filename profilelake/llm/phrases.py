@@ -38,7 +38,8 @@ from profilelake.llm.common import staged
 LEAST = 100
 LONGEST = 5
 TOP = 2000
-SHARD_BYTES = 1 << 24  # of text in one index
+SHARD_BYTES = 1 << 23  # of text in one index
+SEQUENCE_BITS, LOCAL_BITS = 12, 27  # of the shards of a task, and of the words of a shard
 NO_LANG = "und"
 
 # White space within a piece, and the marks between pieces.
@@ -98,11 +99,14 @@ def _parts(text: bytes) -> Iterator[bytes]:
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [c.split()[0] for c in SHARDS.split(", ")]
     kinds = [pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.binary()]
-    number = TaskContext.get().partitionId() << 32
+    number = TaskContext.get().partitionId() << SEQUENCE_BITS
+    end = number + (1 << SEQUENCE_BITS)
     held: dict[str, list[bytes]] = {}
     size = 0
 
     def written() -> Iterator[pa.RecordBatch]:
+        if number == end:
+            raise ValueError(f"a task has more than {1 << SEQUENCE_BITS} shards: use smaller partitions")
         sequences, last = [], 0
         for lang, texts in held.items():
             sequence, words = tokenised(texts)
@@ -332,12 +336,23 @@ def counted(
     shards = staged(plain.mapInArrow(_shards, SHARDS), "word-shards")
     occurring = shards.filter("word IS NOT NULL").select("shard", "lang", "word", "local", "n")
     totals = staged(occurring.groupBy("lang").agg(F.sum("n").alias("n")), "word-totals")
-    words = occurring.groupBy("lang", "word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    words = staged(words.select((F.monotonically_increasing_id() + 1).alias("id"), "lang", "word", "n"), "words")
-    mine = occurring.drop("n").join(words, ["lang", "word"]).select(
-        "shard", F.col("local").cast("bigint").alias("x"), F.col("id").alias("y"), F.lit(False).alias("pair")
+    # The rows of a word meet once: in its count, and in its id, which is its place in
+    # the first of its shards. That shard's row carries the word itself.
+    own = F.shiftleft("shard", LOCAL_BITS).bitwiseOR(F.col("local").cast("bigint"))
+    met = (
+        occurring.withColumn("own", own)
+        .withColumn("f", F.expr("sum(n) OVER (PARTITION BY lang, word)"))
+        .withColumn("id", F.expr("min(own) OVER (PARTITION BY lang, word)"))
+        .filter(F.col("f") >= least)
     )
+    first = F.col("id") == F.col("own")
+    mine = met.select(
+        "shard", F.col("local").cast("bigint").alias("x"), F.col("id").alias("y"),
+        *(F.when(first, F.col(c)).alias(c) for c in ("lang", "word", "f")),
+    )
     mine = staged(mine, "shard-words")
+    words = mine.filter("f IS NOT NULL").select(F.col("y").alias("id"), "lang", "word", F.col("f").alias("n"))
+    mine = mine.select("shard", "x", "y", F.lit(False).alias("pair"))
     sequences = shards.filter("sequence IS NOT NULL").select("shard", "sequence").groupBy("shard")
     pairs = sequences.cogroup(mine.groupBy("shard")).applyInArrow(_pairs, PAIRS)
     pairs = pairs.withColumn("total", F.expr("sum(n) OVER (PARTITION BY a, b)")).filter(F.col("total") >= least)
