@@ -17,7 +17,7 @@ then left of a bucket outside its largest class is compared with the whole bucke
 it is little (``FEW``) or the bucket is small (``SMALL``). Buckets with much left are
 split: their members meet again only where they share a second such bucket, then a
 third (``LEVELS``), with the same steps. What is left of those is compared in rounds,
-a few centres a round, until every two members of different classes have met. So the
+``CENTRES`` members with all, until every two of different classes have met. So the
 number of comparisons grows with the members, not with their square, unless members
 share three such buckets. Similarities are exact, over the shingles.
 
@@ -53,7 +53,7 @@ COORDINATES = BANDS * ROWS
 SMALL = 16  # members of a bucket that meet all with all
 FEW = 8  # members outside a bucket's largest class that meet the whole bucket
 LEVELS = 3  # buckets that members must share before they meet all with all
-CENTRES = 16  # members of a bucket that meet all others in one of the last rounds
+CENTRES = 256  # members of a bucket, about, that meet all others in one of the last rounds
 CHUNK_WORDS = 200_000  # words whose darts are in memory at once
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -187,23 +187,66 @@ def band_udf(column: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
 
 
-def jaccard(left: np.ndarray, right: np.ndarray) -> float:
-    """Weighted Jaccard similarity of two texts' shingles."""
-    (_, a), (_, b) = (shingles(x, np.array([len(x)])) for x in (left, right))
-    both, counts = np.unique(np.concatenate([a, b]), return_counts=True)
-    mine, own = np.unique(a, return_counts=True)
-    in_a = np.zeros(len(both), np.int64)
-    in_a[np.searchsorted(both, mine)] = own
-    shared = np.minimum(in_a, counts - in_a).sum()
-    return float(shared / (len(a) + len(b) - shared)) if len(both) else 1.0
+def elements(hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted elements of each text, one text after another; how many each has).
+
+    A shingle that occurs again is another element, so that the similarity of the sets is
+    the weighted similarity of the texts.
+    """
+    owner, value = shingles(hashes, sizes)
+    order = np.lexsort((value, owner))
+    owner, value = owner[order], value[order]
+    first = np.ones(len(owner), bool)
+    first[1:] = (owner[1:] != owner[:-1]) | (value[1:] != value[:-1])
+    starts = np.flatnonzero(first)
+    again = np.arange(len(owner)) - np.repeat(starts, np.diff(np.append(starts, len(owner))))
+    element = mix(value + again.astype(np.uint64) * _ODD).astype(np.int64)
+    return element[np.lexsort((element, owner))], np.bincount(owner, minlength=len(sizes))
+
+
+def _parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(all numbers of an array column, where each row's end)."""
+    sizes = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    return column.flatten().to_numpy(zero_copy_only=False), np.cumsum(sizes)
+
+
+@F.arrow_udf(T.ArrayType(T.LongType(), False))
+def elements_udf(column: pa.Array) -> pa.Array:
+    """The elements of texts given as arrays of word hashes."""
+    values, ends = _parts(column)
+    sizes = np.diff(ends, prepend=0)
+    parts, counts, start = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+    while start < len(sizes):
+        before = ends[start] - sizes[start]
+        stop = max(start + 1, int(np.searchsorted(ends, before + CHUNK_WORDS, "right")))
+        found, n = elements(values[before : ends[stop - 1]], sizes[start:stop])
+        parts.append(found)
+        counts.append(n)
+        start = stop
+    offsets = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(parts)))
+
+
+def similarity_of(left: np.ndarray, right: np.ndarray) -> float:
+    """Jaccard similarity of two sorted sets of elements."""
+    if len(left) < len(right):
+        left, right = right, left
+    if not len(right):
+        return float(not len(left))
+    at = np.searchsorted(left, right)
+    at[at == len(left)] = 0
+    shared = int((left[at] == right).sum())
+    return shared / (len(left) + len(right) - shared)
 
 
 @F.arrow_udf(T.DoubleType())
-def jaccard_udf(left: pa.Array, right: pa.Array) -> pa.Array:
-    return pa.array(
-        [jaccard(np.asarray(a.values), np.asarray(b.values)) for a, b in zip(left, right)],
-        pa.float64(),
-    )
+def similarity_udf(left: pa.Array, right: pa.Array) -> pa.Array:
+    (a, a_ends), (b, b_ends) = _parts(left), _parts(right)
+    found, i, j = np.empty(len(a_ends)), 0, 0
+    for k, (m, n) in enumerate(zip(a_ends.tolist(), b_ends.tolist())):
+        found[k] = similarity_of(a[i:m], b[j:n])
+        i, j = m, n
+    return pa.array(found, pa.float64())
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -234,10 +277,10 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _compared(pairs: DataFrame, hashed: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) that are similar, stored."""
-    left = hashed.select(F.col("node").alias("a"), F.col("words").alias("left"))
-    right = hashed.select(F.col("node").alias("b"), F.col("words").alias("right"))
+    left = hashed.select(F.col("node").alias("a"), F.col("elements").alias("left"))
+    right = hashed.select(F.col("node").alias("b"), F.col("elements").alias("right"))
     met = pairs.distinct().join(left, "a").join(right, "b")
-    return staged(met.filter(jaccard_udf("left", "right") >= similarity).select("a", "b"), "links")
+    return staged(met.filter(similarity_udf("left", "right") >= similarity).select("a", "b"), "links")
 
 
 def _merged(classes: DataFrame, links: DataFrame) -> DataFrame:
@@ -297,23 +340,30 @@ def _within(open_: DataFrame) -> DataFrame:
 
 
 def _rounds(members: DataFrame, classes: DataFrame, hashed: DataFrame, similarity: float) -> DataFrame:
-    """The classes once every two members of a bucket have met or are of one class."""
+    """The classes once every two members of a bucket have met or are of one class.
+
+    In each round about ``CENTRES`` members of a bucket, all of a smaller one, meet the
+    others and leave; a hash picks them.
+    """
+    number = 0
     while True:
         placed = members.join(classes, "node")
-        picks = [F.min(F.struct(F.xxhash64("node", F.lit(i)).alias("by"), "node")).alias(f"c{i}") for i in range(CENTRES)]
-        chosen = placed.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi"), *picks)
-        nodes = F.array_distinct(F.array(*(F.col(f"c{i}.node") for i in range(CENTRES))))
-        chosen = staged(chosen.filter("lo < hi").select("key", nodes.alias("centres")), "centres")
-        if chosen.isEmpty():
+        buckets = placed.groupBy("key").agg(
+            F.min("class").alias("lo"), F.max("class").alias("hi"), F.count(F.lit(1)).alias("n")
+        )
+        buckets = staged(buckets.filter("lo < hi").select("key", "n"), "buckets")
+        if buckets.isEmpty():
             return classes
-        open_ = staged(placed.join(chosen, "key"), "open")
-        centres = chosen.select("key", F.explode("centres").alias("x")).join(
-            classes.select(F.col("node").alias("x"), F.col("class").alias("x_class")), "x"
+        share = F.shiftrightunsigned(F.xxhash64("node", "key", F.lit(number)), 11) * 2.0**-53
+        open_ = staged(placed.join(buckets, "key").withColumn("centre", share * F.col("n") < CENTRES), "open")
+        centres = open_.filter("centre").select("key", F.col("node").alias("x"), F.col("class").alias("x_class"))
+        met = open_.join(centres, "key").filter(
+            (F.col("x_class") != F.col("class")) & (~F.col("centre") | (F.col("x") < F.col("node")))
         )
-        met = open_.select("key", "node", "class").join(centres, "key").filter(F.col("x_class") != F.col("class"))
         pairs = met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
         classes = _merged(classes, _compared(pairs, hashed, similarity))
-        members = open_.filter(~F.array_contains("centres", F.col("node"))).select("key", "node")
+        members = open_.filter("NOT centre").select("key", "node")
+        number += 1
 
 
 def linked(members: DataFrame, classes: DataFrame, hashed: DataFrame, similarity: float) -> DataFrame:
@@ -372,7 +422,8 @@ def duplicate_classes(documents: DataFrame, similarity: float = SIMILARITY) -> D
     wanted = classes.select(F.col("first").alias("doc_id"), "node", "digest")
     found = docs.join(wanted, "doc_id").withColumn("words", words(F.col("text")))
     found = found.filter(_digest(F.col("words")) == F.col("digest"))
-    hashed = staged(found.select("node", word_hashes(F.col("words")).alias("words")).dropDuplicates(["node"]), "shingled")
+    hashed = found.select("node", elements_udf(word_hashes(F.col("words"))).alias("elements"))
+    hashed = staged(hashed.dropDuplicates(["node"]), "shingled")
     classes = linked(members, classes.drop("digest"), hashed, similarity)
     smallest = classes.groupBy("class").agg(F.min("first").alias("class_id"))
     named = classes.join(smallest, "class").select("node", "class_id")

@@ -4,6 +4,7 @@ import collections
 import random
 
 import numpy as np
+import pytest
 
 from conftest import SF_DIR
 from llm_cases import no_docs, odd_docs, texts  # noqa: F401
@@ -30,10 +31,12 @@ def brute(texts, least=0.8):
     for i, b in bags.items():
         for s in b or [None]:
             holders[s].add(i)
+    tried = set()
     for members in holders.values():
         for a in members:
             for b in members:
-                if a < b and root(a) != root(b):
+                if a < b and (a, b) not in tried and root(a) != root(b):
+                    tried.add((a, b))
                     x, y = bags[a], bags[b]
                     if x is None or sum((x & y).values()) >= least * sum((x | y).values()):
                         low, high = sorted((root(a), root(b)))
@@ -72,7 +75,9 @@ def test_signatures_agree_as_often_as_sets_are_similar():
         if k % 2:  # weights: one stretch repeated many times
             a = np.concatenate([a, np.tile(a[:7], 30)])
         s = nd.signatures(np.concatenate([a, b]), np.array([len(a), len(b)]))
-        errors.append((s[0] == s[1]).mean() - nd.jaccard(a, b))
+        sizes = np.array([len(a), len(b)])
+        found, n = nd.elements(np.concatenate([a, b]), sizes)
+        errors.append((s[0] == s[1]).mean() - nd.similarity_of(found[: n[0]], found[n[0] :]))
     assert abs(np.mean(errors)) < 0.015 and np.std(errors) < 0.07
 
 
@@ -88,6 +93,39 @@ def test_signatures_do_not_depend_on_neighbours():
         assert (together[i] != 0).all() == (n > 0)
 
 
+def test_similarity_against_counting():
+    rng = random.Random(2)
+    for _ in range(300):
+        texts = [" ".join(rng.choice("abc") for _ in range(rng.randrange(30))) for _ in range(2)]
+        one, other = (bag(t) or collections.Counter() for t in texts)
+        words = [np.array([hash(w) for w in t.split()], np.int64) for t in texts]
+        found, n = nd.elements(np.concatenate(words), np.array([len(w) for w in words]))
+        want = sum((one & other).values()) / max(1, sum((one | other).values())) if one or other else 1.0
+        assert abs(nd.similarity_of(found[: n[0]], found[n[0] :]) - want) < 1e-12
+
+
+@pytest.mark.parametrize("levels", [1, 3])
+def test_large_bucket_of_dissimilar_texts(spark, monkeypatch, levels):
+    """Texts that share a passage and nothing else: pairs compared grow with them, not their square."""
+    monkeypatch.setattr(nd, "LEVELS", levels)
+    rng = random.Random(9)
+    shared = " ".join(f"s{i}" for i in range(60))
+    texts = {i: shared + " " + " ".join(f"w{rng.randrange(10**7)}" for _ in range(60)) for i in range(400)}
+    for i in range(20):  # and some true copies among them
+        texts[1000 + i] = texts[i * 7] + " more"
+    met = []
+    compared = nd._compared
+
+    def counted(pairs, *rest):
+        met.append(pairs.distinct().count())
+        return compared(pairs, *rest)
+
+    monkeypatch.setattr(nd, "_compared", counted)
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    assert dict(nd.duplicate_classes(df).collect()) == {i: (i - 1000) * 7 if i >= 1000 else i for i in texts}
+    assert levels == 1 or sum(met) < 20 * len(texts)
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (3, 4), (9, 8), (8, 7), (20, 21), (5, 4)]
     got = dict(nd.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect())
