@@ -14,11 +14,14 @@ from profilelake.flavour import BIOGEOCHEMICAL
 from profilelake.operators import aggregate, conform, datamode, filters, quarantine, refresh
 from profilelake.operators import subset, verify
 from profilelake.operators.flatten import flatten_levels
-from profilelake.plans import convert_files, convert_profiles, map_data, plan_refresh
+from profilelake.operators.sketches import rank_error, sketched_limits, value_sketches
+from profilelake.plans import convert_arriving, convert_files, convert_profiles, map_data, plan_refresh
 from profilelake.schema import level_schema, load_schema, save_schema, staged_schema
 from profilelake.sources.files import decode_files, file_inventory, staged_and_failed
+from profilelake.sources.index import index_rejects as read_rejects
 from profilelake.sources.stored import stored
 from profilelake.sources.tables import read_staged
+from profilelake.sources.versions import add_batch, read_version
 from profilelake.sources import (
     read_index,
     read_levels,
@@ -61,6 +64,22 @@ def index_scan(spark, sf_dir):
     return V.plain(read_index(spark, path, "bgc", schema).select(*columns))
 
 
+_BROKEN = ["file", "date", "latitude", "longitude", "parameters", "date_update"]
+
+
+def index_scan_broken(spark, sf_dir):
+    path = V.write_broken_index(spark, sf_dir, _BROKEN)
+    schema = V.index_text(spark, sf_dir).select(*_BROKEN).schema
+    return V.plain(read_index(spark, path, "bgc", schema).select(*_BROKEN))
+
+
+def index_scan_rejects(spark, sf_dir):
+    path = V.write_broken_index(spark, sf_dir, _BROKEN)
+    schema = V.index_text(spark, sf_dir).select(*_BROKEN).schema
+    rejects = read_rejects(spark, path, "bgc", schema)
+    return V.plain(rejects.select("file", F.size(F.split("line", ",")).alias("fields")))
+
+
 def subset_default(spark, sf_dir):
     return _index_rows(subset.subset_index(V.index(spark, sf_dir), "bgc"))
 
@@ -351,6 +370,65 @@ def write_sized(spark, sf_dir):
     return V.plain(read_levels(spark, path, "phy", list(_WRITTEN)))
 
 
+def batch_twice(spark, sf_dir):
+    """Two batches, the second of them added twice."""
+    rows = conform.conform(flatten_levels(V.staged(spark, sf_dir)), level_schema("phy"))
+    root, odd = V.scratch(spark), F.col("PLATFORM_NUMBER") % 2 == 1
+    add_batch(rows.where(odd), root, "phy", "odd")
+    for _ in range(2):
+        add_batch(rows.where(~odd), root, "phy", "even")
+    return V.plain(read_version(spark, root, "phy", list(_WRITTEN)))
+
+
+def two_schemas(spark, sf_dir):
+    """Two batches of one dataset: the later one has a wider number and one more column."""
+    rows, root = V.observations(spark, sf_dir), V.scratch(spark)
+    narrow = rows.select("event_id", F.col("CHLA_ADJUSTED_QC").cast("smallint").alias("CHLA_ADJUSTED_QC"))
+    wide = rows.select("event_id", F.col("CHLA_ADJUSTED_QC").cast("int").alias("CHLA_ADJUSTED_QC"), "PRES_ADJUSTED")
+    add_batch(narrow.where("event_id % 2 = 0"), root, "bgc", "old")
+    add_batch(wide.where("event_id % 2 = 1"), root, "bgc", "new")
+    return V.plain(read_version(spark, root, "bgc"))
+
+
+def stream_convert(spark, sf_dir):
+    """Staged files converted as a stream in several batches, then run again with nothing new."""
+    root = V.scratch(spark)
+    V.staged(spark, sf_dir).repartition(3, "source_file").write.parquet(f"{root}/staged")
+    for _ in range(2):
+        convert_arriving(
+            spark, f"{root}/staged", root, "phy", f"{root}/checkpoint", files_per_batch=2
+        ).awaitTermination()
+    return V.plain(read_version(spark, root, "phy", list(_WRITTEN)))
+
+
+def sketch_limits(spark, sf_dir):
+    """Whether limits from sketches of many groups lie within their rank error."""
+    rows = filters.valid_values(V.observations(spark, sf_dir), "CHLA_ADJUSTED")
+    sketches = stored(value_sketches(rows.withColumn("batch", F.col("event_id") % 16), ["CHLA_ADJUSTED"], ["batch"]))
+    limits = sketched_limits(sketches, "CHLA_ADJUSTED", (0.01, 0.5, 0.99), ("a", "b", "c"))
+    ranks = rows.crossJoin(F.broadcast(limits)).agg(
+        *(F.avg((F.col("CHLA_ADJUSTED") <= F.col(c)).cast("double")).alias(c) for c in "abc")
+    )
+    pairs = F.array(*(F.struct(F.lit(q).alias("q"), F.col(c).alias("rank")) for q, c in ((0.01, "a"), (0.5, "b"), (0.99, "c"))))
+    found = ranks.select(F.explode(pairs).alias("p")).select("p.*")
+    # One value may stand for many ranks where the data repeat it.
+    return V.plain(found.select("q", (F.abs(F.col("q") - F.col("rank")) <= rank_error() + 0.005).alias("within")))
+
+
+def skipping_read(spark, sf_dir):
+    """The rows of ``box_time_depth`` from the files of a stored dataset that can hold them."""
+    rows, root = V.observations(spark, sf_dir), V.scratch(spark)
+    add_batch(rows, root, "bgc", "all", ranges=64)
+    wanted = [
+        ("LATITUDE", ">", BOX["lat_range"][0]), ("LATITUDE", "<", BOX["lat_range"][1]),
+        ("LONGITUDE", ">", BOX["lon_range"][0]), ("LONGITUDE", "<", BOX["lon_range"][1]),
+        ("JULD", ">=", TIMES[0]), ("JULD", "<=", TIMES[1]),
+        ("PRES_ADJUSTED", ">=", PRESSURES[0]), ("PRES_ADJUSTED", "<=", PRESSURES[1]),
+    ]
+    columns = ["event_id", "JULD", "PRES_ADJUSTED"]
+    return V.plain(read_version(spark, root, "bgc", columns, wanted, schema=rows.schema))
+
+
 def schema_roundtrip(spark, sf_dir):
     root = V.scratch(spark)
     save_schema(spark, level_schema("phy"), f"{root}/schema")
@@ -443,6 +521,8 @@ def queries() -> dict[str, Query]:
         "index_extract": index_extract,
         "index_rejects": index_rejects,
         "index_scan": index_scan,
+        "index_scan_broken": index_scan_broken,
+        "index_scan_rejects": index_scan_rejects,
         "subset_default": subset_default,
         "subset_latlon": subset_latlon,
         "subset_lon_wrap": subset_lon_wrap,
@@ -485,6 +565,11 @@ def queries() -> dict[str, Query]:
         "convert_subset": convert_subset,
         "write_append": write_append,
         "write_sized": write_sized,
+        "batch_twice": batch_twice,
+        "skipping_read": skipping_read,
+        "two_schemas": two_schemas,
+        "stream_convert": stream_convert,
+        "sketch_limits": sketch_limits,
         "schema_roundtrip": schema_roundtrip,
         "filter_dnf": filter_dnf,
         "filter_in_float": filter_in_float,

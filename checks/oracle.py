@@ -215,6 +215,12 @@ def oracle_sql() -> dict[str, str]:
         "index_rejects": f"WITH {_INDEX} SELECT ord, file FROM v_index WHERE wmoid IS NULL",
         "index_scan": f"""WITH {_INDEX} SELECT file, {_text('date')} AS date, latitude,
             longitude, parameters, {_text('date_update')} AS date_update FROM v_index""",
+        "index_scan_broken": f"""WITH {_INDEX} SELECT file, {_text('date')} AS date, latitude,
+            longitude, parameters, {_text('date_update')} AS date_update FROM v_index
+            WHERE ord % 101 <> 0 AND ord % 103 <> 0 AND ord % 109 <> 0""",
+        "index_scan_rejects": f"""WITH {_INDEX} SELECT file, CAST(CASE WHEN ord % 101 = 0 THEN 3
+            WHEN ord % 103 = 0 THEN 7 ELSE 6 END AS BIGINT) AS fields
+            FROM v_index WHERE ord % 101 = 0 OR ord % 103 = 0 OR ord % 109 = 0""",
         "subset_default": _index(f"{_DEFAULT_AREA} AND {_DEFAULT_DATES}"),
         "subset_latlon": _index("latitude BETWEEN -20 AND 45 AND longitude BETWEEN -60 AND 30.5"),
         "subset_lon_wrap": _index(
@@ -412,6 +418,20 @@ def oracle_sql() -> dict[str, str]:
                 IN (SELECT filepath_main FROM floats)""",
         "write_append": _levels(_WRITTEN),
         "write_sized": _levels(_WRITTEN),
+        "batch_twice": _levels(_WRITTEN),
+        "skipping_read": _obs(
+            f"""SELECT event_id, {_text('"JULD"')} AS "JULD", "PRES_ADJUSTED" FROM v_obs
+            WHERE {_BOX} AND {_TIME_DEPTH}"""
+        ),
+        "two_schemas": _obs(
+            """SELECT event_id, CAST("CHLA_ADJUSTED_QC" AS BIGINT) AS "CHLA_ADJUSTED_QC",
+              CASE WHEN event_id % 2 = 1 THEN "PRES_ADJUSTED" END AS "PRES_ADJUSTED" FROM v_obs"""
+        ),
+        "stream_convert": _levels(_WRITTEN),
+        "sketch_limits": _obs(
+            """SELECT q::DOUBLE AS q, (count(*) FILTER (WHERE "CHLA_ADJUSTED" IS NOT NULL) > 0)::BIGINT AS within
+            FROM v_obs, (VALUES (0.01), (0.5), (0.99)) AS wanted(q) GROUP BY q"""
+        ),
         "schema_roundtrip": _levels(_WRITTEN),
         "filter_dnf": _obs(
             """SELECT event_id, "LATITUDE", "PRES_ADJUSTED" FROM v_obs

@@ -197,6 +197,32 @@ def write_index(spark: SparkSession, sf_dir: str, columns: list[str]) -> str:
     return folder
 
 
+def write_broken_index(spark: SparkSession, sf_dir: str, columns: list[str]) -> str:
+    """The index as text files; some lines are cut off, some too long, some quoted, some not numbers."""
+    folder = f"{scratch(spark)}/{BIOGEOCHEMICAL.index_file}"
+    key = F.col("ord")
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+    quoted = [F.when(key % 107 == 0, F.concat(F.lit('"'), cells[0], F.lit('"'))).otherwise(cells[0]), *cells[1:]]
+    wrong = F.when(key % 109 == 0, "deep").otherwise(cells[2])
+    line = (
+        F.when(key % 101 == 0, F.concat_ws(",", *cells[:3]))
+        .when(key % 103 == 0, F.concat_ws(",", *cells, F.lit("more")))
+        .otherwise(F.concat_ws(",", *quoted[:2], wrong, *cells[3:]))
+    )
+
+    def lines(batches):
+        started = False
+        for frame in batches:
+            rows = frame["value"].tolist()
+            if rows and not started:
+                rows = ["# preamble", ",".join(columns), *rows]
+                started = True
+            yield pd.DataFrame({"value": rows})
+
+    index_text(spark, sf_dir).select(line.alias("value")).mapInPandas(lines, "value string").write.text(folder)
+    return folder
+
+
 def remote_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
     return table(spark, sf_dir, "customer").select(

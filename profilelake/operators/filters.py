@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import numbers
 from collections.abc import Iterable, Sequence
 from datetime import datetime
 from functools import reduce
@@ -33,6 +34,8 @@ def _fits(value: Any, kind: T.DataType) -> bool:
     bits = _INTEGER_BITS.get(kind.simpleString())
     if bits is None or isinstance(value, (bool, str)):
         return True
+    if not isinstance(value, numbers.Number) or not math.isfinite(value):
+        return False
     return value == int(value) and -(2 ** (bits - 1)) <= value < 2 ** (bits - 1)
 
 

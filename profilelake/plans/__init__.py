@@ -1,5 +1,6 @@
 """Whole runs: refresh planning, conversion, map data."""
 
+from profilelake.plans.arriving import convert_arriving
 from profilelake.plans.convert import Conversion, convert_files, convert_profiles
 from profilelake.plans.mapdata import MapData, map_data
 from profilelake.plans.mirror import MirrorPlan, plan_refresh
@@ -10,6 +11,7 @@ __all__ = [
     "DatabaseRun",
     "MapData",
     "MirrorPlan",
+    "convert_arriving",
     "convert_files",
     "convert_mirror",
     "convert_profiles",

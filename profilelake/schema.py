@@ -90,6 +90,50 @@ def index_schema(db: str | Flavour) -> T.StructType:
     )
 
 
+# Types that hold every value of another, the narrowest first.
+_WIDER = {
+    "tinyint": ("smallint", "int", "bigint", "float", "double"),
+    "smallint": ("int", "bigint", "float", "double"),
+    "int": ("bigint", "double"),
+    "float": ("double",),
+}
+_TYPES = {
+    "smallint": T.ShortType(), "int": T.IntegerType(), "bigint": T.LongType(),
+    "float": T.FloatType(), "double": T.DoubleType(),
+}
+
+
+class SchemaConflict(ValueError):
+    """Two schemas that no schema can hold without changing values."""
+
+
+def wider_type(name: str, one: T.DataType, other: T.DataType) -> T.DataType:
+    """The narrowest type that holds the values of both without loss."""
+    a, b = one.simpleString(), other.simpleString()
+    if a == b:
+        return one
+    fits_a, fits_b = (a, *_WIDER.get(a, ())), (b, *_WIDER.get(b, ()))
+    both = [t for t in fits_a if t in fits_b]
+    if not both:
+        raise SchemaConflict(f"{name} is {a} in one schema and {b} in the other")
+    return {a: one, b: other}.get(both[0]) or _TYPES[both[0]]
+
+
+def widened(old: T.StructType, new: T.StructType) -> T.StructType:
+    """A schema for rows of both: types widened, columns of the new one added at the end.
+
+    Numbers may become wider (short to int, float to double); a column may be missing on
+    either side. Anything else raises ``SchemaConflict``.
+    """
+    known = {f.name: f for f in new}
+    fields = []
+    for f in old:
+        other = known.pop(f.name, None)
+        kind = f.dataType if other is None else wider_type(f.name, f.dataType, other.dataType)
+        fields.append(T.StructField(f.name, kind))
+    return T.StructType([*fields, *(T.StructField(f.name, f.dataType) for f in known.values())])
+
+
 def column_names(table: DataFrame | T.StructType) -> list[str]:
     """Column names in code-point order."""
     names = table.columns if isinstance(table, DataFrame) else table.fieldNames()

@@ -13,6 +13,29 @@ from profilelake.schema import index_schema
 _DATES = ("date", "date_update")
 
 
+def _read_lines(
+    spark: SparkSession, path: str, db: str | Flavour, schema: T.StructType | None
+) -> DataFrame:
+    """All lines; one that does not fit the schema has its text in ``_line``."""
+    kind = flavour(db)
+    if not path.endswith((".txt", ".csv", ".gz")):
+        path = f"{path.rstrip('/')}/{kind.index_file}"
+    fields = T.StructType([*(schema or index_schema(kind)), T.StructField("_line", T.StringType())])
+    lines = (
+        spark.read.schema(fields)
+        .option("comment", "#")
+        .option("header", True)
+        .option("enforceSchema", False)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "_line")
+        .option("columnPruning", False)
+        .csv(path)
+    )
+    # Always true, and made of every column: a line is judged by all of them, whichever
+    # of them a query wants in the end.
+    return lines.filter(F.hash(*(f.name for f in fields if f.name != "_line")) >= -(2**31))
+
+
 def read_index(
     spark: SparkSession,
     path: str,
@@ -23,19 +46,23 @@ def read_index(
 
     ``path`` may be the folder that holds the flavour's index file. Preamble
     lines start with ``#``; the header that follows is checked against the
-    schema. Empty or malformed dates become null.
+    schema. Empty or malformed dates become null. Lines with too few or too many
+    fields, or with text where a number belongs, are left out: ``index_rejects``
+    lists them.
     """
-    kind = flavour(db)
-    if not path.endswith((".txt", ".csv", ".gz")):
-        path = f"{path.rstrip('/')}/{kind.index_file}"
-    text = (
-        spark.read.schema(schema or index_schema(kind))
-        .option("comment", "#")
-        .option("header", True)
-        .option("enforceSchema", False)
-        .csv(path)
-    )
-    return parse_dates(text)
+    text = _read_lines(spark, path, db, schema)
+    return parse_dates(text.filter("_line IS NULL").drop("_line"))
+
+
+def index_rejects(
+    spark: SparkSession,
+    path: str,
+    db: str | Flavour,
+    schema: T.StructType | None = None,
+) -> DataFrame:
+    """(file, line) of the lines that ``read_index`` leaves out, as they stand in the index."""
+    bad = _read_lines(spark, path, db, schema).filter("_line IS NOT NULL")
+    return bad.select("file", F.col("_line").alias("line"))
 
 
 def parse_dates(index: DataFrame) -> DataFrame:

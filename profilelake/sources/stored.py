@@ -39,12 +39,18 @@ def stored(df: DataFrame, folder: str | None = None) -> DataFrame:
 def replace_folder(spark: SparkSession, new: str, old: str) -> None:
     """Put a finished folder in the place of another.
 
-    A rename, as far as the file system has one: there the old data is gone only once
-    the new data is complete.
+    The old folder is first set aside under a name of its own and deleted only once the
+    new one has its name, so a run that ends in between has lost nothing.
     """
-    source = spark._jvm.org.apache.hadoop.fs.Path(new)
-    target = spark._jvm.org.apache.hadoop.fs.Path(old)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    source, target, aside = path(new), path(old), path(f"{old}-{uuid.uuid4().hex}-old")
     system = source.getFileSystem(spark._jsc.hadoopConfiguration())
-    system.delete(target, True)
+    there = system.exists(target)
+    if there and not system.rename(target, aside):
+        raise OSError(f"{old} could not be set aside")
     if not system.rename(source, target):
+        if there:
+            system.rename(aside, target)
         raise OSError(f"{new} could not be renamed to {old}")
+    if there:
+        system.delete(aside, True)

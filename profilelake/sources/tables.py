@@ -22,6 +22,7 @@ from profilelake.schema import level_schema, staged_schema
 from profilelake.sources.stored import replace_folder
 
 DEFAULT_FILE_BYTES = 300 * 1024 * 1024
+LEAST_RANGE_BYTES = 256 * 1024
 
 # Appended to a clustering key, so that one hot key can still be split.
 _ROW_IDENTITY = ("PLATFORM_NUMBER", "CYCLE_NUMBER", "N_PROF", "N_LEVELS")
@@ -91,18 +92,28 @@ def read_metadata(
     return metadata if filters is None else filter_rows(metadata, filters)
 
 
+def _input_bytes(rows: DataFrame) -> int | None:
+    """Bytes of what the rows are made from, as the planner knows them; None if it does not."""
+    leaves = rows._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(sizes) if sum(sizes) < 1 << 60 else None
+
+
 def range_count(rows: DataFrame, file_bytes: int | None) -> int:
     """Ranges that give files near a size, from the bytes of the files that rows come from.
 
-    Rows that come from no files are counted, at eight bytes a value.
+    Without a wanted size, small inputs are cut into as many ranges as there are threads,
+    of ``LEAST_RANGE_BYTES`` at least, so that no single task sorts and writes them all.
+    Rows whose origin has no known size are counted, at eight bytes a value.
     """
-    paths = rows.inputFiles()
-    if paths:
-        read = rows.sparkSession.read.format("binaryFile").load(paths)
-        total = read.agg(F.sum("length")).first()[0] or 0
-    else:
+    total = _input_bytes(rows)
+    if total is None:
         total = 8 * len(rows.columns) * rows.count()
-    return max(1, math.ceil(total / (file_bytes or DEFAULT_FILE_BYTES)))
+    wanted = max(1, math.ceil(total / (file_bytes or DEFAULT_FILE_BYTES)))
+    if file_bytes is not None:
+        return wanted
+    threads = rows.sparkSession.sparkContext.defaultParallelism
+    return max(wanted, min(threads, total // LEAST_RANGE_BYTES))
 
 
 def write_levels(

@@ -6,11 +6,13 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from profilelake.operators.filters import filter_rows
 from profilelake.plans import convert_files
 from profilelake.schema import level_schema, staged_schema
 from profilelake.sources import (
+    listing,
     decode_files,
     file_inventory,
     read_levels,
@@ -224,3 +226,86 @@ def test_missing_folder_and_empty_filter(spark, tmp_path):
         read_levels(spark, str(tmp_path / "nowhere"), "phy").count()
     with pytest.raises(ValueError):
         filter_rows(levels_df(spark), [])
+
+
+def tree(root, folders=12, files=5):
+    for i in range(folders):
+        where = root / f"c{i % 3}" / str(i) / "profiles"
+        os.makedirs(where)
+        for k in range(files):
+            (where / f"{k}_{'Sprof' if k % 2 else 'prof'}.nc").write_bytes(b"x" * (i * 10 + k + 1))
+    (root / "_hidden").mkdir()
+    (root / "_hidden" / "9_Sprof.nc").write_text("no")
+    (root / ".crc").write_text("no")
+    return str(root)
+
+
+def test_listing_equals_binary_files(spark, tmp_path):
+    root = tree(tmp_path)
+    for glob in (None, "*_Sprof.nc", "[0-2]_*", "{1,3}_Sprof.nc", "none"):
+        reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+        if glob is not None:
+            reader = reader.option("pathGlobFilter", glob)
+        want = reader.load(root).select("path", "length").collect()
+        got = file_inventory(spark, root, glob).select("path", "length").collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    assert file_inventory(spark, [f"{root}/c0", f"{root}/c[12]"]).count() == 60
+    (tmp_path / "empty.nc").touch()  # which the other source leaves out
+    assert file_inventory(spark, root).count() == 61
+    assert file_inventory(spark, f"{root}/c0/0/profiles/1_Sprof.nc").count() == 1
+    with pytest.raises(FileNotFoundError):
+        file_inventory(spark, f"{root}/nowhere")
+
+
+def test_unreadable_folders_are_rows(spark, tmp_path):
+    root = tree(tmp_path, 3, 1)
+    folders = spark.createDataFrame([(root,), (f"{root}/gone",), ("nosuch://x/y",)], "path string")
+    rows = listing.list_folders(spark, folders).collect()
+    assert sorted(bool(r.error) for r in rows) == [False] * 3 + [True] * 2
+    assert {r.path for r in rows if r.error} == {f"{root}/gone", "nosuch://x/y"}
+    assert all(r.length is None for r in rows if r.error)
+
+
+def test_packs_are_even(spark):
+    """One huge file, some large ones, very many small ones."""
+    sizes = [(f"/{i}", 5_000_000 if i == 0 else 400_000 if i < 20 else 100 * (i % 9)) for i in range(6000)]
+    files = spark.createDataFrame(sizes, "path string, length bigint")
+    dealt = listing.packed(files, pack_bytes=1_000_000, open_bytes=1000)
+    assert sorted(map(tuple, dealt.collect())) == sorted(sizes)
+    packs = dealt.groupBy(F.spark_partition_id().alias("p")).agg(
+        F.sum(F.col("length") + 1000).alias("n"), F.count("*").alias("files"), F.max("length").alias("most")
+    ).collect()
+    assert [r.files for r in packs if r.most == 5_000_000] == [1]
+    rest = sorted(r.n for r in packs if r.most != 5_000_000)
+    assert rest[-1] <= 1_400_000 and sum(n > 600_000 for n in rest) >= 0.8 * len(rest)
+    assert len(packs) >= sum(s + 1000 for _, s in sizes) // 1_400_000
+
+
+def test_wanted_files_are_not_listed(spark, blobs, decode_json):
+    schema = staged_schema("bgc", ["PRES"])
+    names = [(f"file:{blobs}/dac/{i}/{i}_Sprof.nc",) for i in (0, 1, 3, 77)] + [(f"{blobs}/dac",)]
+    wanted = spark.createDataFrame(names * 2, "local_path string")
+    decoded = decode_files(spark, "/nowhere/at/all", decode_json, schema, files=wanted)
+    staged, failed = staged_and_failed(decoded)
+    assert sorted(r.PLATFORM_NUMBER for r in staged.collect()) == [0, 0, 1, 1]
+    assert {os.path.basename(r.source_file) for r in failed.collect()} == {"3_Sprof.nc", "77_Sprof.nc", "dac"}
+
+
+def test_batches_go_across_files(spark, tmp_path):
+    """Frames of many files, with different columns, arrive whole."""
+    for i in range(300):
+        (tmp_path / f"{i}_Sprof.nc").write_text(str(i))
+
+    def decode(path, content):
+        i = int(content)
+        frame = {"N_PROF": list(range(i % 4)), "PLATFORM_NUMBER": [i] * (i % 4)}
+        if i % 2:
+            frame["PRES"] = [[float(i)]] * (i % 4)
+        return pd.DataFrame(frame)
+
+    schema = staged_schema("bgc", ["PRES"])
+    staged, failed = staged_and_failed(decode_files(spark, str(tmp_path), decode, schema, "*.nc"))
+    want = sorted((i, k, [float(i)] if i % 2 else None) for i in range(300) for k in range(i % 4))
+    assert sorted((r.PLATFORM_NUMBER, r.N_PROF, r.PRES) for r in staged.collect()) == want
+    assert failed.count() == 0
+    assert decode_files(spark, str(tmp_path), decode, schema, "*.txt").count() == 0
