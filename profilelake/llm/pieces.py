@@ -15,13 +15,15 @@ merge result, so the search is exact and linear in the text.
 
 Cases: a null text is empty; an empty text has no ids and decodes to an empty
 text; characters outside the vocabulary become byte pieces; U+2581 decodes to a
-space, as in the library. Texts of any length are encoded whole: matches are
-held for a few blocks at a time.
+space, as in the library; repeated rows are coded alike; an empty table gives no
+row; ``digests`` reads id and text only, whatever other columns are called. Texts of
+any length are encoded whole: matches are held for a few blocks at a time.
 """
 
 from __future__ import annotations
 
 import codecs
+import hashlib
 import re
 from array import array
 from functools import lru_cache
@@ -32,12 +34,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from profilelake.llm.common import sha256_hex, texts
+from profilelake.llm.common import texts
 
 SPACE = "▁"
+NO_TEXT = hashlib.sha256(b"").hexdigest()
 BLOCK = 4096  # characters whose matches are looked up at once
-WORDS_KEPT = 250_000  # encoded words that a Python worker remembers
+KEPT_BYTES = 96_000_000  # of encoded words that a Python worker remembers
+ENTRY_BYTES = 330  # of one, beside the characters of its word
 PAIRS_KEPT = 500_000  # pair answers that a Python worker remembers
+SLICE = 256  # texts of a batch that are Python strings at once
 
 
 def _one_byte(error: UnicodeDecodeError) -> tuple[str, int]:
@@ -48,18 +53,32 @@ codecs.register_error("one-byte", _one_byte)
 
 
 class _Words(dict):
-    """The ids of words, kept up to a number of words; long ones are not kept."""
+    """What a word is encoded to, kept up to a number of bytes; long words are not kept."""
 
     def __init__(self, coder: Pieces):
         self.coder = coder
+        self.held = 0
 
-    def __missing__(self, word: str) -> bytes:
-        ids = array("i", self.coder.to_ids(self.coder.segment(word))).tobytes()
+    def coded(self, word: str):
+        return array("i", self.coder.to_ids(self.coder.segment(word))).tobytes()
+
+    def __missing__(self, word: str):
+        found = self.coded(word)
         if len(word) <= 64:
-            if len(self) >= WORDS_KEPT:
+            self.held += ENTRY_BYTES + 12 * len(word)
+            if self.held > KEPT_BYTES:
                 self.clear()
-            self[word] = ids
-        return ids
+                self.held = ENTRY_BYTES
+            self[word] = found
+        return found
+
+
+class _Digested(_Words):
+    """(number of ids, the ids as decimals with a comma after each, the bytes they decode to)."""
+
+    def coded(self, word: str) -> tuple[int, bytes, bytes]:
+        ids = self.coder.to_ids(self.coder.segment(word))
+        return len(ids), ("%d," * len(ids) % tuple(ids)).encode(), b"".join(map(self.coder.surface.__getitem__, ids))
 
 
 class Pieces:
@@ -102,6 +121,7 @@ class Pieces:
         self.automaton.make_automaton()
         self.words = self._word_pattern()
         self.known = _Words(self)
+        self.digested = _Digested(self)
         self.fits: dict[str, dict[str, bool]] = {}
         self.pairs = 0
 
@@ -213,6 +233,24 @@ class Pieces:
         words = self.words.findall(SPACE + text.replace(" ", SPACE))
         return b"".join(map(self.known.__getitem__, words))
 
+    def digests(self, text: str) -> tuple[int, str, str]:
+        """(number of ids, digest of the ids, digest of the text that they decode to).
+
+        A text is cut where no piece lies across, so the ids of its words one after
+        another are its ids, and as encoding gives no control ids and whole characters
+        only, their bytes one after another are what ``decode`` gives.
+        """
+        if not text:
+            return 0, NO_TEXT, NO_TEXT
+        words = self.words.findall(SPACE + text.replace(" ", SPACE))
+        counts, decimals, surfaces = zip(*map(self.digested.__getitem__, words))
+        decoded = b"".join(surfaces)
+        return (
+            sum(counts),
+            hashlib.sha256(memoryview(b"".join(decimals))[:-1]).hexdigest(),
+            hashlib.sha256(memoryview(decoded)[decoded.startswith(b" ") :]).hexdigest(),
+        )
+
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids, without the mark that encoding puts in front."""
         if not len(ids):
@@ -267,12 +305,24 @@ def decode(ids: Column, model_file: str) -> Column:
 
 
 def digests(documents: DataFrame, model_file: str) -> DataFrame:
-    """One row per document: number and digest of its ids, digest of what they decode to."""
-    encoded = texts(documents).select("doc_id", encode(F.col("text"), model_file).alias("ids"))
-    decoded = encoded.withColumn("decoded", decode(F.col("ids"), model_file))
-    return decoded.select(
-        "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        sha256_hex(F.col("decoded")).alias("decoded_sha256"),
-    )
+    """One row per document: number and digest of its ids, digest of what they decode to.
+
+    Ids and decoded texts do not leave the task that makes them.
+    """
+
+    @F.arrow_udf("n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    def coded(column: pa.Array) -> pa.Array:
+        coder = pieces(model_file)
+        rows = (
+            coder.digests(text or "")
+            for start in range(0, len(column), SLICE)
+            for text in column.slice(start, SLICE).to_pylist()
+        )
+        n, ids, decoded = zip(*rows) if len(column) else ((), (), ())
+        return pa.StructArray.from_arrays(
+            [pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
+            ["n_tokens", "ids_sha256", "decoded_sha256"],
+        )
+
+    found = texts(documents).select("doc_id", coded.asNondeterministic()(F.col("text")).alias("coded"))
+    return found.select("doc_id", "coded.*")

@@ -68,3 +68,22 @@ def test_odd_rows(spark, odd_docs, no_docs, library):
     assert pieces.digests(no_docs, MODEL).count() == 0
     nothing = spark.createDataFrame([(None,), ([],)], "ids array<int>")
     assert [r.t for r in nothing.select(pieces.decode(F.col("ids"), MODEL).alias("t")).collect()] == ["", ""]
+
+
+@pytest.mark.parametrize("letters", ["aeinrst  \n\t▁.,!0159éßñ漢字日€😀‍\x00İſ", "▁ aabnt"])
+def test_digests_of_random_texts(library, letters):
+    rng, coder = random.Random(8), pieces.pieces(MODEL)
+    for _ in range(2000):
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 60)))
+        ids = library.encode(text)
+        want = (",".join(map(str, ids)), library.decode(ids))
+        assert coder.digests(text) == (len(ids), *(hashlib.sha256(x.encode()).hexdigest() for x in want))
+
+
+def test_words_kept_are_bounded(monkeypatch, library):
+    coder = pieces.Pieces(MODEL)
+    monkeypatch.setattr(pieces, "KEPT_BYTES", 40_000)
+    for i in range(3000):
+        coder.digests(f"word{i} " + "x" * 70)
+        assert len(coder.digested) <= 40_000 / pieces.ENTRY_BYTES
+    assert coder.digests("word1 again")[0] == len(library.encode("word1 again"))
