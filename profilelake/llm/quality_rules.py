@@ -11,10 +11,16 @@ The corpus counts cover all documents, the trusted ones all documents marked goo
 Only counts per bucket are compared and the prior is a share of the trusted grams,
 so a corpus of the same mix gives the same verdicts whatever its size.
 
+Trusted texts meet their labels in a shuffle, however many there are, so the plan is
+the same at every size. A filter of a fixed size, made of hashed trusted ids, goes in
+front of it: texts that cannot be trusted are not shuffled, and what the filter lets
+through by chance the join takes out.
+
 Cases: null and empty texts have no words, score 0 and fail the base rules;
 documents without trusted ones to compare with all score 0 and follow the base
-rules; repeated rows are scored alike and count as often as they occur. Texts are
-used whole. Only DataFrame functions run.
+rules; repeated rows are scored alike and count as often as they occur; rows without
+an id are never trusted; an empty table gives no row; other columns are left aside,
+whatever their names. Texts are used whole. Only DataFrame functions run.
 """
 
 from __future__ import annotations
@@ -32,6 +38,7 @@ SYMBOLS = r"[#*$%&|<>]"
 LEAST_WORDS = 50
 
 BUCKETS = 16_384
+FILTER_WORDS = 1 << 17  # of the filter in front of the join
 THRESHOLD = -0.075
 PRIOR = 0.06  # grams of the corpus's own mix that the trusted side starts with, for each of its own
 
@@ -86,14 +93,19 @@ def repeated_words(words: Column) -> Column:
     return F.when(F.size(F.array_distinct(hashes)) < F.size(inner), total).otherwise(0)
 
 
-def grams(words: Column, buckets: int = BUCKETS) -> Column:
-    """Bucket numbers of the words and of the pairs of neighbours."""
-    ones = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int"))
-    pairs = F.transform(
-        F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))),
-        lambda w, i: F.pmod(F.xxhash64(w, F.get(words, i + 1)), F.lit(buckets)).cast("int"),
-    )
-    return F.concat(ones, pairs)
+def _bucket(*words: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*words), F.lit(buckets)).cast("int")
+
+
+def gram_rows(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """The bucket of every word, and of every word with the next one of its text."""
+    split = docs.select(words(F.col("text")).alias("words")).filter(F.size("words") > 0)
+    # Neighbours as columns of a row: both hashes are then part of the generated code.
+    rest = F.slice("words", 2, F.greatest(F.size("words") - 1, F.lit(1)))
+    rows = split.select(F.inline(F.arrays_zip(F.col("words").alias("word"), rest.alias("next"))))
+    one = _bucket(F.col("word"), buckets=buckets)
+    two = F.when(F.col("next").isNotNull(), _bucket(F.col("word"), F.col("next"), buckets=buckets))
+    return rows.select(F.explode(F.array(one, two)).alias("bucket")).filter(F.col("bucket").isNotNull())
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -102,32 +114,32 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return good.select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct()
 
 
+def may_be_trusted(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """The documents whose id may be a trusted one: all trusted ones, and few others.
+
+    One bit stands for each hashed id, in ``FILTER_WORDS`` words of 64 bits: a megabyte,
+    whatever the number of ids, which is why it may be broadcast.
+    """
+    word = F.shiftrightunsigned(F.xxhash64("doc_id"), 6).bitwiseAND(F.lit(FILTER_WORDS - 1))
+    bit = F.xxhash64("doc_id").bitwiseAND(F.lit(63)).cast("int")
+    bits = trusted.groupBy(word.alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)).alias("bits"))
+    met = docs.withColumn("word", word).withColumn("bit", bit).join(F.broadcast(bits), "word")
+    return met.filter(F.getbit("bits", "bit") == 1).select(docs.columns)
+
+
 def bucket_counts(docs: DataFrame, buckets: int = BUCKETS) -> list[int]:
     """Grams per bucket; ``buckets`` numbers, whatever the corpus."""
-    split = docs.select(words(F.col("text")).alias("words"))
-    # The outer form: for the plain one, Spark filters by the array's size below and
-    # computes the words anew for every element.
-    rows = (
-        split.select(F.explode_outer(grams(F.col("words"), buckets)).alias("bucket"))
-        .filter(F.col("bucket").isNotNull())
-        .groupBy("bucket")
-        .count()
-        .collect()
-    )
     counts = [0] * buckets
-    for row in rows:
+    for row in gram_rows(docs, buckets).groupBy("bucket").count().collect():
         counts[row["bucket"]] = row["count"]
     return counts
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> list[float]:
-    """The log ratio of every bucket.
-
-    Trusted documents are counted by themselves: Spark broadcasts a short list of ids,
-    and shuffles the texts to a long one.
-    """
+    """The log ratio of every bucket."""
     corpus = bucket_counts(docs, buckets)
-    target = bucket_counts(docs.join(trusted, "doc_id", "left_semi"), buckets)
+    marked = may_be_trusted(docs.filter("doc_id IS NOT NULL"), trusted)
+    target = bucket_counts(marked.join(trusted.hint("shuffle_hash"), "doc_id", "left_semi"), buckets)
     all_, good = sum(corpus), sum(target)
     if not good:
         return [0.0] * buckets
@@ -139,11 +151,18 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> l
     ]
 
 
-def likelihood_ratio(grams: Column, ratios: list[float]) -> Column:
-    """Mean log ratio of a document's grams; 0 if it has none."""
+def likelihood_ratio(words: Column, ratios: list[float]) -> Column:
+    """Mean log ratio of a document's words and pairs of neighbours; 0 if it has none."""
+    buckets = len(ratios)
     known = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>")
-    total = F.aggregate(grams, F.lit(0.0), lambda a, g: a + F.get(known, g))
-    return F.when(F.size(grams) > 0, total / F.size(grams)).otherwise(0.0)
+
+    def ratio(word: Column, at: Column) -> Column:
+        following = F.get(words, at + 1)
+        pair = F.get(known, _bucket(word, following, buckets=buckets))
+        return F.get(known, _bucket(word, buckets=buckets)) + F.when(following.isNotNull(), pair).otherwise(0.0)
+
+    total = F.aggregate(F.transform(words, ratio), F.lit(0.0), lambda a, x: a + x)
+    return F.when(F.size(words) > 0, total / (2 * F.size(words) - 1)).otherwise(0.0)
 
 
 def judge(
@@ -164,7 +183,7 @@ def judge(
             F.regexp_count("text", F.lit(SYMBOLS)).cast("bigint").alias("n_symbols"),
             duplicate_lines(F.col("text")).cast("bigint").alias("n_dup_lines"),
             repeated_words(F.col("words")).cast("bigint").alias("n_repeat_words"),
-            likelihood_ratio(grams(F.col("words"), buckets), ratios).alias("score"),
+            likelihood_ratio(F.col("words"), ratios).alias("score"),
         )
         .withColumn(
             "base_failed",

@@ -1,10 +1,12 @@
 """Quality rules against plain loops, and the rule ensemble on held-out labels."""
 
 import collections
+import math
 import re
 import zlib
 
 import duckdb
+import xxhash
 
 from conftest import SF_DIR
 from llm_cases import no_docs, odd_docs, texts  # noqa: F401
@@ -126,3 +128,51 @@ def test_all_trusted_documents_count(spark):
             assert {abs(r) < 1e-9 for r in quality_rules.log_ratios(docs, trusted)} == {True}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def bucket(*words):
+    """Spark's xxhash64 over columns: each value's hash is the seed of the next."""
+    h = 42
+    for w in words:
+        h = xxhash.xxh64_intdigest(w.encode(), seed=h)
+    return (h - (h >> 63 << 64)) % quality_rules.BUCKETS
+
+
+def grams(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    return [bucket(w) for w in words] + [bucket(*p) for p in zip(words, words[1:])]
+
+
+def scores(texts, trusted):
+    found = {i: grams(t) for i, t in texts.items()}
+    corpus = collections.Counter(g for v in found.values() for g in v)
+    target = collections.Counter(g for i in trusted if i in found for g in found[i])
+    every, good = sum(corpus.values()), sum(target.values())
+    prior = quality_rules.PRIOR
+
+    def ratio(g):
+        return math.log((target[g] / good * every / corpus[g] + prior) / (1 + prior)) if good else 0.0
+
+    return {i: sum(map(ratio, v)) / len(v) if v else 0.0 for i, v in found.items()}
+
+
+def test_scores_against_plain_counting(spark, texts):
+    labels = duckdb.sql(f"SELECT doc_id, quality FROM '{SF_DIR}/labels.parquet'").fetchall()
+    want = scores(texts, {i for i, q in labels if q == 1})
+    rows = queries.op9_quality_rules(spark, SF_DIR).collect()
+    assert all(abs(r.score - want[r.doc_id]) < 1e-9 for r in rows)
+    for r in rows:
+        assert abs(r.score - quality_rules.THRESHOLD) < 1e-9 or r.kept == (
+            not r.base_failed and want[r.doc_id] >= quality_rules.THRESHOLD
+        )
+
+
+def test_the_filter_lets_all_trusted_through(spark, monkeypatch):
+    ids = [0, 1, -1, 63, 64, 2**62, -(2**63), 2**63 - 1, *range(1000, 3000, 7)]
+    docs = spark.createDataFrame([(i, "t") for i in [*ids, *range(5000, 9000)]], "doc_id bigint, text string")
+    trusted = spark.createDataFrame([(i,) for i in ids], "doc_id bigint")
+    got = {r.doc_id for r in quality_rules.may_be_trusted(docs, trusted).collect()}
+    assert set(ids) <= got and len(got) < len(ids) + 20
+    monkeypatch.setattr(quality_rules, "FILTER_WORDS", 1)
+    assert set(ids) <= {r.doc_id for r in quality_rules.may_be_trusted(docs, trusted).collect()}
+    assert quality_rules.may_be_trusted(docs, trusted.limit(0)).count() == 0
