@@ -28,6 +28,8 @@ from profilelake.llm.common import scratch, table
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 RANKS_PATTERN = public_tokenizers.PATTERN
+#: The vocabulary leaves the last id free, which then ends a document.
+TOKEN_IDS = shards.rank_ids(RANKS, RANKS_PATTERN, 50256)
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,8 +54,9 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sequences in training order, read back from their shards."""
     folder = scratch(spark, "token-shards")
-    written = shards.write_shards(table(spark, sf_dir, "documents"), folder)
-    return shards.read_shards(spark, written, folder)
+    cut = shards.cut_sequences(table(spark, sf_dir, "documents"), TOKEN_IDS)
+    written = shards.write_shards(cut, folder, TOKEN_IDS)
+    return shards.read_shards(spark, written, folder, TOKEN_IDS)
 
 
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,58 +1,87 @@
-"""Token sequences written in training order, as fixed-stride binary shards.
-
-A keyed Feistel network permutes the numbers of all sequences; numbers that leave
-the range walk on along their cycle until they are back in it, so every sequence
-gets one global slot and every slot one sequence. Slots are cut into shards, and
-each task gets a range of shards, sorts it and writes it from start to end.
-
-Documents are packed: each partition of the scan is one stream of documents, an end
-id after each, and is cut into sequences, so only a stream's last one is short. A
-record has a fixed stride: the id of the document that it begins in, where in it,
-the number of ids (little-endian int64, int64, int32), then the ids, the short ones
-padded. So slot ``s`` is found by a division, reading on from any slot is
-sequential, and a complete shard is known by its size: a run that is started again
-leaves complete shards alone.
-
-Ids are those of the byte vocabulary: one byte each, and 255, which no text holds,
-for the end. The number of sequences then follows from the texts' lengths, so texts
-are read twice but nothing is stored between, and one count per partition is all
-that comes to the driver.
+"""Token ids written in training order, as fixed-stride binary shards.
+
+Documents are encoded once, packed and cut into sequences: each partition of the scan
+is one stream of documents, an end id after each, so only a stream's last sequence is
+short. The sequences are stored, compressed, in the shared folder, numbered by where
+they were cut; how many each partition has is all that comes to the driver. A keyed
+Feistel network permutes the numbers of all sequences; numbers that leave the range
+walk on along their cycle until they are back in it, so every sequence gets one global
+slot and every slot one sequence. Slots are cut into shards, and each task gets a range
+of shards, sorts it and writes it from start to end.
+
+A record has a fixed stride: the id of the document that it begins in, the id's place
+in that document, the number of ids (little-endian int64, int64, int32), then the ids,
+16 or 32 bits each, the short ones padded with zeros. So slot ``s`` is found by a
+division, reading on from any slot is sequential, and a complete shard is known by its
+size: a run that is started again from the same stored sequences leaves complete shards
+alone. ``packed_documents`` lists what each record holds of which document.
 
 Cases: null and empty texts are an end id; rows with null ids are written with id
--1; repeated rows are written as often; texts of any length are cut whole; an empty
-table gives no shard.
+-1; repeated rows are written as often; other columns are left aside, whatever their
+names; texts of any length are encoded and cut whole; an empty table gives no shard.
 """
 
 from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from profilelake.llm import files
-from profilelake.llm.common import staged, texts
+from profilelake.llm.common import scratch, staged, texts
 from profilelake.llm.near_duplicates import mix
+from profilelake.llm.secrets import vocabulary
 
 SEQUENCE = 2048
-SHARD_SLOTS = 8192
+SHARD_SLOTS = 4096
 KEY = 20_240_101
 ROUNDS = 6
 HEAD = "<qqi"
 HEAD_BYTES = struct.calcsize(HEAD)
 
-END = b"\xff"
-
-SEQUENCES = "slot bigint, doc_id bigint, start bigint, n int, data binary"
+_PIECE = "doc_id bigint, at int, start bigint, n int"
+CUT = f"p int, k bigint, doc_id bigint, start bigint, n int, pieces array<struct<{_PIECE}>>, data binary"
+SLOTTED = "slot bigint, doc_id bigint, start bigint, n int, data binary"
 SHARDS = "shard bigint, slots int"
 READ = "slot bigint, doc_id bigint, start bigint, n int, ids_crc bigint"
 
 
+class Ids(NamedTuple):
+    """How texts become ids: ``load`` gives the encoder in a task, ``end`` closes a document."""
+
+    load: Callable[[], Callable[[str], np.ndarray]]
+    end: int
+    kind: str  # NumPy's name of the stored type
+
+    @property
+    def size(self) -> int:
+        return np.dtype(self.kind).itemsize
+
+
+def byte_ids() -> Ids:
+    """One id per byte of the text, and 255, which no text holds, for the end."""
+    return Ids(lambda: lambda text: np.frombuffer(text.encode(), np.uint8), 255, "<u1")
+
+
+def rank_ids(ranks_file: str, pattern: str, end: int, kind: str = "<u2") -> Ids:
+    """The ids of a byte-pair vocabulary given as ranks."""
+
+    def load() -> Callable[[str], np.ndarray]:
+        encoding = vocabulary(ranks_file, pattern)
+        return lambda text: encoding.encode_to_numpy(text, disallowed_special=())
+
+    return Ids(load, end, kind)
+
+
 def permuted(numbers: np.ndarray, count: int, key: int = KEY) -> np.ndarray:
     """The slots of numbers below ``count``: a keyed permutation of that range."""
     half = max(1, ((count - 1).bit_length() + 1) // 2)
@@ -70,78 +99,116 @@ def permuted(numbers: np.ndarray, count: int, key: int = KEY) -> np.ndarray:
     return slots.astype(np.int64)
 
 
-def numbered(documents: DataFrame, sequence: int = SEQUENCE) -> tuple[DataFrame, list[int]]:
-    """(documents, where the numbers of each partition of their scan begin)."""
-    docs = texts(documents)
-    sums = (
-        docs.select((F.octet_length("text") + 1).alias("n"), F.spark_partition_id().alias("p"))
-        .groupBy("p")
-        .agg(F.sum("n").alias("n"))
-        .collect()
-    )
-    counts = {r["p"]: -(-r["n"] // sequence) for r in sums}
-    begins = [0]
-    for p in range(max(counts, default=-1) + 1):
-        begins.append(begins[-1] + counts.get(p, 0))
-    return docs, begins
-
-
-def _records(
-    batches: Iterator[pa.RecordBatch], sequence: int
-) -> Iterator[list[tuple[int, int, int, bytes]]]:
-    """(document, where in it, ids, compressed ids) of the stream's sequences, in lists."""
-    rows: list[tuple[int, int, int, bytes]] = []
-    held, doc, start = b"", -1, 0
+@lru_cache(maxsize=1)
+def _packer() -> zstandard.ZstdCompressor:
+    return zstandard.ZstdCompressor(level=3)
+
+
+@lru_cache(maxsize=1)
+def _unpacker() -> zstandard.ZstdDecompressor:
+    return zstandard.ZstdDecompressor()
+
+
+def _streamed(
+    batches: Iterator[pa.RecordBatch], ids: Ids, sequence: int
+) -> Iterator[tuple[list[tuple], bytes]]:
+    """(pieces, ids) of the stream's sequences; a piece is (document, at, start, n)."""
+    encode = ids.load()
+    pieces: list[tuple] = []
+    parts: list[np.ndarray] = []
+    held = 0
+
+    def closed() -> tuple[list[tuple], bytes]:
+        return pieces, np.concatenate(parts).tobytes()
+
     for batch in batches:
         for id_, text in zip(batch["doc_id"], batch["text"]):
-            raw, id_ = text.as_py().encode() + END, id_.as_py()
+            found = np.append(encode(text.as_py()), ids.end).astype(ids.kind)
+            id_, at = id_.as_py(), 0
             id_ = -1 if id_ is None else id_
-            if not held:
-                doc, start = id_, 0
-            at = 0
-            while len(held) + len(raw) - at >= sequence:
-                take = sequence - len(held)
-                rows.append((doc, start, sequence, zlib.compress(held + raw[at : at + take], 1)))
-                held, doc, at = b"", id_, at + take
-                start = at
-                if len(rows) == 1000:
-                    yield rows
-                    rows = []
-            held += raw[at:]
+            while at < len(found):
+                take = min(sequence - held, len(found) - at)
+                pieces.append((id_, held, at, take))
+                parts.append(found[at : at + take])
+                held, at = held + take, at + take
+                if held == sequence:
+                    yield closed()
+                    pieces, parts, held = [], [], 0
     if held:
-        rows.append((doc, start, len(held), zlib.compress(held, 1)))
-    if rows:
-        yield rows
+        yield closed()
+
 
+def _cut(ids: Ids, sequence: int):
+    names = ["p", "k", "doc_id", "start", "n", "pieces", "data"]
+    piece = pa.struct([("doc_id", pa.int64()), ("at", pa.int32()), ("start", pa.int64()), ("n", pa.int32())])
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(piece), pa.binary()]
 
-def _sequences(begins: list[int], sequence: int, key: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p = TaskContext.get().partitionId()
-        at, end = (begins[p], begins[p + 1]) if p + 1 < len(begins) else (begins[-1],) * 2
-        for rows in _records(batches, sequence):
-            slots = permuted(np.arange(at, at + len(rows)), begins[-1], key)
-            at += len(rows)
-            if at > end:
-                raise RuntimeError("the scan's partitions differ between the two readings")
-            doc, start, n, data = zip(*rows)
-            yield pa.record_batch(
-                [pa.array(slots, pa.int64()), pa.array(doc, pa.int64()), pa.array(start, pa.int64()),
-                 pa.array(n, pa.int32()), pa.array(data, pa.binary())],
-                names=["slot", "doc_id", "start", "n", "data"],
-            )
-        if at != end:
-            raise RuntimeError("the scan's partitions differ between the two readings")
+        p, k, rows = TaskContext.get().partitionId(), 0, []
+
+        def batch() -> pa.RecordBatch:
+            return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
+
+        for pieces, data in _streamed(batches, ids, sequence):
+            held = [dict(zip(("doc_id", "at", "start", "n"), x)) for x in pieces]
+            n = sum(x[3] for x in pieces)
+            rows.append((p, k, pieces[0][0], pieces[0][2], n, held, _packer().compress(data)))
+            k += 1
+            if len(rows) == 512:
+                yield batch()
+                rows = []
+        if rows:
+            yield batch()
 
     return cut
 
 
+def cut_sequences(
+    documents: DataFrame, ids: Ids, sequence: int = SEQUENCE, path: str | None = None
+) -> DataFrame:
+    """The encoded sequences of all documents, stored; with ``path`` there, for later runs."""
+    spark = documents.sparkSession
+    found = texts(documents).mapInArrow(_cut(ids, sequence), CUT)
+    path = path or scratch(spark, "sequences")
+    # Ids are compressed already.
+    found.write.option("compression", "none").parquet(path)
+    return spark.read.schema(CUT).parquet(path)
+
+
+def _begins(cut: DataFrame) -> tuple[dict[int, int], int]:
+    """(where the numbers of each partition's sequences begin, how many there are)."""
+    counts = {r["p"]: r["n"] for r in cut.groupBy("p").agg(F.count(F.lit(1)).alias("n")).collect()}
+    begins, count = {}, 0
+    for p in sorted(counts):
+        begins[p], count = count, count + counts[p]
+    return begins, count
+
+
+def slots(cut: DataFrame, key: int = KEY) -> tuple[DataFrame, int]:
+    """(the sequences with their slots, how many there are)."""
+    begins, count = _begins(cut)
+
+    @F.arrow_udf("bigint")
+    def slot(p: pa.Array, k: pa.Array) -> pa.Array:
+        first = np.array([begins[x] for x in p.to_pylist()], dtype=np.int64)
+        numbers = first + k.to_numpy(zero_copy_only=False)
+        return pa.array(permuted(numbers, count, key), pa.int64())
+
+    return cut.withColumn("slot", slot("p", "k")), count
+
+
+def packed_documents(cut: DataFrame, key: int = KEY) -> DataFrame:
+    """What each record holds: document, where in the record, where in the document, how many ids."""
+    found, _ = slots(cut.select("p", "k", "pieces"), key)
+    return found.select("slot", F.inline("pieces"))
+
+
 def shard_path(folder: str, shard: int) -> str:
     return f"{folder}/shard-{shard:08d}.bin"
 
 
-def _writer(folder: str, count: int, sequence: int, shard_slots: int):
+def _writer(folder: str, count: int, stride: int, shard_slots: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stride = HEAD_BYTES + sequence
         rows = (
             row
             for batch in batches
@@ -150,19 +217,19 @@ def _writer(folder: str, count: int, sequence: int, shard_slots: int):
         row = next(rows, None)
         while row is not None:
             shard = row[0].as_py() // shard_slots
-            slots = min(shard_slots, count - shard * shard_slots)
-            if files.size(shard_path(folder, shard)) == slots * stride:  # written before
+            held = min(shard_slots, count - shard * shard_slots)
+            if files.size(shard_path(folder, shard)) == held * stride:  # written before
                 while row is not None and row[0].as_py() // shard_slots == shard:
                     row = next(rows, None)
             else:
                 with files.writing(shard_path(folder, shard)) as out:
                     while row is not None and row[0].as_py() // shard_slots == shard:
                         _, doc, start, n, data = (x.as_py() for x in row)
-                        ids = zlib.decompress(data)
-                        out.write(struct.pack(HEAD, doc, start, n) + ids.ljust(sequence, b"\0"))
+                        ids = _unpacker().decompress(data)
+                        out.write((struct.pack(HEAD, doc, start, n) + ids).ljust(stride, b"\0"))
                         row = next(rows, None)
             yield pa.record_batch(
-                [pa.array([shard], pa.int64()), pa.array([slots], pa.int32())],
+                [pa.array([shard], pa.int64()), pa.array([held], pa.int32())],
                 names=["shard", "slots"],
             )
 
@@ -170,63 +237,70 @@ def _writer(folder: str, count: int, sequence: int, shard_slots: int):
 
 
 def write_shards(
-    documents: DataFrame,
+    cut: DataFrame,
     folder: str,
+    ids: Ids,
     sequence: int = SEQUENCE,
     shard_slots: int = SHARD_SLOTS,
     key: int = KEY,
 ) -> DataFrame:
-    """Write all sequences in training order; one row per shard."""
+    """Write stored sequences in training order; one row per shard."""
     files.make_folder(folder)
-    docs, begins = numbered(documents, sequence)
-    count = begins[-1]
-    found = docs.mapInArrow(_sequences(begins, sequence, key), SEQUENCES)
+    found, count = slots(cut.select("p", "k", "doc_id", "start", "n", "data"), key)
     shards = -(-count // shard_slots)
-    tasks = max(1, min(shards, int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    tasks = max(1, min(shards, int(cut.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     per_task = max(1, -(-shards // tasks))
-    ranged = found.repartitionById(
-        max(1, -(-shards // per_task)),
-        F.floor(F.col("slot") / (shard_slots * per_task)).cast("int"),
-    ).sortWithinPartitions("slot")
-    return staged(
-        ranged.mapInArrow(_writer(folder, count, sequence, shard_slots), SHARDS), "shards"
+    ranged = (
+        found.select("slot", "doc_id", "start", "n", "data")
+        .repartitionById(
+            max(1, -(-shards // per_task)),
+            F.floor(F.col("slot") / (shard_slots * per_task)).cast("int"),
+        )
+        .sortWithinPartitions("slot")
     )
+    stride = HEAD_BYTES + sequence * ids.size
+    return staged(ranged.mapInArrow(_writer(folder, count, stride, shard_slots), SHARDS), "shards")
 
 
 def read_shards(
     spark: SparkSession,
     shards: DataFrame,
     folder: str,
+    ids: Ids,
     first_slot: int = 0,
     sequence: int = SEQUENCE,
     shard_slots: int = SHARD_SLOTS,
+    with_ids: bool = False,
 ) -> DataFrame:
     """The sequences from a slot on: one row each, with the CRC-32 of the ids.
 
     A shard before the slot is not opened, and the slot's own shard is entered at
-    the slot's place.
+    the slot's place. ``with_ids`` adds the ids themselves.
     """
-    stride = HEAD_BYTES + sequence
+    stride, size, kind = HEAD_BYTES + sequence * ids.size, ids.size, ids.kind
+    schema = READ + (", ids array<int>" if with_ids else "")
+    names = ["slot", "doc_id", "start", "n", "ids_crc", "ids"][: 6 if with_ids else 5]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int32())]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, slots in zip(batch["shard"].to_pylist(), batch["slots"].to_pylist()):
                 begin = max(0, first_slot - shard * shard_slots)
                 where, name = files.at(shard_path(folder, shard))
-                rows = []
                 with where.open_input_file(name) as source:
                     source.seek(begin * stride)
-                    for k in range(begin, slots):
-                        record = source.read(stride)
-                        doc, start, n = struct.unpack_from(HEAD, record)
-                        crc = zlib.crc32(record[HEAD_BYTES : HEAD_BYTES + n])
-                        rows.append((shard * shard_slots + k, doc, start, n, crc))
-                columns = list(zip(*rows)) if rows else [()] * 5
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
-                yield pa.record_batch(
-                    [pa.array(c, t) for c, t in zip(columns, kinds)],
-                    names=["slot", "doc_id", "start", "n", "ids_crc"],
-                )
+                    while begin < slots:
+                        rows = []
+                        for k in range(begin, min(begin + 512, slots)):
+                            record = source.read(stride)
+                            doc, start, n = struct.unpack_from(HEAD, record)
+                            raw = record[HEAD_BYTES : HEAD_BYTES + n * size]
+                            row = (shard * shard_slots + k, doc, start, n, zlib.crc32(raw))
+                            rows.append((*row, np.frombuffer(raw, kind)) if with_ids else row)
+                        begin += len(rows)
+                        yield pa.record_batch(
+                            [pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names
+                        )
 
     wanted = shards.filter((F.col("shard") + 1) * shard_slots > first_slot)
-    return wanted.mapInArrow(read, READ)
+    return wanted.mapInArrow(read, schema)

@@ -1,5 +1,6 @@
-"""Shards against a plain layout, and reading on from any slot."""
+"""Shards against a plain layout, decoding, and reading on from any slot."""
 
+import collections
 import zlib
 
 import numpy as np
@@ -8,6 +9,9 @@ import pytest
 from conftest import SF_DIR
 from llm_cases import no_docs, odd_docs, texts  # noqa: F401
 from profilelake.llm import queries, shards
+from profilelake.llm.secrets import vocabulary
+
+RANKS = queries.TOKEN_IDS
 
 
 @pytest.mark.parametrize("count", [1, 2, 3, 4, 5, 17, 64, 1000, 4097])
@@ -18,16 +22,21 @@ def test_permutation(count):
     assert count < 17 or (other != slots).any()
 
 
+def encoded(text):
+    return [*vocabulary(queries.RANKS, queries.RANKS_PATTERN).encode_ordinary(text or ""), 50256]
+
+
 def layout(rows, size=shards.SEQUENCE):
     """slot -> (document, where in it, ids, crc) of documents in one stream."""
-    stream, where = b"", []
+    stream, where = [], []
     for i, text in rows:
-        raw = (text or "").encode() + b"\xff"
-        where += [(-1 if i is None else i, k) for k in range(len(raw))]
-        stream += raw
+        ids = encoded(text)
+        where += [(-1 if i is None else i, k) for k in range(len(ids))]
+        stream += ids
     cut = [(where[k], stream[k : k + size]) for k in range(0, len(stream), size)]
     slots = shards.permuted(np.arange(len(cut)), len(cut))
-    return {int(s): (*w, len(ids), zlib.crc32(ids)) for s, (w, ids) in zip(slots, cut)}
+    crc = lambda ids: zlib.crc32(np.array(ids, "<u2").tobytes())
+    return {int(s): (*w, len(ids), crc(ids)) for s, (w, ids) in zip(slots, cut)}
 
 
 def got(rows):
@@ -41,36 +50,54 @@ def test_query(spark, texts):
     assert got(rows) == layout((r.doc_id, r.text) for r in stored.collect())
 
 
-def test_streams_of_many_partitions(spark, texts, tmp_path):
-    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(7).cache()
-    done = shards.write_shards(docs, str(tmp_path), 100, 64)
-    rows = shards.read_shards(spark, done, str(tmp_path), 0, 100, 64).collect()
+def test_decoding_gives_the_texts(spark, texts, tmp_path):
+    """All ids of a document, gathered from the records it lies in, decode to its text."""
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(7)
+    cut = shards.cut_sequences(docs, RANKS, 100)
+    done = shards.write_shards(cut, str(tmp_path), RANKS, 100, 64)
+    rows = shards.read_shards(spark, done, str(tmp_path), RANKS, 0, 100, 64, with_ids=True).collect()
     assert sorted(r.slot for r in rows) == list(range(len(rows)))
-    assert sum(r.n for r in rows) == sum(len(t.encode()) + 1 for t in texts.values())
-    for r in rows:
-        begin = (texts[r.doc_id].encode() + b"\xff")[r.start : r.start + r.n]
-        assert begin and (len(begin) < r.n or zlib.crc32(begin) == r.ids_crc)
-    docs.unpersist()
+    records = {r.slot: r for r in rows}
+    pieces = collections.defaultdict(list)
+    for r in shards.packed_documents(cut).collect():
+        pieces[r.doc_id].append((r.start, records[r.slot].ids[r.at : r.at + r.n]))
+        assert r.at or (records[r.slot].doc_id, records[r.slot].start) == (r.doc_id, r.start)
+    encoding = vocabulary(queries.RANKS, queries.RANKS_PATTERN)
+    assert set(pieces) == set(texts)
+    for i, found in pieces.items():
+        ids = [x for _, part in sorted(found) for x in part]
+        assert ids[-1] == 50256 and encoding.decode(ids[:-1]) == texts[i]
 
 
-def test_layout_resume_and_odd_rows(spark, odd_docs, no_docs, tmp_path):
+@pytest.mark.parametrize("ids", [RANKS, shards.byte_ids(), RANKS._replace(kind="<u4")], ids=["16", "bytes", "32"])
+def test_layout_resume_and_odd_rows(spark, odd_docs, no_docs, tmp_path, ids):
     folder, size, per = str(tmp_path / "s"), 64, 50
-    docs = odd_docs.coalesce(1).cache()  # one stream, numbered alike in both readings
-    done = shards.write_shards(docs, folder, size, per)
-    rows = sorted(shards.read_shards(spark, done, folder, 0, size, per).collect())
-    want = layout(((r.doc_id, r.text) for r in docs.collect()), size)
-    assert got(rows) == want
-    later = sorted(shards.read_shards(spark, done, folder, 73, size, per).collect())
+    docs = odd_docs.coalesce(1)
+    cut = shards.cut_sequences(docs, ids, size, str(tmp_path / "cut"))
+    done = shards.write_shards(cut, folder, ids, size, per)
+    rows = sorted(shards.read_shards(spark, done, folder, ids, 0, size, per).collect())
+    if ids is RANKS:
+        assert got(rows) == layout(((r.doc_id, r.text) for r in docs.collect()), size)
+    later = sorted(shards.read_shards(spark, done, folder, ids, 73, size, per).collect())
     assert later == rows[73:]
-    stride = shards.HEAD_BYTES + size
+    stride = shards.HEAD_BYTES + size * ids.size
     files = sorted((tmp_path / "s").glob("shard-*.bin"))
-    assert sum(f.stat().st_size for f in files) == stride * len(want)
+    assert sum(f.stat().st_size for f in files) == stride * len(rows)
     before = {f: f.stat().st_mtime_ns for f in files}
     files[1].write_bytes(b"half")  # an unfinished shard is written again, the others stay
-    assert shards.write_shards(docs, folder, size, per).count() == len(files)
+    again = spark.read.schema(shards.CUT).parquet(str(tmp_path / "cut"))
+    assert shards.write_shards(again, folder, ids, size, per).count() == len(files)
     after = {f: f.stat().st_mtime_ns for f in files}
     assert [f for f in files if before[f] != after[f]] == [files[1]]
-    assert sorted(shards.read_shards(spark, done, folder, 0, size, per).collect()) == rows
-    none = shards.write_shards(no_docs, str(tmp_path / "n"), size, per)
-    assert none.count() == 0
-    docs.unpersist()
+    assert sorted(shards.read_shards(spark, done, folder, ids, 0, size, per).collect()) == rows
+    none = shards.cut_sequences(no_docs, ids, size)
+    assert shards.write_shards(none, str(tmp_path / "n"), ids, size, per).count() == 0
+    assert shards.packed_documents(none).count() == 0
+
+
+def test_input_after_a_shuffle(spark, texts, tmp_path):
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").orderBy("text")
+    cut = shards.cut_sequences(docs, RANKS)
+    done = shards.write_shards(cut, str(tmp_path), RANKS)
+    rows = shards.read_shards(spark, done, str(tmp_path), RANKS).collect()
+    assert sum(r.n for r in rows) == sum(len(encoded(t)) for t in texts.values())
