@@ -19,6 +19,7 @@ place is reported).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -34,14 +35,12 @@ BLOCK_CHARS = 16_000_000  # characters of items that one task holds
 MATCHES = "doc_id bigint, item_id bigint, distance int, item_words int, first_word int, end_word int"
 
 
-@lru_cache(maxsize=1)
-def _marks() -> dict[int, str]:
-    """For the first 65,536 characters: blanks for all but letters and digits."""
-    return {c: " " for c in range(65_536) if not chr(c).isalnum()}
+# Letters and digits of any script, as str.isalnum has them.
+WORD = re.compile(r"[^\W_]+")
 
 
 def word_list(text: str) -> list[str]:
-    return text.lower().translate(_marks()).split()
+    return WORD.findall(text.lower())
 
 
 def myers(pattern: list[str], text: list[str]) -> tuple[int, int]:

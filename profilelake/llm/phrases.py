@@ -82,12 +82,12 @@ def tokenised(texts: list[bytes]) -> tuple[np.ndarray, pa.Array]:
     return sequence, words.dictionary
 
 
-def _parts(text: bytes) -> Iterator[bytes]:
+def _parts(text: bytes, shard_bytes: int) -> Iterator[bytes]:
     """A text in parts of about a shard at most, cut at marks."""
-    while len(text) > SHARD_BYTES:
-        at = max(text.rfind(m, 0, SHARD_BYTES) for m in (bytes([m]) for m in MARKS))
+    while len(text) > shard_bytes:
+        at = max(text.rfind(m, 0, shard_bytes) for m in (bytes([m]) for m in MARKS))
         if at < 0:  # one piece longer than a shard: it ends at the first mark after
-            found = [k for m in MARKS if (k := text.find(bytes([m]), SHARD_BYTES)) >= 0]
+            found = [k for m in MARKS if (k := text.find(bytes([m]), shard_bytes)) >= 0]
             if not found:
                 break
             at = min(found)
@@ -96,39 +96,42 @@ def _parts(text: bytes) -> Iterator[bytes]:
     yield text
 
 
-def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = [c.split()[0] for c in SHARDS.split(", ")]
-    kinds = [pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.binary()]
-    number = TaskContext.get().partitionId() << SEQUENCE_BITS
-    end = number + (1 << SEQUENCE_BITS)
-    held: dict[str, list[bytes]] = {}
-    size = 0
-
-    def written() -> Iterator[pa.RecordBatch]:
-        if number == end:
-            raise ValueError(f"a task has more than {1 << SEQUENCE_BITS} shards: use smaller partitions")
-        sequences, last = [], 0
-        for lang, texts in held.items():
-            sequence, words = tokenised(texts)
-            counts = np.bincount(sequence, minlength=len(words) + 1)[1:]
-            local = np.arange(last + 1, last + 1 + len(words))
-            columns = [np.full(len(words), number), [lang] * len(words), words, local, counts, [None] * len(words)]
+def _shards(shard_bytes: int):
+    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [c.split()[0] for c in SHARDS.split(", ")]
+        kinds = [pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.binary()]
+        number = TaskContext.get().partitionId() << SEQUENCE_BITS
+        end = number + (1 << SEQUENCE_BITS)
+        held: dict[str, list[bytes]] = {}
+        size = 0
+
+        def written() -> Iterator[pa.RecordBatch]:
+            if number == end:
+                raise ValueError(f"a task has more than {1 << SEQUENCE_BITS} shards: use smaller partitions")
+            sequences, last = [], 0
+            for lang, texts in held.items():
+                sequence, words = tokenised(texts)
+                counts = np.bincount(sequence, minlength=len(words) + 1)[1:]
+                local = np.arange(last + 1, last + 1 + len(words))
+                columns = [np.full(len(words), number), [lang] * len(words), words, local, counts, [None] * len(words)]
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
+                sequences.append(np.where(sequence > 0, sequence + last, 0).astype(np.int32))
+                last += len(words)
+            columns = [[number], [None], [None], [None], [None], [np.concatenate(sequences).tobytes()]]
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
-            sequences.append(np.where(sequence > 0, sequence + last, 0).astype(np.int32))
-            last += len(words)
-        columns = [[number], [None], [None], [None], [None], [np.concatenate(sequences).tobytes()]]
-        yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
-
-    for batch in batches:
-        for lang, text in zip(batch["lang"].to_pylist(), batch["text"]):
-            for part in _parts(text.as_py().encode()):
-                held.setdefault(lang, []).append(part)
-                size += len(part) + 1
-                if size >= SHARD_BYTES:
-                    yield from written()
-                    held, size, number = {}, 0, number + 1
-    if held:
-        yield from written()
+
+        for batch in batches:
+            for lang, text in zip(batch["lang"].to_pylist(), batch["text"]):
+                for part in _parts(text.as_py().encode(), shard_bytes):
+                    held.setdefault(lang, []).append(part)
+                    size += len(part) + 1
+                    if size >= shard_bytes:
+                        yield from written()
+                        held, size, number = {}, 0, number + 1
+        if held:
+            yield from written()
+
+    return shards
 
 
 # The index -----------------------------------------------------------------------
@@ -327,13 +330,14 @@ def counted(
     longest: int = LONGEST,
     text_col: str = "text",
     lang_col: str = "lang",
+    shard_bytes: int = SHARD_BYTES,
 ) -> Counted:
     """The words and phrases that occur at least ``least`` times in a language."""
     plain = documents.select(
         F.coalesce(documents[lang_col], F.lit(NO_LANG)).alias("lang"),
         F.coalesce(documents[text_col], F.lit("")).alias("text"),
     )
-    shards = staged(plain.mapInArrow(_shards, SHARDS), "word-shards")
+    shards = staged(plain.mapInArrow(_shards(shard_bytes), SHARDS), "word-shards")
     occurring = shards.filter("word IS NOT NULL").select("shard", "lang", "word", "local", "n")
     totals = staged(occurring.groupBy("lang").agg(F.sum("n").alias("n")), "word-totals")
     # The rows of a word meet once: in its count, and in its id, which is its place in
@@ -376,12 +380,13 @@ def collocations(
     top: int | None = TOP,
     text_col: str = "text",
     lang_col: str = "lang",
+    shard_bytes: int = SHARD_BYTES,
 ) -> DataFrame:
     """The best phrases of every language, from rank 1 on; all of them without ``top``.
 
     ``n_left`` and ``n_right`` say how many phrases are one word longer at that end.
     """
-    words, grams, totals = counted(documents, least, longest, text_col, lang_col)
+    words, grams, totals = counted(documents, least, longest, text_col, lang_col, shard_bytes)
     size = F.size("gram")
     sub = grams.filter(size > 2).select(
         "n",

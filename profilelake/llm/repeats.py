@@ -28,7 +28,10 @@ compared byte by byte.
 
 Cases: null and empty texts, and texts shorter than ``length``, keep every byte;
 rows with a null id are not compared and keep every byte; rows that share an id
-should be the same document and get the same cuts. Texts are used whole.
+should be the same document and get the same cuts; of equal strings the one with the
+smallest id, then the earliest start, stays. An empty table gives no row; other columns
+are left aside, whatever their names. Texts are used whole; anchors of one longer than
+``chunk_bytes`` are looked for in overlapping parts, so memory does not grow with it.
 """
 
 from __future__ import annotations
@@ -127,25 +130,32 @@ def _rows(names: str, *columns: np.ndarray) -> pa.RecordBatch:
     return pa.record_batch(arrays, names=names.replace(" bigint", "").split(", "))
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]):
-    """(ids, byte strings) of bounded size; a longer document is a chunk of its own."""
-    ids, parts, size = [], [], 0
+def _chunks(batches: Iterator[pa.RecordBatch], length: int, chunk_bytes: int):
+    """(ids, byte strings, where in the documents they begin) of bounded size.
+
+    A longer document comes in parts. Each holds the ``length - 1`` bytes after it too,
+    so that every window lies in exactly one part.
+    """
+    ids, parts, begins, size = [], [], [], 0
     for batch in batches:
         for doc, text in zip(batch["doc_id"], batch["text"]):
-            raw = text.as_py().encode()
-            if parts and size + len(raw) > CHUNK_BYTES:
-                yield ids, parts
-                ids, parts, size = [], [], 0
-            ids.append(doc.as_py())
-            parts.append(raw)
-            size += len(raw)
+            raw, doc = text.as_py().encode(), doc.as_py()
+            for begin in range(0, max(1, len(raw) - length + 1), chunk_bytes):
+                part = raw[begin : begin + chunk_bytes + length - 1]
+                if parts and size + len(part) > chunk_bytes:
+                    yield ids, parts, begins
+                    ids, parts, begins, size = [], [], [], 0
+                ids.append(doc)
+                parts.append(part)
+                begins.append(begin)
+                size += len(part)
     if parts:
-        yield ids, parts
+        yield ids, parts, begins
 
 
-def _find(length: int):
+def _find(length: int, chunk_bytes: int):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, parts in _chunks(batches):
+        for ids, parts, offsets in _chunks(batches, length, chunk_bytes):
             sizes = np.array([len(p) for p in parts])
             owner = np.repeat(np.arange(len(parts), dtype=np.int32), sizes)
             begins = np.cumsum(sizes) - sizes
@@ -153,7 +163,8 @@ def _find(length: int):
             start, n, anchor, h, c = anchors(data, owner, length)
             which = owner[start] if len(start) else np.zeros(0, np.int32)
             doc = np.array(ids, np.int64)[which]
-            start, anchor = start - begins[which], anchor - begins[which]
+            shift = begins[which] - np.array(offsets, np.int64)[which]
+            start, anchor = start - shift, anchor - shift
             order = np.lexsort((start, doc, c, h))
             h, c, doc, start, n = (x[order] for x in (h, c, doc, start, n))
             again = np.zeros(len(h), bool)
@@ -394,12 +405,17 @@ def _cut(length: int):
     return cut
 
 
-def repeats(docs: DataFrame, length: int = LENGTH, group_limit: int = GROUP_LIMIT) -> DataFrame:
+def repeats(
+    docs: DataFrame,
+    length: int = LENGTH,
+    group_limit: int = GROUP_LIMIT,
+    chunk_bytes: int = CHUNK_BYTES,
+) -> DataFrame:
     """(doc_id, place): packed runs of windows whose strings start earlier too.
 
     ``docs`` has (doc_id, text), ids not null.
     """
-    found = docs.mapInArrow(_find(length), FOUND)
+    found = docs.mapInArrow(_find(length, chunk_bytes), FOUND)
     sorted_ = found.repartition("h").sortWithinPartitions("h", "c", "doc_id", "place")
     settled = staged(sorted_.mapInArrow(_settle(group_limit), SETTLED), "contexts")
     wanted = (
@@ -424,14 +440,17 @@ def runs(documents: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def remove_repeats(
-    documents: DataFrame, length: int = LENGTH, group_limit: int = GROUP_LIMIT
+    documents: DataFrame,
+    length: int = LENGTH,
+    group_limit: int = GROUP_LIMIT,
+    chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
     """One row per document: bytes, removed bytes, removed runs, digest of what is left."""
     if not WIDE <= length <= 128:
         raise ValueError(f"length must be from {WIDE} to 128")
     # Both joins with the documents shuffle them in one form, so Spark does it once.
     docs = texts(documents).filter("doc_id IS NOT NULL")
-    per_doc = repeats(docs, length, group_limit).groupBy("doc_id").agg(
+    per_doc = repeats(docs, length, group_limit, chunk_bytes).groupBy("doc_id").agg(
         F.collect_list("place").alias("repeats")
     )
     known = docs.join(per_doc, "doc_id", "left").select("doc_id", "text", "repeats")

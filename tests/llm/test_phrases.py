@@ -66,23 +66,21 @@ def noisy(seed, size, vocabulary, marks=" ,. \t\n"):
 
 
 @pytest.mark.parametrize("shard_bytes", [1 << 24, 1500])
-def test_against_plain_counting(spark, monkeypatch, shard_bytes):
-    monkeypatch.setattr(phrases, "SHARD_BYTES", shard_bytes)
+def test_against_plain_counting(spark, shard_bytes):
     docs = noisy(1, 400, 60)
     df = spark.createDataFrame(docs, "lang string, text string").repartition(3)
     for least, longest in ((5, 5), (9, 3), (20, 2)):
         want = brute(docs, least, longest, 50)
         assert len(want) > 20
-        assert got(phrases.collocations(df, least, longest, 50)) == want
+        assert got(phrases.collocations(df, least, longest, 50, shard_bytes=shard_bytes)) == want
 
 
-def test_parts_lose_nothing(monkeypatch):
-    monkeypatch.setattr(phrases, "SHARD_BYTES", 40)
+def test_parts_lose_nothing():
     for seed in range(20):
         rng = random.Random(seed)
         text = "".join(rng.choice("ab .,é") for _ in range(rng.randrange(400)))
         text += "a" * rng.choice([0, 100]) + rng.choice(["", ".b c"])
-        cut = list(phrases._parts(text.encode()))
+        cut = list(phrases._parts(text.encode(), 40))
         assert b"".join(cut).decode() == text
         assert [w for p in cut for w in pieces(p.decode()) if w] == [w for w in pieces(text) if w]
 
