@@ -90,6 +90,18 @@ def index_schema(db: str | Flavour) -> T.StructType:
     )
 
 
+def metadata_schema(db: str | Flavour) -> T.StructType:
+    """Schema of the metadata table: the index with dates, and the parts of the path."""
+    dates = {"date", "date_update"}
+    fields = [
+        T.StructField(f.name, T.TimestampNTZType() if f.name in dates else f.dataType)
+        for f in index_schema(db)
+    ]
+    parts = {"wmoid": T.IntegerType(), "filepath_main": T.StringType(), "filepath": T.StringType(),
+             "filename": T.StringType(), "cycle": T.IntegerType()}
+    return T.StructType([*fields, *(T.StructField(n, t) for n, t in parts.items())])
+
+
 # Types that hold every value of another, the narrowest first.
 _WIDER = {
     "tinyint": ("smallint", "int", "bigint", "float", "double"),

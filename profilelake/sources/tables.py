@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from profilelake import functions as PF
 from profilelake.flavour import Flavour, flavour
 from profilelake.operators.filters import Filters, filter_rows
-from profilelake.schema import level_schema, staged_schema
+from profilelake.schema import level_schema, metadata_schema, staged_schema
 from profilelake.sources.stored import replace_folder
 
 DEFAULT_FILE_BYTES = 300 * 1024 * 1024
@@ -84,11 +84,19 @@ def read_levels(
 
 
 def read_metadata(
-    spark: SparkSession, path: str | list[str], filters: Filters | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    filters: Filters | None = None,
+    db: str | Flavour | None = None,
 ) -> DataFrame:
-    """Scan a metadata table, filtered at the read."""
+    """Scan a metadata table, filtered at the read.
+
+    With ``db`` the declared schema is used and no file is opened to plan the scan;
+    without, the columns are those of the files.
+    """
     paths = [path] if isinstance(path, str) else path
-    metadata = spark.read.parquet(*paths)
+    reader = spark.read if db is None else spark.read.schema(metadata_schema(db))
+    metadata = reader.parquet(*paths)
     return metadata if filters is None else filter_rows(metadata, filters)
 
 

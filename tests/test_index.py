@@ -3,7 +3,9 @@ from datetime import datetime
 import pytest
 
 from profilelake.operators import subset
-from profilelake.sources import enrich_index, read_index, split_rejects
+from profilelake.schema import index_schema, metadata_schema
+from profilelake.sources import enrich_index, index_rejects, read_index, split_rejects
+from profilelake.sources.index import parse_dates
 
 PREAMBLE = "".join(f"# line {i}\n" for i in range(8))
 CORE_HEADER = "file,date,latitude,longitude,ocean,profiler_type,institution,date_update\n"
@@ -97,3 +99,25 @@ def test_float_list_keeps_moved_floats_and_first_row(spark):
     assert [tuple(r) for r in subset.float_list(df).collect()] == expected
     reverse = df.selectExpr("filepath_main", "wmoid", "-ord as ord")
     assert [tuple(r) for r in subset.float_list(reverse, "ord").collect()][0] == ("a/1/", 2)
+
+
+def test_metadata_schema_is_that_of_an_enriched_index(spark):
+    for db in ("phy", "bgc"):
+        text = spark.createDataFrame([], index_schema(db))
+        assert enrich_index(parse_dates(text)).dtypes == [(f.name, f.dataType.simpleString()) for f in metadata_schema(db)]
+
+
+def test_rejects_do_not_depend_on_the_columns_read(spark, tmp_path):
+    names = index_schema("phy").names
+    good = ["a/1/profiles/R1_1.nc", "20200101000000", "1.5", "2.5", "A", "846", "AO", "20200102000000"]
+    lines = ["# preamble", ",".join(names), ",".join(good), ",".join(good[:3]), ",".join([*good, "more"]),
+             ",".join([*good[:2], "deep", *good[3:]]), '"' + good[0] + '",' + ",".join(good[1:]),
+             ",".join([*good[:1], "", "", "", "", "", "", ""])]
+    path = tmp_path / "index.txt"
+    path.write_text("\n".join(lines) + "\n")
+    index = read_index(spark, str(path), "phy")
+    assert index.count() == 3 and index.select("file").count() == 3
+    assert index.where("latitude = 1.5").select("date").count() == 2
+    rejects = index_rejects(spark, str(path), "phy").collect()
+    assert sorted(r.line for r in rejects) == sorted(lines[3:6])
+    assert {r.file for r in rejects} == {good[0]}
