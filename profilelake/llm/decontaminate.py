@@ -8,8 +8,9 @@ bit-parallel algorithm (one machine word or long integer per item, one step per
 word of the text) finds the least edit distance of the item to any part of that
 stretch. Words are what edits count in: runs of letters and digits, lower case.
 
-The items are the query set: they are read in blocks of bounded size, and each
-block is matched with all documents, so memory does not grow with the benchmark.
+The items are the query set: they are stored in blocks of bounded size, which tasks
+read from the shared folder, and each block is matched with all documents before the
+next, so no process's memory grows with the benchmark, the driver's neither.
 
 Cases: items without words match nothing; equal items each give their rows; null
 and empty texts have no matches; repeated rows of a document give repeated rows;
@@ -24,10 +25,12 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+from pyarrow.dataset import dataset
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from profilelake.llm.common import staged, texts
+from profilelake.llm import files
+from profilelake.llm.common import scratch, staged, texts
 
 BUDGET = 0.2  # edits per word of the item
 BLOCK_CHARS = 16_000_000  # characters of items that one task holds
@@ -144,32 +147,34 @@ class Items:
 
 
 @lru_cache(maxsize=1)
-def built(rows: tuple[tuple[int, str], ...], budget: float) -> Items:
-    """The automaton of a block, built once in each Python process."""
-    return Items(rows, budget)
+def built(path: str, budget: float) -> Items:
+    """The automaton of a stored block, built once in each Python process."""
+    where, name = files.at(path)
+    rows = dataset(name, filesystem=where, format="parquet").to_table(columns=["item_id", "text"])
+    found = zip(rows["item_id"].to_pylist(), rows["text"].to_pylist())
+    return Items(tuple(sorted(found, key=lambda r: (r[0] is None, r[0] or 0, r[1]))), budget)
 
 
-def _blocks(benchmark: DataFrame, block_chars: int) -> Iterator[tuple[tuple[int, str], ...]]:
-    """The items in blocks of bounded size."""
+def _blocks(benchmark: DataFrame, block_chars: int) -> list[str]:
+    """Where the items are stored, in blocks of bounded size; the driver sees only how many."""
     items = benchmark.select(
         F.col("item_id").cast("bigint").alias("item_id"), F.coalesce("text", F.lit("")).alias("text")
     ).filter(F.length("text") > 0)
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     parts = -(-total // block_chars)
-    if parts <= 1:
-        yield tuple(tuple(r) for r in items.orderBy("item_id", "text").collect())
-        return
-    numbered = staged(
-        items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(2 * parts)))
-    )
-    for k in range(2 * parts):
-        part = numbered.filter(F.col("block") == k).select("item_id", "text")
-        yield tuple(tuple(r) for r in part.orderBy("item_id", "text").collect())
-
-
-def _matcher(shared, budget: float):
+    if not parts:
+        return []
+    parts = 1 if parts == 1 else 2 * parts
+    path = scratch(benchmark.sparkSession, "items")
+    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)).cast("int").alias("block")
+    items.select("*", block).write.partitionBy("block").parquet(path)
+    held = benchmark.sparkSession.read.parquet(path).select("block").distinct().collect()
+    return [f"{path}/block={r['block']}" for r in sorted(held)]
+
+
+def _matcher(path: str, budget: float):
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = built(shared.value, budget)
+        items = built(path, budget)
         schema = pa.schema(
             [("doc_id", pa.int64()), ("item_id", pa.int64())]
             + [(n, pa.int32()) for n in ("distance", "item_words", "first_word", "end_word")]
@@ -195,32 +200,36 @@ def matches(
     block_chars: int = BLOCK_CHARS,
 ) -> DataFrame:
     """One row per document and item that it holds: distance and the words it spans."""
-    spark = documents.sparkSession
     docs = texts(documents)
-    found = spark.createDataFrame([], MATCHES)
-    for rows in _blocks(benchmark, block_chars):
-        shared = spark.sparkContext.broadcast(rows)
-        found = found.unionAll(docs.mapInArrow(_matcher(shared, budget), MATCHES))
+    blocks = _blocks(benchmark, block_chars)
+    found = documents.sparkSession.createDataFrame([], MATCHES)
+    for path in blocks:
+        rows = docs.mapInArrow(_matcher(path, budget), MATCHES)
+        # One automaton at a time: each block is matched before the next.
+        found = found.unionAll(rows if len(blocks) == 1 else staged(rows, "matches"))
     return found
 
 
-def remove_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+def remove_contaminated(
+    documents: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS
+) -> DataFrame:
     """The documents that hold no item, with all their columns.
 
     The matcher runs once per row beside the row's own columns, so rows without an
     id are judged too, and nothing is joined.
     """
-    spark = documents.sparkSession
+    blocks = _blocks(benchmark, block_chars)
     kept = documents
-    for rows in _blocks(benchmark, BLOCK_CHARS):
-        kept = kept.filter(_holds_none(spark.sparkContext.broadcast(rows), BUDGET)(F.col("text")))
+    for path in blocks:
+        kept = kept.filter(_holds_none(path, BUDGET)(F.col("text")))
+        kept = kept if path == blocks[-1] else staged(kept, "clean")
     return kept
 
 
-def _holds_none(shared, budget: float):
+def _holds_none(path: str, budget: float):
     @F.arrow_udf("boolean")
     def holds_none(column: pa.Array) -> pa.Array:
-        items = built(shared.value, budget)
+        items = built(path, budget)
         return pa.array([not items.matches(t.as_py() or "") for t in column], pa.bool_())
 
     return holds_none.asNondeterministic()
