@@ -53,5 +53,23 @@ def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     )
 
 
+FILTER_WORDS = 1 << 17  # 64-bit words of an id filter
+
+
+def may_hold(rows: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows whose id may be one of ``ids``: all that are, and few others.
+
+    One bit stands for each hashed id, in ``FILTER_WORDS`` words: a megabyte, whatever the
+    number of ids, which is why it may be broadcast. It goes in front of a join, so that
+    rows which cannot match are not shuffled; with very many ids it lets all through.
+    """
+    word = F.shiftrightunsigned(F.xxhash64(id_col), 6).bitwiseAND(F.lit(FILTER_WORDS - 1))
+    bit = F.xxhash64(id_col).bitwiseAND(F.lit(63)).cast("int")
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
+    bits = ids.groupBy(word.alias("_word")).agg(F.bit_or(one).alias("_bits"))
+    met = rows.withColumn("_word", word).withColumn("_bit", bit).join(F.broadcast(bits), "_word")
+    return met.filter(F.getbit("_bits", "_bit") == 1).select(rows.columns)
+
+
 def sha256_hex(value: Column) -> Column:
     return F.sha2(value.cast("binary"), 256)

@@ -11,11 +11,13 @@ signature; two sets agree in a coordinate with the probability of their weighted
 Jaccard similarity.
 
 Signatures are cut into bands; texts that agree in a band share a bucket. All
-members of a bucket are compared with one centre, its smallest id, and joined to
-classes along what is similar; members of one class need not meet again. What is
-then left of a bucket outside its largest class is compared with the whole bucket if
-it is little (``FEW``) or the bucket is small (``SMALL``). Buckets with much left are
-split: their members meet again only where they share a second such bucket, then a
+members of a bucket are compared with one centre, the member that shares its buckets
+with most others, and joined to classes along what is similar; members of one class
+need not meet again. Shingles that no other member of an open bucket has bound what a
+member can share; where the bound lies below the wanted similarity for every size in
+the bucket, the member leaves it, which loses nothing. What is then left of a bucket
+outside its largest class is compared with the whole bucket if it is little (``FEW``)
+or the bucket is small (``SMALL``). Buckets with much left are split: their members meet again only where they share a second such bucket, then a
 third (``LEVELS``), with the same steps. What is left of those is compared in rounds,
 ``CENTRES`` members with all, until every two of different classes have met. So the
 number of comparisons grows with the members, not with their square, unless members
@@ -44,7 +46,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from profilelake.llm.common import staged, texts
+from profilelake.llm.common import may_hold, staged, texts
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -293,14 +295,20 @@ def _merged(classes: DataFrame, links: DataFrame) -> DataFrame:
     edges = edges.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
     found = components(edges).select(F.col("node").alias("old"), "label")
     moved = classes.join(found, classes["class"] == found.old, "left")
-    return staged(moved.select("node", "first", F.coalesce("label", "class").alias("class")), "classes")
+    kept = moved.select("node", "first", "weight", F.coalesce("label", "class").alias("class"))
+    return staged(kept, "classes")
+
+
+def _order() -> Column:
+    """What makes a member a centre: much company, then a small id."""
+    return F.struct((-F.col("weight")).alias("w"), "first", "node", "class")
 
 
 def _star(members: DataFrame, classes: DataFrame) -> DataFrame:
     """Every member of a bucket with several classes, beside the bucket's centre."""
     placed = members.join(classes, "node")
     centres = placed.groupBy("key").agg(
-        F.min("class").alias("lo"), F.max("class").alias("hi"), F.min(F.struct("first", "node", "class")).alias("c")
+        F.min("class").alias("lo"), F.max("class").alias("hi"), F.min(_order()).alias("c")
     )
     # Stored, so that its join deals the members by an exchange that Spark can split.
     centres = staged(centres.filter("lo < hi").select("key", "c.node", "c.class"), "centres")
@@ -308,11 +316,32 @@ def _star(members: DataFrame, classes: DataFrame) -> DataFrame:
     return placed.join(centres, "key").filter(F.col("class") != F.col("centre_class"))
 
 
+def _able(members: DataFrame, classes: DataFrame, hashed: DataFrame, similarity: float) -> DataFrame:
+    """Members of buckets of several classes, without those that can be similar to no other there."""
+    placed = members.join(classes, "node")
+    open_ = placed.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi"))
+    open_ = staged(open_.filter("lo < hi").select("key"), "open-keys")
+    held = staged(members.join(open_, "key"), "open-members")
+    nodes = hashed.join(held.select("node").distinct(), "node", "left_semi")
+    met = nodes.select("node", F.explode("elements").alias("e")).groupBy("e").agg(
+        F.count(F.lit(1)).alias("n"), F.min("node").alias("node")
+    )
+    own = met.filter("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    sizes = nodes.select("node", F.size("elements").alias("size")).join(own, "node", "left")
+    sizes = staged(sizes.select("node", "size", (F.col("size") - F.coalesce("own", F.lit(0))).alias("common")), "sizes")
+    sized = held.join(sizes, "node")
+    least = sized.groupBy("key").agg(F.min("size").alias("least"))
+    # At best a partner has all that is common, and nothing else unless all are larger.
+    most = F.col("common") / (F.col("size") + F.greatest("least", "common") - F.col("common"))
+    able = sized.join(staged(least, "least"), "key").filter(most >= similarity - 1e-9)
+    return staged(able.select(members.columns), "able")
+
+
 def _left_over(members: DataFrame, classes: DataFrame) -> DataFrame:
     """Members of buckets that still hold several classes, with the bucket's figures, stored."""
     placed = members.join(classes, "node")
     sizes = placed.groupBy("key", "class").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("first", "node")).alias("centre")
+        F.count(F.lit(1)).alias("n"), F.min(_order()).alias("centre")
     )
     buckets = (
         sizes.groupBy("key")
@@ -367,12 +396,14 @@ def _rounds(members: DataFrame, classes: DataFrame, hashed: DataFrame, similarit
 
 
 def linked(members: DataFrame, classes: DataFrame, hashed: DataFrame, similarity: float) -> DataFrame:
-    """(node, first, class) of all candidates, from their memberships (node, key, last band)."""
+    """(node, first, weight, class) of all candidates, from their memberships (node, key, last band)."""
     split = None
     for level in range(LEVELS):
         met = _star(members, classes)
         pairs = met.select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b"))
         classes = _merged(classes, _compared(pairs, hashed, similarity))
+        if level == 0:
+            members = _able(members, classes, hashed, similarity)
         open_ = _left_over(members, classes)
         little = (F.col("n") <= SMALL) | (F.col("others") <= FEW)
         classes = _merged(classes, _compared(_within(open_.filter(little)), hashed, similarity))
@@ -413,14 +444,17 @@ def duplicate_classes(documents: DataFrame, similarity: float = SIMILARITY) -> D
     reps = staged(reps.withColumn("node", F.monotonically_increasing_id()), "representatives")
     banded = reps.select("node", F.posexplode_outer("bands").alias("last", "hash")).filter(F.col("hash").isNotNull())
     keyed = banded.select("node", F.xxhash64("last", "hash").alias("key"), "last")
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = staged(keyed.join(shared, "key"), "members")
-    classes = reps.join(members.select("node").distinct(), "node", "left_semi").select(
-        "node", "first", F.col("node").alias("class"), "digest"
+    weights = members.groupBy("node").agg(F.sum("n").alias("weight"))
+    members = members.drop("n")
+    classes = reps.join(weights, "node").select(
+        "node", "first", "weight", F.col("node").alias("class"), "digest"
     )
     classes = staged(classes, "candidates")
     wanted = classes.select(F.col("first").alias("doc_id"), "node", "digest")
-    found = docs.join(wanted, "doc_id").withColumn("words", words(F.col("text")))
+    near = may_hold(docs.filter("doc_id IS NOT NULL"), wanted)
+    found = near.join(wanted, "doc_id").withColumn("words", words(F.col("text")))
     found = found.filter(_digest(F.col("words")) == F.col("digest"))
     hashed = found.select("node", elements_udf(word_hashes(F.col("words"))).alias("elements"))
     hashed = staged(hashed.dropDuplicates(["node"]), "shingled")

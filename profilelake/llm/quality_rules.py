@@ -30,7 +30,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from profilelake.llm.common import texts
+from profilelake.llm.common import may_hold, texts
 
 # White space between words, symbols, limits of the base rules.
 BLANK = r"[\x20\x09-\x0D]+"
@@ -38,7 +38,6 @@ SYMBOLS = r"[#*$%&|<>]"
 LEAST_WORDS = 50
 
 BUCKETS = 16_384
-FILTER_WORDS = 1 << 17  # of the filter in front of the join
 THRESHOLD = -0.075
 PRIOR = 0.06  # grams of the corpus's own mix that the trusted side starts with, for each of its own
 
@@ -114,19 +113,6 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return good.select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct()
 
 
-def may_be_trusted(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """The documents whose id may be a trusted one: all trusted ones, and few others.
-
-    One bit stands for each hashed id, in ``FILTER_WORDS`` words of 64 bits: a megabyte,
-    whatever the number of ids, which is why it may be broadcast.
-    """
-    word = F.shiftrightunsigned(F.xxhash64("doc_id"), 6).bitwiseAND(F.lit(FILTER_WORDS - 1))
-    bit = F.xxhash64("doc_id").bitwiseAND(F.lit(63)).cast("int")
-    bits = trusted.groupBy(word.alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)).alias("bits"))
-    met = docs.withColumn("word", word).withColumn("bit", bit).join(F.broadcast(bits), "word")
-    return met.filter(F.getbit("bits", "bit") == 1).select(docs.columns)
-
-
 def bucket_counts(docs: DataFrame, buckets: int = BUCKETS) -> list[int]:
     """Grams per bucket; ``buckets`` numbers, whatever the corpus."""
     counts = [0] * buckets
@@ -138,7 +124,7 @@ def bucket_counts(docs: DataFrame, buckets: int = BUCKETS) -> list[int]:
 def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> list[float]:
     """The log ratio of every bucket."""
     corpus = bucket_counts(docs, buckets)
-    marked = may_be_trusted(docs.filter("doc_id IS NOT NULL"), trusted)
+    marked = may_hold(docs.filter("doc_id IS NOT NULL"), trusted)
     target = bucket_counts(marked.join(trusted.hint("shuffle_hash"), "doc_id", "left_semi"), buckets)
     all_, good = sum(corpus), sum(target)
     if not good:

@@ -10,7 +10,7 @@ import xxhash
 
 from conftest import SF_DIR
 from llm_cases import no_docs, odd_docs, texts  # noqa: F401
-from profilelake.llm import quality_rules, queries, rule_ensemble
+from profilelake.llm import common, quality_rules, queries, rule_ensemble
 
 
 def counts(text):
@@ -171,8 +171,8 @@ def test_the_filter_lets_all_trusted_through(spark, monkeypatch):
     ids = [0, 1, -1, 63, 64, 2**62, -(2**63), 2**63 - 1, *range(1000, 3000, 7)]
     docs = spark.createDataFrame([(i, "t") for i in [*ids, *range(5000, 9000)]], "doc_id bigint, text string")
     trusted = spark.createDataFrame([(i,) for i in ids], "doc_id bigint")
-    got = {r.doc_id for r in quality_rules.may_be_trusted(docs, trusted).collect()}
+    got = {r.doc_id for r in common.may_hold(docs, trusted).collect()}
     assert set(ids) <= got and len(got) < len(ids) + 20
-    monkeypatch.setattr(quality_rules, "FILTER_WORDS", 1)
-    assert set(ids) <= {r.doc_id for r in quality_rules.may_be_trusted(docs, trusted).collect()}
-    assert quality_rules.may_be_trusted(docs, trusted.limit(0)).count() == 0
+    monkeypatch.setattr(common, "FILTER_WORDS", 1)
+    assert set(ids) <= {r.doc_id for r in common.may_hold(docs, trusted).collect()}
+    assert common.may_hold(docs, trusted.limit(0)).count() == 0
