@@ -52,24 +52,20 @@ def duplicate_lines(text: Column) -> Column:
     return F.size(lines) - F.size(F.array_distinct(lines))
 
 
-def repeated_words(words: Column) -> Column:
+def word_hashes(words: Column) -> Column:
+    """One 64-bit hash a word; pairs and windows are hashed from these, not from the words."""
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def repeated_words(hashes: Column) -> Column:
     """How many words lie in three-word windows that the text holds twice or more.
 
     Windows are sorted with their places; equal neighbours are repeats. The sort is
-    done only where hashes show that some window may repeat.
+    done only where some window repeats. Windows are equal if their 64-bit hashes are.
     """
-    inner = F.slice(words, 1, F.greatest(F.size(words) - 2, F.lit(0)))
-    hashes = F.transform(
-        inner, lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2))
-    )
-    ordered = F.sort_array(
-        F.transform(
-            inner,
-            lambda w, i: F.struct(
-                F.concat_ws(" ", w, F.get(words, i + 1), F.get(words, i + 2)).alias("window"),
-                i.alias("at"),
-            ),
-        )
+    inner = F.slice(hashes, 1, F.greatest(F.size(hashes) - 2, F.lit(0)))
+    windows = F.transform(
+        inner, lambda h, i: F.xxhash64(h, F.get(hashes, i + 1), F.get(hashes, i + 2))
     )
 
     def places(ordered: Column) -> Column:
@@ -87,13 +83,18 @@ def repeated_words(words: Column) -> Column:
         return F.aggregate(steps, F.lit(0), lambda a, x: a + x)
 
     # A one-element array names an intermediate value, so that it is computed once.
-    once = F.transform(F.array(ordered), places)
-    total = F.get(F.transform(once, covered), F.lit(0))
-    return F.when(F.size(F.array_distinct(hashes)) < F.size(inner), total).otherwise(0)
+    def count(windows: Column) -> Column:
+        ordered = F.sort_array(
+            F.transform(windows, lambda x, i: F.struct(x.alias("window"), i.alias("at")))
+        )
+        total = F.get(F.transform(F.transform(F.array(ordered), places), covered), F.lit(0))
+        return F.when(F.size(F.array_distinct(windows)) < F.size(windows), total).otherwise(0)
 
+    return F.get(F.transform(F.array(windows), count), F.lit(0))
 
-def _bucket(*words: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*words), F.lit(buckets)).cast("int")
+
+def _bucket(gram: Column, buckets: int) -> Column:
+    return F.pmod(gram, F.lit(buckets)).cast("int")
 
 
 def gram_rows(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
@@ -102,9 +103,10 @@ def gram_rows(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     # Neighbours as columns of a row: both hashes are then part of the generated code.
     rest = F.slice("words", 2, F.greatest(F.size("words") - 1, F.lit(1)))
     rows = split.select(F.inline(F.arrays_zip(F.col("words").alias("word"), rest.alias("next"))))
-    one = _bucket(F.col("word"), buckets=buckets)
-    two = F.when(F.col("next").isNotNull(), _bucket(F.col("word"), F.col("next"), buckets=buckets))
-    return rows.select(F.explode(F.array(one, two)).alias("bucket")).filter(F.col("bucket").isNotNull())
+    word, following = F.xxhash64("word"), F.xxhash64("next")
+    pair = F.when(F.col("next").isNotNull(), _bucket(F.xxhash64(word, following), buckets))
+    rows = rows.select(F.explode(F.array(_bucket(word, buckets), pair)).alias("bucket"))
+    return rows.filter(F.col("bucket").isNotNull())
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -137,18 +139,15 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> l
     ]
 
 
-def likelihood_ratio(words: Column, ratios: list[float]) -> Column:
+def likelihood_ratio(hashes: Column, ratios: list[float]) -> Column:
     """Mean log ratio of a document's words and pairs of neighbours; 0 if it has none."""
-    buckets = len(ratios)
     known = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>")
-
-    def ratio(word: Column, at: Column) -> Column:
-        following = F.get(words, at + 1)
-        pair = F.get(known, _bucket(word, following, buckets=buckets))
-        return F.get(known, _bucket(word, buckets=buckets)) + F.when(following.isNotNull(), pair).otherwise(0.0)
-
-    total = F.aggregate(F.transform(words, ratio), F.lit(0.0), lambda a, x: a + x)
-    return F.when(F.size(words) > 0, total / (2 * F.size(words) - 1)).otherwise(0.0)
+    first = F.slice(hashes, 1, F.greatest(F.size(hashes) - 1, F.lit(0)))
+    grams = F.concat(hashes, F.transform(first, lambda h, i: F.xxhash64(h, F.get(hashes, i + 1))))
+    total = F.aggregate(
+        grams, F.lit(0.0), lambda a, g: a + F.get(known, _bucket(g, len(ratios)))
+    )
+    return F.when(F.size(hashes) > 0, total / (2 * F.size(hashes) - 1)).otherwise(0.0)
 
 
 def judge(
@@ -162,14 +161,15 @@ def judge(
     ratios = log_ratios(docs, trusted_ids(labels), buckets)
     counted = (
         docs.withColumn("words", words(F.col("text")))
+        .withColumn("hashes", word_hashes(F.col("words")))
         .select(
             "doc_id",
             F.size("words").cast("bigint").alias("n_words"),
             F.length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
             F.regexp_count("text", F.lit(SYMBOLS)).cast("bigint").alias("n_symbols"),
             duplicate_lines(F.col("text")).cast("bigint").alias("n_dup_lines"),
-            repeated_words(F.col("words")).cast("bigint").alias("n_repeat_words"),
-            likelihood_ratio(F.col("words"), ratios).alias("score"),
+            repeated_words(F.col("hashes")).cast("bigint").alias("n_repeat_words"),
+            likelihood_ratio(F.col("hashes"), ratios).alias("score"),
         )
         .withColumn(
             "base_failed",

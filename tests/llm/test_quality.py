@@ -132,9 +132,11 @@ def test_all_trusted_documents_count(spark):
 
 def bucket(*words):
     """Spark's xxhash64 over columns: each value's hash is the seed of the next."""
+    hashes = [xxhash.xxh64_intdigest(w.encode(), seed=42) for w in words]
     h = 42
-    for w in words:
-        h = xxhash.xxh64_intdigest(w.encode(), seed=h)
+    for x in hashes:
+        h = xxhash.xxh64_intdigest(x.to_bytes(8, "little"), seed=h)
+    h = hashes[0] if len(words) == 1 else h
     return (h - (h >> 63 << 64)) % quality_rules.BUCKETS
 
 
