@@ -17,15 +17,16 @@ need not meet again. Shingles that no other member of an open bucket has bound w
 member can share; where the bound lies below the wanted similarity for every size in
 the bucket, the member leaves it, which loses nothing. What is then left of a bucket
 outside its largest class is compared with the whole bucket if it is little (``FEW``)
-or the bucket is small (``SMALL``). Buckets with much left are split: their members meet again only where they share a second such bucket, then a
-third (``LEVELS``), with the same steps. What is left of those is compared in rounds,
-``CENTRES`` members with all, until every two of different classes have met. So the
-number of comparisons grows with the members, not with their square, unless members
-share three such buckets. Similarities are exact, over the shingles.
+or the bucket is small (``SMALL``). Buckets with much left are split: their members
+meet again only where they share a second such bucket (``LEVELS``), with the same steps.
+What is left of those is compared in rounds, ``CENTRES`` members with all, until every
+two of different classes have met. So the number of comparisons grows with the members,
+not with their square, unless members share two such buckets. Similarities are exact,
+over the shingles.
 
-Two texts with a similarity of 0.8 share no band in 3 of 100,000 cases, a single one
-in 40 of 100,000, two in 240: only the latter, if also all their bands lie in split
-buckets, can go unseen. Above 0.8 this falls quickly.
+Two texts with a similarity of 0.8 share no band in 3 of 100,000 cases and go unseen;
+they share a single one in 36 of 100,000, and then go unseen if its bucket is split and
+none of their other partners joins them. Above 0.8 this falls quickly.
 
 Cases: identical word sequences are one class without comparing; texts without
 words are such copies of each other, null texts are empty; texts of one to four
@@ -52,9 +53,9 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 4
 COORDINATES = BANDS * ROWS
-SMALL = 16  # members of a bucket that meet all with all
-FEW = 8  # members outside a bucket's largest class that meet the whole bucket
-LEVELS = 3  # buckets that members must share before they meet all with all
+SMALL = 64  # members of a bucket that meet all with all
+FEW = 32  # members outside a bucket's largest class that meet the whole bucket
+LEVELS = 2  # buckets that members must share before they meet all with all
 CENTRES = 256  # members of a bucket, about, that meet all others in one of the last rounds
 CHUNK_WORDS = 200_000  # words whose darts are in memory at once
 

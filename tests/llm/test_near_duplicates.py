@@ -104,7 +104,7 @@ def test_similarity_against_counting():
         assert abs(nd.similarity_of(found[: n[0]], found[n[0] :]) - want) < 1e-12
 
 
-@pytest.mark.parametrize("levels", [1, 3])
+@pytest.mark.parametrize("levels", [1, 2])
 def test_large_bucket_of_dissimilar_texts(spark, monkeypatch, levels):
     """Texts that share a passage and nothing else: pairs compared grow with them, not their square."""
     monkeypatch.setattr(nd, "LEVELS", levels)
