@@ -21,7 +21,9 @@ def verify_data_modes(
 
     Levels are reduced to the distinct sets of modes of their profile, one in
     sound data, before anything is joined; the last grouping then needs no
-    further shuffle.
+    further shuffle. They are as many as the profiles, but come from a few narrow
+    columns of a wide dataset, which the planner takes for a small table: the
+    join is told not to broadcast them.
     """
     present = [p for p in parameters if p + DATA_MODE_SUFFIX in levels.columns]
     carried = F.array(*(F.col(p + DATA_MODE_SUFFIX) for p in present))
@@ -32,7 +34,7 @@ def verify_data_modes(
     matches = F.when(F.col("_carried").isNull(), True).otherwise(same)
     return (
         source_modes(staged, present, keys)
-        .join(found, list(keys), "left")
+        .join(found.hint("merge"), list(keys), "left")
         .select(*keys, "_carried", F.explode("modes").alias("_source"))
         .select(*keys, "_source.parameter", matches.alias("_same"))
         .groupBy(*keys, "parameter")

@@ -13,6 +13,7 @@ from profilelake.operators import datamode, quarantine, refresh, subset
 from profilelake.operators.aggregate import group_mean
 from profilelake.operators.filters import box, valid_values
 from profilelake.operators.flatten import flatten_levels
+from profilelake.operators.verify import verify_data_modes
 from profilelake.plans import convert_profiles
 from profilelake.plans.convert import level_rows
 from profilelake.schema import level_schema, staged_schema
@@ -129,3 +130,10 @@ def test_spread_stays_one_projection_over_the_names(staged_table):
         "source_file", "N_PROF", "PARAMETER", "PARAMETER_DATA_MODE"), MODES))
     # Names and modes are zipped and stripped once, not once per parameter.
     assert text.count("zip_with(") <= 2
+
+
+def test_modes_of_all_profiles_are_not_broadcast(level_table, staged_table, spark):
+    levels = read_levels(spark, level_table, "bgc")
+    levels = levels.withColumn("source_file", levels.PLATFORM_NUMBER.cast("string"))
+    text = plan(verify_data_modes(levels, staged_table, MODES))
+    assert "SortMergeJoin" in text and "BroadcastExchange" not in text
