@@ -17,16 +17,16 @@ need not meet again. Shingles that no other member of an open bucket has bound w
 member can share; where the bound lies below the wanted similarity for every size in
 the bucket, the member leaves it, which loses nothing. What is then left of a bucket
 outside its largest class is compared with the whole bucket if it is little (``FEW``)
-or the bucket is small (``SMALL``). Buckets with much left are split: their members
-meet again only where they share a second such bucket (``LEVELS``), with the same steps.
-What is left of those is compared in rounds, ``CENTRES`` members with all, until every
-two of different classes have met. So the number of comparisons grows with the members,
-not with their square, unless members share two such buckets. Similarities are exact,
-over the shingles.
+or the bucket is small (``SMALL``). The members of buckets with much left are dealt
+anew, by the rarest of their shingles: of any two that are similar, some of these are the
+same, so none that are go unseen. The same steps follow there. What is left of those
+buckets is compared in rounds, ``CENTRES`` members with all, until every two of different
+classes have met. So the number of comparisons grows with the members, not with their
+square, unless many that are not similar share their rarest shingles. Similarities are
+exact, over the shingles.
 
 Two texts with a similarity of 0.8 share no band in 3 of 100,000 cases and go unseen;
-they share a single one in 36 of 100,000, and then go unseen if its bucket is split and
-none of their other partners joins them. Above 0.8 this falls quickly.
+above 0.8 this falls quickly. Texts that share a band are compared or joined by others.
 
 Cases: identical word sequences are one class without comparing; texts without
 words are such copies of each other, null texts are empty; texts of one to four
@@ -55,7 +55,7 @@ BANDS, ROWS = 20, 4
 COORDINATES = BANDS * ROWS
 SMALL = 64  # members of a bucket that meet all with all
 FEW = 32  # members outside a bucket's largest class that meet the whole bucket
-LEVELS = 2  # buckets that members must share before they meet all with all
+LEVELS = 2  # how often members are dealt, by bands and then by rarest shingles, before they meet all with all
 CENTRES = 256  # members of a bucket, about, that meet all others in one of the last rounds
 CHUNK_WORDS = 200_000  # words whose darts are in memory at once
 
@@ -396,9 +396,28 @@ def _rounds(members: DataFrame, classes: DataFrame, hashed: DataFrame, similarit
         number += 1
 
 
+def _rarest(nodes: DataFrame, hashed: DataFrame, similarity: float) -> DataFrame:
+    """(node, key) for the rarest elements of each node, which two similar nodes cannot all differ in.
+
+    Sets with the wanted similarity share a part ``similarity`` of each at least. So with
+    all elements in one order, by how many of the nodes have them and then by value, the
+    first ones up to one more than the part that may be missing have one in common.
+    """
+    sets = hashed.join(nodes, "node", "left_semi").select("node", F.size("elements").alias("size"), "elements")
+    met = sets.select("node", "size", F.explode("elements").alias("key"))
+    often = met.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = met.join(often, "key").groupBy("node", "size").agg(
+        F.sort_array(F.collect_list(F.struct("n", "key"))).alias("shared")
+    )
+    # Elements of one node only come first in the order, and meet nothing.
+    wanted = F.col("size") - F.ceil(F.col("size") * similarity - 1e-9) + 1 - (F.col("size") - F.size("shared"))
+    first = shared.filter(wanted > 0).select("node", F.explode(F.slice("shared", F.lit(1), wanted.cast("int"))).alias("s"))
+    return staged(first.select("node", "s.key"), "members")
+
+
 def linked(members: DataFrame, classes: DataFrame, hashed: DataFrame, similarity: float) -> DataFrame:
-    """(node, first, weight, class) of all candidates, from their memberships (node, key, last band)."""
-    split = None
+    """(node, first, weight, class) of all candidates, from their memberships (node, key)."""
+    members = members.select("node", "key")
     for level in range(LEVELS):
         met = _star(members, classes)
         pairs = met.select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b"))
@@ -408,22 +427,12 @@ def linked(members: DataFrame, classes: DataFrame, hashed: DataFrame, similarity
         open_ = _left_over(members, classes)
         little = (F.col("n") <= SMALL) | (F.col("others") <= FEW)
         classes = _merged(classes, _compared(_within(open_.filter(little)), hashed, similarity))
-        rest = open_.filter(~little).select("node", "key", "last")
+        rest = open_.filter(~little).select("node", "key")
         if rest.isEmpty():
             return classes
-        if level == LEVELS - 1:
-            return _rounds(rest.select("key", "node"), classes, hashed, similarity)
-        if split is None:
-            split = rest.groupBy("node").agg(F.collect_list(F.struct("last", "key")).alias("bands"))
-            split = staged(split, "split")
-        further = rest.join(split, "node").select("node", "key", "last", F.explode("bands").alias("next"))
-        members = staged(
-            further.filter(F.col("next.last") > F.col("last")).select(
-                "node", F.xxhash64("key", "next.key").alias("key"), "next.last"
-            ),
-            "members",
-        )
-    return classes
+        if level < LEVELS - 1:
+            members = _rarest(staged(rest.select("node").distinct(), "rest"), hashed, similarity)
+    return _rounds(rest, classes, hashed, similarity)
 
 
 def _digest(words: Column) -> Column:
@@ -443,8 +452,8 @@ def duplicate_classes(documents: DataFrame, similarity: float = SIMILARITY) -> D
     # A node is a distinct text.
     reps = sketched.groupBy("digest").agg(F.min("doc_id").alias("first"), F.first("bands").alias("bands"))
     reps = staged(reps.withColumn("node", F.monotonically_increasing_id()), "representatives")
-    banded = reps.select("node", F.posexplode_outer("bands").alias("last", "hash")).filter(F.col("hash").isNotNull())
-    keyed = banded.select("node", F.xxhash64("last", "hash").alias("key"), "last")
+    banded = reps.select("node", F.posexplode_outer("bands").alias("band", "hash")).filter(F.col("hash").isNotNull())
+    keyed = banded.select("node", F.xxhash64("band", "hash").alias("key"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = staged(keyed.join(shared, "key"), "members")
     weights = members.groupBy("node").agg(F.sum("n").alias("weight"))

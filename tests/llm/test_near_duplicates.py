@@ -126,6 +126,19 @@ def test_large_bucket_of_dissimilar_texts(spark, monkeypatch, levels):
     assert levels == 1 or sum(met) < 20 * len(texts)
 
 
+def test_similar_members_of_one_large_bucket_only_are_linked(spark):
+    """Two similar members among many that are not, with no second bucket in common."""
+    sets = {i: list(range(10 * i, 10 * i + 10)) + list(range(10 * (i + 1) % 800, 10 * (i + 1) % 800 + 10)) for i in range(80)}
+    sets[80] = list(range(1000, 1019)) + [0]
+    sets[81] = list(range(1000, 1019)) + [10]
+    sets[82], sets[83] = list(range(2000, 2008)) + [20, 30], list(range(2000, 2008)) + [20, 40]  # 9 of 11
+    hashed = spark.createDataFrame([(i, sorted(s)) for i, s in sets.items()], "node bigint, elements array<bigint>")
+    members = spark.createDataFrame([(i, 7, 0) for i in sets], "node bigint, key bigint, last int")
+    classes = spark.createDataFrame([(i, i, 84, i) for i in sets], "node bigint, first bigint, weight bigint, class bigint")
+    got = {r.node: r["class"] for r in nd.linked(members, classes, hashed, 0.8).collect()}
+    assert got == {i: i for i in range(80)} | {80: 80, 81: 80, 82: 82, 83: 82}
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (3, 4), (9, 8), (8, 7), (20, 21), (5, 4)]
     got = dict(nd.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect())
