@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from profilelake import functions as PF
 from profilelake.sources.stored import stored
 
-OPEN_BYTES = 1 << 20  # what opening a file counts beside its bytes
+OPEN_BYTES = 1 << 17  # what opening a file counts beside its bytes: a thousand small files are a pack
 PACK_BYTES = 128 << 20
+BATCH_ENTRIES = 10_000  # entries of folders that are handed on at once
 GROUP_PACKS = 64  # packs that are filled from one sorted group of files
 
 ENTRIES = "path string, folder boolean, mtime timestamp_ntz, length bigint, error string"
@@ -85,23 +86,29 @@ def _rows(entries: list[tuple]) -> pa.RecordBatch:
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What lies in each folder; a path that is a file gives itself."""
+    """What lies in each folder; a path that is a file gives itself.
+
+    Entries are handed on in batches across folders, since most folders hold few.
+    """
+    waiting: list[tuple] = []
     for batch in batches:
         for folder in batch["path"].to_pylist():
             try:
                 system, inside = opened(folder)
                 info = system.get_file_info(inside)
                 if info.type == fs.FileType.File:
-                    yield _rows([_entry(folder, info)])
-                    continue
-                inner = system.get_file_info(fs.FileSelector(inside))
+                    waiting.append(_entry(folder, info))
+                else:
+                    base, inner = folder.rstrip("/"), system.get_file_info(fs.FileSelector(inside))
+                    waiting += [_entry(f"{base}/{i.base_name}", i) for i in inner if i.base_name[:1] not in "._"]
             except Exception as e:
-                yield _rows([_entry(folder, None, f"{type(e).__name__}: {e}")])
-                continue
-            base = folder.rstrip("/")
-            entries = [_entry(f"{base}/{i.base_name}", i) for i in inner if i.base_name[:1] not in "._"]
-            for start in range(0, len(entries), 10_000):
-                yield _rows(entries[start : start + 10_000])
+                waiting.append(_entry(folder, None, f"{type(e).__name__}: {e}"))
+            if len(waiting) >= BATCH_ENTRIES:
+                for start in range(0, len(waiting), BATCH_ENTRIES):
+                    yield _rows(waiting[start : start + BATCH_ENTRIES])
+                waiting = []
+    if waiting:
+        yield _rows(waiting)
 
 
 def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -281,6 +281,17 @@ def test_packs_are_even(spark):
     assert len(packs) >= sum(s + 1000 for _, s in sizes) // 1_400_000
 
 
+def test_many_small_files_share_batches_and_packs(spark, tmp_path):
+    """Neither a batch for each folder listed, nor a task for each hundred files."""
+    root = tree(tmp_path, 40, 1)
+    folders = [f"{root}/c{i % 3}/{i}/profiles" for i in range(40)]
+    batches = list(listing._listed(iter([pa.RecordBatch.from_pydict({"path": folders})])))
+    assert [b.num_rows for b in batches] == [40]
+    files = spark.range(20_000).selectExpr("concat('/', id) AS path", "10L AS length")
+    packs = listing.packed(files).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in packs) == 20_000 and 16 <= len(packs) <= 40
+
+
 def test_wanted_files_are_not_listed(spark, blobs, decode_json):
     schema = staged_schema("bgc", ["PRES"])
     names = [(f"file:{blobs}/dac/{i}/{i}_Sprof.nc",) for i in (0, 1, 3, 77)] + [(f"{blobs}/dac",)]
