@@ -11,7 +11,7 @@ import math
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +23,7 @@ from profilelake.sources.stored import replace_folder
 
 DEFAULT_FILE_BYTES = 300 * 1024 * 1024
 LEAST_RANGE_BYTES = 256 * 1024
+LEVELS_TOGETHER = 1024  # levels of a profile that stay in one file
 
 # Appended to a clustering key, so that one hot key can still be split.
 _ROW_IDENTITY = ("PLATFORM_NUMBER", "CYCLE_NUMBER", "N_PROF", "N_LEVELS")
@@ -124,6 +125,14 @@ def range_count(rows: DataFrame, file_bytes: int | None) -> int:
     return max(wanted, min(threads, total // LEAST_RANGE_BYTES))
 
 
+def _profile_parts(levels: DataFrame) -> list[Column]:
+    """What tells profiles and long stretches of their levels apart; nothing if columns lack."""
+    if not set(_ROW_IDENTITY) <= set(levels.columns):
+        return []
+    *profile, level = _ROW_IDENTITY
+    return [*map(F.col, profile), F.floor(F.col(level) / LEVELS_TOGETHER)]
+
+
 def write_levels(
     levels: DataFrame,
     root: str,
@@ -142,7 +151,8 @@ def write_levels(
     default each task writes its own file and nothing is shuffled, since Spark
     already packs and splits its input evenly. ``target_file_bytes`` (such as
     ``DEFAULT_FILE_BYTES``) deals rows evenly to as many files as the input's bytes
-    ask for. ``cluster_by`` sorts the dataset by ranges of those columns, which
+    ask for, by a hash of their profile: dealt in turn, they would be sorted first, and
+    neighbours that pack well would part. ``cluster_by`` sorts the dataset by ranges of those columns, which
     lets later reads skip row groups; the number of ranges is ``ranges``, or
     follows from the input's bytes. ``clustered`` rows are in ranges already and
     are only sorted.
@@ -156,7 +166,8 @@ def write_levels(
             levels = levels.repartitionByRange(number, *keys)
         levels = levels.sortWithinPartitions(*keys)
     elif target_file_bytes is not None:
-        levels = levels.repartition(ranges or range_count(levels, target_file_bytes))
+        number = ranges or range_count(levels, target_file_bytes)
+        levels = levels.repartition(number, *_profile_parts(levels))
     replaced = mode == "overwrite"
     target = f"{path}-{uuid.uuid4().hex}" if replaced else path
     writer = levels.write.mode(mode)

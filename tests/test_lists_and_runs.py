@@ -19,6 +19,7 @@ from profilelake.operators.filters import filter_rows
 from profilelake.plans import convert_mirror, convert_profiles
 from profilelake.schema import staged_schema
 from profilelake.sources import read_levels, read_metadata, write_levels
+from profilelake.sources import tables
 from profilelake.sources.tables import range_count
 
 NAN = float("nan")
@@ -242,3 +243,14 @@ def test_views_cover_whole_tables(spark):
     events = spark.read.parquet(f"{SF_DIR}/events.parquet")
     held = V.parameters(spark, SF_DIR).selectExpr("sum(size(TEMP))").first()[0]
     assert held == events.count()
+
+
+def test_written_rows_are_dealt_by_profile(spark, tmp_path):
+    """Dealt by a hash, not in turn: nothing is sorted and the levels of a profile stay together."""
+    rows = spark.range(40_000).selectExpr(
+        "id % 400 AS N_PROF", "id DIV 400 AS N_LEVELS", "1 AS PLATFORM_NUMBER", "2 AS CYCLE_NUMBER", "rand() AS TEMP"
+    )
+    out = tables.write_levels(rows, str(tmp_path), "phy", target_file_bytes=1 << 20, ranges=5)
+    found = spark.read.parquet(out).selectExpr("N_PROF", "_metadata.file_path AS file")
+    assert found.count() == 40_000 and found.select("file").distinct().count() == 5
+    assert found.distinct().count() == 400
