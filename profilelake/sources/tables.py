@@ -23,6 +23,8 @@ from profilelake.sources.stored import replace_folder
 
 DEFAULT_FILE_BYTES = 300 * 1024 * 1024
 LEAST_RANGE_BYTES = 256 * 1024
+# Packed columns of a few numbers may become rows of forty times their size, which a task sorts.
+SORTED_BYTES = 8 * 1024 * 1024
 LEVELS_TOGETHER = 1024  # levels of a profile that stay in one file
 
 # Appended to a clustering key, so that one hot key can still be split.
@@ -111,14 +113,15 @@ def _input_bytes(rows: DataFrame) -> int | None:
 def range_count(rows: DataFrame, file_bytes: int | None) -> int:
     """Ranges that give files near a size, from the bytes of the files that rows come from.
 
-    Without a wanted size, small inputs are cut into as many ranges as there are threads,
+    Without a wanted size, a range holds ``SORTED_BYTES``, so that what a task sorts does
+    not grow with the input; small inputs are cut into as many ranges as there are threads,
     of ``LEAST_RANGE_BYTES`` at least, so that no single task sorts and writes them all.
     Rows whose origin has no known size are counted, at eight bytes a value.
     """
     total = _input_bytes(rows)
     if total is None:
         total = 8 * len(rows.columns) * rows.count()
-    wanted = max(1, math.ceil(total / (file_bytes or DEFAULT_FILE_BYTES)))
+    wanted = max(1, math.ceil(total / (file_bytes or SORTED_BYTES)))
     if file_bytes is not None:
         return wanted
     threads = rows.sparkSession.sparkContext.defaultParallelism

@@ -254,3 +254,11 @@ def test_written_rows_are_dealt_by_profile(spark, tmp_path):
     found = spark.read.parquet(out).selectExpr("N_PROF", "_metadata.file_path AS file")
     assert found.count() == 40_000 and found.select("file").distinct().count() == 5
     assert found.distinct().count() == 400
+
+
+def test_sorted_ranges_do_not_grow_with_the_input(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "SORTED_BYTES", 4096)
+    spark.range(300_000).selectExpr("rand() AS LATITUDE").write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    total = tables._input_bytes(rows)
+    assert range_count(rows, None) == -(-total // 4096) > 8
