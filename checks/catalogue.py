@@ -20,7 +20,7 @@ from profilelake.schema import level_schema, load_schema, save_schema, staged_sc
 from profilelake.sources.files import decode_files, file_inventory, staged_and_failed
 from profilelake.sources.index import index_rejects as read_rejects
 from profilelake.sources.stored import stored
-from profilelake.sources.tables import read_staged
+from profilelake.sources.tables import range_count, read_staged
 from profilelake.sources.versions import add_batch, read_version
 from profilelake.sources import (
     read_index,
@@ -392,11 +392,13 @@ def two_schemas(spark, sf_dir):
 
 def stream_convert(spark, sf_dir):
     """Staged files converted as a stream in several batches, then run again with nothing new."""
-    root = V.scratch(spark)
-    V.staged(spark, sf_dir).repartition(3, "source_file").write.parquet(f"{root}/staged")
+    root, rows = V.scratch(spark), V.staged(spark, sf_dir)
+    # More files for more data, two thirds of them in the first batch.
+    files = max(3, range_count(rows, None))
+    rows.repartition(files, "source_file").write.parquet(f"{root}/staged")
     for _ in range(2):
         convert_arriving(
-            spark, f"{root}/staged", root, "phy", f"{root}/checkpoint", files_per_batch=2
+            spark, f"{root}/staged", root, "phy", f"{root}/checkpoint", files_per_batch=-(-2 * files // 3)
         ).awaitTermination()
     return V.plain(read_version(spark, root, "phy", list(_WRITTEN)))
 

@@ -71,3 +71,17 @@ def test_sketches_merge_within_their_bound(spark):
     with pytest.raises(ValueError):
         sketches.sketched_limits(kept, "a", (0.5,), ("x", "y"))
     kept.unpersist()
+
+
+def test_streamed_files_grow_with_the_input(spark, tmp_path, monkeypatch):
+    """More staged files for more input, still two batches."""
+    from checks import catalogue
+    from conftest import SF_DIR
+    from profilelake.sources.versions import file_list, versions
+
+    monkeypatch.setattr(catalogue, "range_count", lambda rows, size: 9)
+    monkeypatch.setattr(catalogue.V, "scratch", lambda spark: str(tmp_path))
+    assert catalogue.stream_convert(spark, SF_DIR).count() > 0
+    staged = [f for f in (tmp_path / "staged").iterdir() if f.name.endswith(".parquet")]
+    assert len(staged) == 9 and len(versions(spark, str(tmp_path), "phy")) == 2
+    assert file_list(spark, str(tmp_path), "phy").select("batch").distinct().count() == 2
