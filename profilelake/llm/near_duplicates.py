@@ -280,9 +280,12 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _compared(pairs: DataFrame, hashed: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) that are similar, stored."""
-    left = hashed.select(F.col("node").alias("a"), F.col("elements").alias("left"))
-    right = hashed.select(F.col("node").alias("b"), F.col("elements").alias("right"))
-    met = pairs.distinct().join(left, "a").join(right, "b")
+    pairs = staged(pairs.distinct(), "pairs")
+    # Only the elements of nodes that are in a pair are shuffled.
+    some = may_hold(hashed, pairs.select(F.explode(F.array("a", "b")).alias("node")), "node")
+    left = some.select(F.col("node").alias("a"), F.col("elements").alias("left"))
+    right = some.select(F.col("node").alias("b"), F.col("elements").alias("right"))
+    met = pairs.join(left, "a").join(right, "b")
     return staged(met.filter(similarity_udf("left", "right") >= similarity).select("a", "b"), "links")
 
 
@@ -323,7 +326,8 @@ def _able(members: DataFrame, classes: DataFrame, hashed: DataFrame, similarity:
     open_ = placed.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi"))
     open_ = staged(open_.filter("lo < hi").select("key"), "open-keys")
     held = staged(members.join(open_, "key"), "open-members")
-    nodes = hashed.join(held.select("node").distinct(), "node", "left_semi")
+    # A node too many makes the bound wider, never narrower.
+    nodes = may_hold(hashed, held, "node")
     met = nodes.select("node", F.explode("elements").alias("e")).groupBy("e").agg(
         F.count(F.lit(1)).alias("n"), F.min("node").alias("node")
     )
@@ -403,10 +407,10 @@ def _rarest(nodes: DataFrame, hashed: DataFrame, similarity: float) -> DataFrame
     all elements in one order, by how many of the nodes have them and then by value, the
     first ones up to one more than the part that may be missing have one in common.
     """
-    sets = hashed.join(nodes, "node", "left_semi").select("node", F.size("elements").alias("size"), "elements")
+    sets = may_hold(hashed, nodes, "node").join(nodes, "node", "left_semi").select("node", F.size("elements").alias("size"), "elements")
     met = sets.select("node", "size", F.explode("elements").alias("key"))
-    often = met.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = met.join(often, "key").groupBy("node", "size").agg(
+    often = met.withColumn("n", F.expr("count(1) OVER (PARTITION BY key)")).filter("n > 1")
+    shared = often.groupBy("node", "size").agg(
         F.sort_array(F.collect_list(F.struct("n", "key"))).alias("shared")
     )
     # Elements of one node only come first in the order, and meet nothing.
@@ -466,8 +470,9 @@ def duplicate_classes(documents: DataFrame, similarity: float = SIMILARITY) -> D
     near = may_hold(docs.filter("doc_id IS NOT NULL"), wanted)
     found = near.join(wanted, "doc_id").withColumn("words", words(F.col("text")))
     found = found.filter(_digest(F.col("words")) == F.col("digest"))
-    hashed = found.select("node", elements_udf(word_hashes(F.col("words"))).alias("elements"))
-    hashed = staged(hashed.dropDuplicates(["node"]), "shingled")
+    # Repeated rows of an id go while they are word hashes, which pack better than elements.
+    found = found.select("doc_id", "node", word_hashes(F.col("words")).alias("hashes")).dropDuplicates(["doc_id", "node"])
+    hashed = staged(found.select("node", elements_udf("hashes").alias("elements")), "shingled")
     classes = linked(members, classes.drop("digest"), hashed, similarity)
     smallest = classes.groupBy("class").agg(F.min("first").alias("class_id"))
     named = classes.join(smallest, "class").select("node", "class_id")

@@ -139,6 +139,20 @@ def test_similar_members_of_one_large_bucket_only_are_linked(spark):
     assert got == {i: i for i in range(80)} | {80: 80, 81: 80, 82: 82, 83: 82}
 
 
+def test_only_elements_of_nodes_in_pairs_are_shuffled(spark, monkeypatch):
+    hashed = spark.createDataFrame([(i, [i, i + 1]) for i in range(1000)], "node bigint, elements array<bigint>")
+    pairs = spark.createDataFrame([(1, 2), (1, 2), (5, 9)], "a bigint, b bigint")
+    passed, may_hold = [], nd.may_hold
+
+    def counted(*args):
+        passed.append(may_hold(*args))
+        return passed[-1]
+
+    monkeypatch.setattr(nd, "may_hold", counted)
+    assert [tuple(r) for r in nd._compared(pairs, hashed, 0.3).collect()] == [(1, 2)]
+    assert [p.count() for p in passed] == [4]
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (3, 4), (9, 8), (8, 7), (20, 21), (5, 4)]
     got = dict(nd.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect())
