@@ -2,8 +2,8 @@
 
 Documents are encoded once, packed and cut into sequences: each partition of the scan
 is one stream of documents, an end id after each, so only a stream's last sequence is
-short. The sequences are stored, compressed, in the shared folder, numbered by where
-they were cut; how many each partition has is all that comes to the driver. A keyed
+short. The sequences are stored in the shared folder, many compressed together, numbered by
+where they were cut; how many each partition has is all that comes to the driver. A keyed
 Feistel network permutes the numbers of all sequences; numbers that leave the range
 walk on along their cycle until they are back in it, so every sequence gets one global
 slot and every slot one sequence. Slots are cut into shards, and each task gets a range
@@ -35,6 +35,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from profilelake.llm import files
 from profilelake.llm.common import scratch, staged, texts
@@ -152,7 +153,7 @@ def _cut(ids: Ids, sequence: int):
         for pieces, data in _streamed(batches, ids, sequence):
             held = [dict(zip(("doc_id", "at", "start", "n"), x)) for x in pieces]
             n = sum(x[3] for x in pieces)
-            rows.append((p, k, pieces[0][0], pieces[0][2], n, held, _packer().compress(data)))
+            rows.append((p, k, pieces[0][0], pieces[0][2], n, held, data))
             k += 1
             if len(rows) == 512:
                 yield batch()
@@ -170,8 +171,8 @@ def cut_sequences(
     spark = documents.sparkSession
     found = texts(documents).mapInArrow(_cut(ids, sequence), CUT)
     path = path or scratch(spark, "sequences")
-    # Ids are compressed already.
-    found.write.option("compression", "none").parquet(path)
+    # Pages hold many sequences, so they pack better than each alone.
+    found.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(CUT).parquet(path)
 
 
@@ -207,6 +208,12 @@ def shard_path(folder: str, shard: int) -> str:
     return f"{folder}/shard-{shard:08d}.bin"
 
 
+@F.arrow_udf(T.BinaryType())
+def packed(data: pa.Array) -> pa.Array:
+    """Each sequence compressed, for the shuffle that deals them out one by one."""
+    return pa.array([_packer().compress(x.as_buffer()) for x in data], pa.binary())
+
+
 def _writer(folder: str, count: int, stride: int, shard_slots: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (
@@ -251,7 +258,7 @@ def write_shards(
     tasks = max(1, min(shards, int(cut.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     per_task = max(1, -(-shards // tasks))
     ranged = (
-        found.select("slot", "doc_id", "start", "n", "data")
+        found.select("slot", "doc_id", "start", "n", packed("data").alias("data"))
         .repartitionById(
             max(1, -(-shards // per_task)),
             F.floor(F.col("slot") / (shard_slots * per_task)).cast("int"),

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+import zstandard
 
 from conftest import SF_DIR
 from llm_cases import no_docs, odd_docs, texts  # noqa: F401
@@ -50,6 +51,20 @@ def test_query(spark, texts):
     assert got(rows) == layout((r.doc_id, r.text) for r in stored.collect())
 
 
+def test_sequences_are_stored_in_less_than_each_alone(spark, texts, tmp_path):
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").coalesce(1)
+    cut = shards.cut_sequences(docs, RANKS, 100, str(tmp_path / "cut"))
+    stored = sum(f.stat().st_size for f in (tmp_path / "cut").glob("*.parquet"))
+    alone = [len(zstandard.compress(np.array(ids, "<u2").tobytes())) for *_, ids in layout_ids(texts, 100)]
+    assert cut.count() == len(alone) and stored < sum(alone)
+
+
+def layout_ids(texts, size):
+    """The ids of every sequence of one stream."""
+    stream = [x for text in texts.values() for x in encoded(text)]
+    return [(k, stream[k : k + size]) for k in range(0, len(stream), size)]
+
+
 def test_decoding_gives_the_texts(spark, texts, tmp_path):
     """All ids of a document, gathered from the records it lies in, decode to its text."""
     docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(7)
