@@ -53,22 +53,30 @@ codecs.register_error("one-byte", _one_byte)
 
 
 class _Words(dict):
-    """What a word is encoded to, kept up to a number of bytes; long words are not kept."""
+    """What a word is encoded to, kept up to a number of bytes; long words are not kept.
+
+    Once half of the bytes are filled, the words held become the older half in place of
+    those that were; a word met again comes back from there, so frequent words stay.
+    """
 
     def __init__(self, coder: Pieces):
         self.coder = coder
         self.held = 0
+        self.older: dict = {}
 
     def coded(self, word: str):
         return array("i", self.coder.to_ids(self.coder.segment(word))).tobytes()
 
     def __missing__(self, word: str):
-        found = self.coded(word)
+        found = self.older.pop(word, None)
+        if found is None:
+            found = self.coded(word)
         if len(word) <= 64:
             self.held += ENTRY_BYTES + 12 * len(word)
-            if self.held > KEPT_BYTES:
+            if self.held > KEPT_BYTES // 2:
+                self.older = dict(self)
                 self.clear()
-                self.held = ENTRY_BYTES
+                self.held = ENTRY_BYTES + 12 * len(word)
             self[word] = found
         return found
 

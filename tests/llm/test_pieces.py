@@ -1,5 +1,6 @@
 """Encoding and decoding against the sentencepiece library."""
 
+import collections
 import hashlib
 import random
 
@@ -87,3 +88,18 @@ def test_words_kept_are_bounded(monkeypatch, library):
         coder.digests(f"word{i} " + "x" * 70)
         assert len(coder.digested) <= 40_000 / pieces.ENTRY_BYTES
     assert coder.digests("word1 again")[0] == len(library.encode("word1 again"))
+
+
+def test_frequent_words_stay_known(monkeypatch):
+    monkeypatch.setattr(pieces, "KEPT_BYTES", 40_000)
+    known, times = pieces._Words(None), collections.Counter()
+
+    def coded(word):
+        times[word] += 1
+        return word.encode()
+
+    monkeypatch.setattr(known, "coded", coded)
+    for k in range(2000):
+        assert known["often"] == b"often" and known[f"rare{k}"] == f"rare{k}".encode()
+        assert known.held <= 20_000
+    assert times["often"] == 1 and len(known) + len(known.older) < 200
