@@ -17,12 +17,14 @@ need not meet again. Shingles that no other member of an open bucket has bound w
 member can share; where the bound lies below the wanted similarity for every size in
 the bucket, the member leaves it, which loses nothing. What is then left of a bucket
 outside its largest class is compared with the whole bucket if it is little (``FEW``)
-or the bucket is small (``SMALL``). The members of buckets with much left are dealt
-anew, by the rarest of their shingles: of any two that are similar, some of these are the
-same, so none that are go unseen. The same steps follow there. What is left of those
-buckets is compared in rounds, ``CENTRES`` members with all, until every two of different
-classes have met. So the number of comparisons grows with the members, not with their
-square, unless many that are not similar share their rarest shingles. Similarities are
+or the bucket is small (``SMALL``). The members of buckets with much left are put in
+groups, and each is written as its differences from a core, the shingles that most of
+its group have. Two are similar exactly if they have enough differences in common
+(``_apart``), so near copies with edits of their own, which share nearly all shingles but
+few differences, do not meet; those that may have enough in common by their rarest
+differences are compared. No pair that is similar goes unseen among them. So the number of
+comparisons grows with the members, not with their square, unless many that are not
+similar have many differences in common. Similarities are
 exact, over the shingles.
 
 Two texts with a similarity of 0.8 share no band in 3 of 100,000 cases and go unseen;
@@ -55,8 +57,9 @@ BANDS, ROWS = 20, 4
 COORDINATES = BANDS * ROWS
 SMALL = 64  # members of a bucket that meet all with all
 FEW = 32  # members outside a bucket's largest class that meet the whole bucket
-LEVELS = 2  # how often members are dealt, by bands and then by rarest shingles, before they meet all with all
-CENTRES = 256  # members of a bucket, about, that meet all others in one of the last rounds
+LEVELS = 2  # cores sought in a group of members of buckets with much left
+ROUND = 4_000_000  # pairs compared at once, in the last step
+SLACK = 1e-6  # for sums of shares of whole numbers
 CHUNK_WORDS = 200_000  # words whose darts are in memory at once
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -373,70 +376,120 @@ def _within(open_: DataFrame) -> DataFrame:
     return met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
 
 
-def _rounds(members: DataFrame, classes: DataFrame, hashed: DataFrame, similarity: float) -> DataFrame:
-    """The classes once every two members of a bucket have met or are of one class.
+def _groups(members: DataFrame) -> DataFrame:
+    """(node, group): members that share buckets, or share them with common company, are one group."""
+    least = staged(members.groupBy("key").agg(F.min("node").alias("b")), "firsts")
+    edges = members.join(least, "key").select(F.col("node").alias("a"), "b").distinct()
+    return components(edges).withColumnRenamed("label", "group")
 
-    In each round about ``CENTRES`` members of a bucket, all of a smaller one, meet the
-    others and leave; a hash picks them.
+
+def _views(groups: DataFrame, hashed: DataFrame, similarity: float) -> DataFrame:
+    """(group, part, label, node, delta, apart): what sets the members of a group apart, stored.
+
+    ``apart`` are the elements that differ from a core, the elements that most of a part of
+    the group have. A core is sought ``LEVELS`` times, each time among the members that none
+    has fitted yet; the last part has no core. Parts meet in part -1, also without a core.
     """
-    number = 0
-    while True:
-        placed = members.join(classes, "node")
-        buckets = placed.groupBy("key").agg(
-            F.min("class").alias("lo"), F.max("class").alias("hi"), F.count(F.lit(1)).alias("n")
-        )
-        buckets = staged(buckets.filter("lo < hi").select("key", "n"), "buckets")
-        if buckets.isEmpty():
-            return classes
-        share = F.shiftrightunsigned(F.xxhash64("node", "key", F.lit(number)), 11) * 2.0**-53
-        open_ = staged(placed.join(buckets, "key").withColumn("centre", share * F.col("n") < CENTRES), "open")
-        centres = open_.filter("centre").select("key", F.col("node").alias("x"), F.col("class").alias("x_class"))
-        met = open_.join(centres, "key").filter(
-            (F.col("x_class") != F.col("class")) & (~F.col("centre") | (F.col("x") < F.col("node")))
-        )
-        pairs = met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
-        classes = _merged(classes, _compared(pairs, hashed, similarity))
-        members = open_.filter("NOT centre").select("key", "node")
-        number += 1
+    sets = may_hold(hashed, groups, "node").join(groups, "node").select("group", "node", "elements")
+    todo, views = staged(sets, "sets"), []
+    none = F.array().cast("array<bigint>")
+    for label in range(LEVELS):
+        members = todo.groupBy("group").agg(F.count(F.lit(1)).alias("n"))
+        often = todo.select("group", F.explode("elements").alias("e")).groupBy("group", "e").agg(F.count(F.lit(1)).alias("f"))
+        core = often.join(members, "group").filter("2 * f > n").groupBy("group").agg(F.collect_list("e").alias("core"))
+        near = todo.join(staged(core, "cores"), "group", "left").withColumn("core", F.coalesce("core", none))
+        apart = F.concat(F.array_except("elements", "core"), F.array_except("core", "elements"))
+        near = staged(near.select("group", "node", "elements", apart.alias("apart")), "apart")
+        fits = F.size("apart") < F.size("elements")
+        views.append(near.filter(fits).withColumn("label", F.lit(label)))
+        todo = near.filter(~fits).drop("apart")
+    views.append(todo.withColumn("apart", F.col("elements")).withColumn("label", F.lit(LEVELS)))
+    alone = views[0]
+    for view in views[1:]:
+        alone = alone.unionByName(view)
+    several = alone.groupBy("group").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    several = staged(several.filter("lo < hi").select("group"), "mixed")
+    across = alone.join(several, "group", "left_semi").withColumn("apart", F.col("elements"))
+    both = alone.withColumn("part", F.col("label")).unionByName(across.withColumn("part", F.lit(-1)))
+    delta = F.size("apart") - F.size("elements") * ((1 - similarity) / (1 + similarity))
+    return staged(both.select("group", "part", "label", "node", delta.alias("delta"), "apart"), "views")
+
+
+def _nearest(views: DataFrame, classes: DataFrame) -> DataFrame:
+    """The member nearest to its part's core, beside all whose differences are few enough for it."""
+    placed = views.filter("part >= 0").select("group", "part", "node", "delta").join(classes.select("node", "class"), "node")
+    least = placed.groupBy("group", "part").agg(F.min(F.struct("delta", "node", "class")).alias("m"))
+    met = placed.join(staged(least, "nearest"), ["group", "part"])
+    met = met.filter((F.col("class") != F.col("m.class")) & (F.col("delta") + F.col("m.delta") <= SLACK))
+    return met.select(F.least("node", "m.node").alias("a"), F.greatest("node", "m.node").alias("b"))
+
+
+def _differing(views: DataFrame, classes: DataFrame) -> DataFrame:
+    """All pairs of different classes of a part that may have enough differences in common."""
+    at = ["group", "part"]
+    of = classes.select("node", "class")
+    placed = views.select(*at, "node", "delta").join(of, "node")
+    least = placed.groupBy(at).agg(F.min(F.struct("delta", "class")).alias("m"))
+    outer = placed.join(staged(least, "least"), at).filter("class != m.class")
+    outer = outer.groupBy(at).agg(F.first("m").alias("m"), F.min("delta").alias("outer"))
+    open_ = views.join(of, "node").join(staged(outer, "outer"), at)
+    partner = F.when(F.col("class") == F.col("m.class"), F.col("outer")).otherwise(F.col("m.delta"))
+    open_ = open_.select(*at, "label", "node", "class", "delta", partner.alias("partner"), F.explode("apart").alias("e"))
+    # What only members of one class have is in common with no other class.
+    one = f"OVER (PARTITION BY {', '.join(at)}, e)"
+    figures = {"n": "count(1)", "lo": "min(class)", "hi": "max(class)"}
+    met = open_.select("*", *(F.expr(f"{f} {one}").alias(c) for c, f in figures.items())).filter("lo < hi")
+    rare = met.groupBy(*at, "label", "node", "class", "delta", "partner").agg(
+        F.sort_array(F.collect_list(F.struct("n", "e"))).alias("rare")
+    )
+    # The rarest that two have in common comes before all others that they have in common.
+    first = rare.select("*", F.posexplode("rare").alias("place", "s")).withColumn("rest", F.size("rare") - F.col("place"))
+    first = first.filter(2 * F.col("rest") >= F.col("delta") + F.col("partner") - SLACK)
+    first = staged(first.select(*at, F.col("s.e").alias("e"), "label", "node", "class", "delta", "rest"), "differences")
+    other = first.select(*at, "e", *(F.col(c).alias(f"{c}_2") for c in ("label", "node", "class", "delta", "rest")))
+    pairs = first.join(other, [*at, "e"]).filter(
+        (F.col("node") < F.col("node_2"))
+        & (F.col("class") != F.col("class_2"))
+        & ((F.col("part") >= 0) | (F.col("label") != F.col("label_2")))
+        & (2 * F.least("rest", "rest_2") >= F.col("delta") + F.col("delta_2") - SLACK)
+    )
+    return pairs.select(F.col("node").alias("a"), F.col("node_2").alias("b"))
 
 
-def _rarest(nodes: DataFrame, hashed: DataFrame, similarity: float) -> DataFrame:
-    """(node, key) for the rarest elements of each node, which two similar nodes cannot all differ in.
+def _apart(members: DataFrame, classes: DataFrame, hashed: DataFrame, similarity: float) -> DataFrame:
+    """The classes once all that are similar among the members of each bucket are joined.
 
-    Sets with the wanted similarity share a part ``similarity`` of each at least. So with
-    all elements in one order, by how many of the nodes have them and then by value, the
-    first ones up to one more than the part that may be missing have one in common.
+    Two sets are similar if no more than a part of their sizes differs, (1 - s) / (1 + s) of
+    their sum. Where both are written as differences from the same core, what differs between
+    them is the differences of both without, twice, those in common. So with ``delta``, the
+    differences less that part of the size, two are similar exactly if the sum of their deltas
+    is at most twice the number of differences that they have in common: none need be in
+    common up to a sum of 0, and such two are both similar to the member with the least delta.
     """
-    sets = may_hold(hashed, nodes, "node").join(nodes, "node", "left_semi").select("node", F.size("elements").alias("size"), "elements")
-    met = sets.select("node", "size", F.explode("elements").alias("key"))
-    often = met.withColumn("n", F.expr("count(1) OVER (PARTITION BY key)")).filter("n > 1")
-    shared = often.groupBy("node", "size").agg(
-        F.sort_array(F.collect_list(F.struct("n", "key"))).alias("shared")
-    )
-    # Elements of one node only come first in the order, and meet nothing.
-    wanted = F.col("size") - F.ceil(F.col("size") * similarity - 1e-9) + 1 - (F.col("size") - F.size("shared"))
-    first = shared.filter(wanted > 0).select("node", F.explode(F.slice("shared", F.lit(1), wanted.cast("int"))).alias("s"))
-    return staged(first.select("node", "s.key"), "members")
+    views = _views(staged(_groups(members), "groups"), hashed, similarity)
+    classes = _merged(classes, _compared(_nearest(views, classes), hashed, similarity))
+    pairs = staged(_differing(views, classes).distinct(), "candidate-pairs")
+    rounds = max(1, math.ceil(pairs.count() / ROUND))
+    for number in range(rounds):
+        a, b = (classes.select(F.col("node").alias(c), F.col("class").alias(f"class_{c}")) for c in "ab")
+        now = pairs.filter(F.pmod(F.xxhash64("a", "b"), F.lit(rounds)) == number)
+        now = now.join(a, "a").join(b, "b").filter("class_a != class_b").select("a", "b")
+        classes = _merged(classes, _compared(now, hashed, similarity))
+    return classes
 
 
 def linked(members: DataFrame, classes: DataFrame, hashed: DataFrame, similarity: float) -> DataFrame:
     """(node, first, weight, class) of all candidates, from their memberships (node, key)."""
     members = members.select("node", "key")
-    for level in range(LEVELS):
-        met = _star(members, classes)
-        pairs = met.select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b"))
-        classes = _merged(classes, _compared(pairs, hashed, similarity))
-        if level == 0:
-            members = _able(members, classes, hashed, similarity)
-        open_ = _left_over(members, classes)
-        little = (F.col("n") <= SMALL) | (F.col("others") <= FEW)
-        classes = _merged(classes, _compared(_within(open_.filter(little)), hashed, similarity))
-        rest = open_.filter(~little).select("node", "key")
-        if rest.isEmpty():
-            return classes
-        if level < LEVELS - 1:
-            members = _rarest(staged(rest.select("node").distinct(), "rest"), hashed, similarity)
-    return _rounds(rest, classes, hashed, similarity)
+    met = _star(members, classes)
+    pairs = met.select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b"))
+    classes = _merged(classes, _compared(pairs, hashed, similarity))
+    members = _able(members, classes, hashed, similarity)
+    open_ = _left_over(members, classes)
+    little = (F.col("n") <= SMALL) | (F.col("others") <= FEW)
+    classes = _merged(classes, _compared(_within(open_.filter(little)), hashed, similarity))
+    rest = open_.filter(~little).select("node", "key")
+    return classes if rest.isEmpty() else _apart(rest, classes, hashed, similarity)
 
 
 def _digest(words: Column) -> Column:

@@ -126,6 +126,55 @@ def test_large_bucket_of_dissimilar_texts(spark, monkeypatch, levels):
     assert levels == 1 or sum(met) < 20 * len(texts)
 
 
+def test_copies_with_edits_of_their_own_do_not_all_meet(spark, monkeypatch):
+    """Copies about the wanted similarity: pairs compared grow with them, not with their square."""
+    rng = random.Random(4)
+    base = [f"w{k}" for k in range(150)]
+    texts = {}
+    for i in range(500):
+        words = list(base)
+        for _ in range(1 + i % 12):
+            words[rng.randrange(150)] = f"x{rng.randrange(10**6)}"
+        texts[i] = " ".join(words)
+    met, compared = [], nd._compared
+
+    def counted(pairs, *rest):
+        met.append(pairs.distinct().count())
+        return compared(pairs, *rest)
+
+    monkeypatch.setattr(nd, "_compared", counted)
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    assert dict(nd.duplicate_classes(df).collect()) == brute(texts)
+    assert sum(met) < 20 * len(texts)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_differences_from_cores_lose_no_link(spark, seed):
+    """One bucket with copies of several texts, edits that are alike, and texts unlike all."""
+    rng = random.Random(seed)
+    sets = {}
+    for family in range(3):
+        base = range(1000 * family, 1000 * family + rng.randrange(20, 60))
+        for _ in range((90, 30, 20)[family]):
+            kept = [e for e in base if rng.random() > 0.12]
+            own = [10**6 + rng.randrange((40, 10**6)[family % 2]) for _ in range(rng.randrange(6))]
+            sets[len(sets)] = sorted({*kept, *own})
+    for _ in range(15):
+        sets[len(sets)] = sorted({rng.randrange(3000) for _ in range(rng.randrange(1, 30))})
+    want = {i: i for i in sets}
+    for a in sets:
+        for b in range(a):
+            x, y = set(sets[a]), set(sets[b])
+            if len(x & y) >= 0.8 * len(x | y) - 1e-9:
+                low, high = sorted((want[a], want[b]))
+                want = {i: low if c == high else c for i, c in want.items()}
+    hashed = spark.createDataFrame(list(sets.items()), "node bigint, elements array<bigint>")
+    members = spark.createDataFrame([(i, 7) for i in sets], "node bigint, key bigint")
+    classes = spark.createDataFrame([(i, i, 1, i) for i in sets], "node bigint, first bigint, weight bigint, class bigint")
+    got = {r.node: r["class"] for r in nd._apart(members, classes, hashed, 0.8).collect()}
+    assert got == want and len(set(want.values())) > 20
+
+
 def test_similar_members_of_one_large_bucket_only_are_linked(spark):
     """Two similar members among many that are not, with no second bucket in common."""
     sets = {i: list(range(10 * i, 10 * i + 10)) + list(range(10 * (i + 1) % 800, 10 * (i + 1) % 800 + 10)) for i in range(80)}
