@@ -43,6 +43,7 @@ KEPT_BYTES = 96_000_000  # of encoded words that a Python worker remembers
 ENTRY_BYTES = 330  # of one, beside the characters of its word
 PAIRS_KEPT = 500_000  # pair answers that a Python worker remembers
 SLICE = 256  # texts of a batch that are Python strings at once
+_ONE = (1,)
 
 
 def _one_byte(error: UnicodeDecodeError) -> tuple[str, int]:
@@ -85,8 +86,22 @@ class _Digested(_Words):
     """(number of ids, the ids as decimals with a comma after each, the bytes they decode to)."""
 
     def coded(self, word: str) -> tuple[int, bytes, bytes]:
-        ids = self.coder.to_ids(self.coder.segment(word))
-        return len(ids), ("%d," * len(ids) % tuple(ids)).encode(), b"".join(map(self.coder.surface.__getitem__, ids))
+        counts, decimals, surfaces = zip(*map(self.coder.facts.__getitem__, self.coder.segment(word)))
+        return sum(counts), b"".join(decimals), b"".join(surfaces)
+
+
+class _Facts(dict):
+    """Of a piece what ``_Digested`` keeps of a word; only pieces of the vocabulary are kept."""
+
+    def __init__(self, coder: Pieces):
+        self.coder = coder
+
+    def __missing__(self, piece: str) -> tuple[int, bytes, bytes]:
+        ids = self.coder.to_ids([piece])
+        found = len(ids), ("%d," * len(ids) % tuple(ids)).encode(), b"".join(map(self.coder.surface.__getitem__, ids))
+        if piece in self.coder.ids:
+            self[piece] = found
+        return found
 
 
 class Pieces:
@@ -130,6 +145,7 @@ class Pieces:
         self.words = self._word_pattern()
         self.known = _Words(self)
         self.digested = _Digested(self)
+        self.facts = _Facts(self)
         self.fits: dict[str, dict[str, bool]] = {}
         self.pairs = 0
 
@@ -176,15 +192,16 @@ class Pieces:
         answer = self.fits.setdefault(left, {})[right] = self.compatible(left, right)
         return answer
 
-    def _matches(self, text: str, block: int) -> list[list[int]]:
+    def _matches(self, text: str, block: int) -> list:
         """For each position of a block the lengths of the pieces there, ascending."""
         start = block * BLOCK
         size = min(len(text) - start, BLOCK)
-        found: list[list[int]] = [[1] for _ in range(size)]
         if size == len(text):
+            found = [_ONE] * size
             for end, length in self.automaton.iter(text):
-                found[end - length + 1].append(length)
+                found[end - length + 1] += (length,)
             return found
+        found = [[1] for _ in range(size)]
         for end, length in self.automaton.iter(
             text, start, min(len(text), start + size + self.longest)
         ):
@@ -196,7 +213,7 @@ class Pieces:
         """The pieces of a text, found by backtracking."""
         size = len(text)
         number, block = 0, self._matches(text, 0)
-        failed = bytearray(size // 8 + 1)
+        failed = b""
         fits, out, none = self.fits, [], {}
         at, skip, last, turned = 0, 0, "", False
         while at < size:
@@ -215,7 +232,8 @@ class Pieces:
                     at, skip, last = end, 0, piece
                     break
             else:
-                turned = True
+                if not turned:
+                    turned, failed = True, bytearray(size // 8 + 1)
                 failed[at >> 3] |= 1 << (at & 7)
                 skip = len(out.pop())
                 at -= skip

@@ -103,3 +103,16 @@ def test_frequent_words_stay_known(monkeypatch):
         assert known["often"] == b"often" and known[f"rare{k}"] == f"rare{k}".encode()
         assert known.held <= 20_000
     assert times["often"] == 1 and len(known) + len(known.older) < 200
+
+
+def test_facts_of_pieces_are_kept(monkeypatch, library):
+    coder, asked = pieces.Pieces(MODEL), []
+    to_ids = coder.to_ids
+    monkeypatch.setattr(coder, "to_ids", lambda parts: asked.append(parts) or to_ids(parts))
+    for word in ("the", "there", "€", "漢the", "\x00the") * 3:
+        ids = library.encode(word)
+        assert coder.digested.coded(pieces.SPACE + word) == (
+            len(ids), ("%d," * len(ids) % tuple(ids)).encode(), (" " + word).encode()
+        )
+    assert all(len(parts) == 1 for parts in asked) and set(coder.facts) <= set(coder.ids)
+    assert sum(parts[0] in coder.ids for parts in asked) == len(coder.facts)
