@@ -1,12 +1,15 @@
 """Phrases whose words stand together more often than apart, counted by FM-indexes.
 
-Documents are cut into shards of a bounded number of bytes. A shard's texts become
-one sequence of word ids with a separator between pieces, and an FM-index over it
-(Burrows-Wheeler transforms of the sequence and of its reverse, suffixes sorted to
-the depth of the longest phrase). All phrases of one length are intervals of the
-index; one extension step turns the intervals of one length into those of the next,
-to the left by the transform of the sequence, to the right by that of the reverse,
-keeping both intervals in step. The counts of all shards are summed per phrase.
+Documents are cut into blocks of a bounded number of bytes, and a few blocks of a
+task make a shard. A block's texts become one sequence of word ids with a separator
+between pieces, and an FM-index over it (Burrows-Wheeler transforms of the sequence
+and of its reverse, suffixes sorted to the depth of the longest phrase). All phrases
+of one length are intervals of the index; one extension step turns the intervals of
+one length into those of the next, to the left by the transform of the sequence, to
+the right by that of the reverse, keeping both intervals in step. The blocks of a
+shard number their words alike, so words, pairs and what is known of them leave or
+reach a shard once, not once a block; an index holds one block, or as many words of
+several as are left of one. The counts of all shards are summed per phrase.
 
 A phrase can only reach the least count if its parts do, so the work is done in
 three rounds, each over sequences from which more has been cut out: words are
@@ -18,8 +21,8 @@ Products are decimals, so they are exact past 64 bits.
 Cases: null and empty texts have no words; a null language is ``und``; repeated rows
 count as often as they occur; ids are not used, and other columns are left aside,
 whatever their names; ties are ordered by count, then by the phrase's bytes; an empty
-table gives no row. Texts are used whole; one longer than a shard is a shard of its
-own parts, cut between pieces.
+table gives no row. Texts are used whole; one longer than a block is cut into parts
+between pieces.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,7 +42,9 @@ from profilelake.llm.common import staged
 LEAST = 100
 LONGEST = 5
 TOP = 2000
-SHARD_BYTES = 1 << 23  # of text in one index
+SHARD_BYTES = 1 << 23  # of text in one block
+BLOCKS = 4  # of a shard
+RUN_WORDS = 1 << 20  # of the runs of a shard that are indexed together
 SEQUENCE_BITS, LOCAL_BITS = 12, 27  # of the shards of a task, and of the words of a shard
 NO_LANG = "und"
 
@@ -83,10 +89,10 @@ def tokenised(texts: list[bytes]) -> tuple[np.ndarray, pa.Array]:
 
 
 def _parts(text: bytes, shard_bytes: int) -> Iterator[bytes]:
-    """A text in parts of about a shard at most, cut at marks."""
+    """A text in parts of about a block at most, cut at marks."""
     while len(text) > shard_bytes:
         at = max(text.rfind(m, 0, shard_bytes) for m in (bytes([m]) for m in MARKS))
-        if at < 0:  # one piece longer than a shard: it ends at the first mark after
+        if at < 0:  # one piece longer than a block: it ends at the first mark after
             found = [k for m in MARKS if (k := text.find(bytes([m]), shard_bytes)) >= 0]
             if not found:
                 break
@@ -96,6 +102,35 @@ def _parts(text: bytes, shard_bytes: int) -> Iterator[bytes]:
     yield text
 
 
+class _Numbering:
+    """The words of a shard by language, with their ids from 1 on and their counts."""
+
+    def __init__(self):
+        self.words: dict[str, pa.Array] = {}
+        self.local: dict[str, np.ndarray] = {}
+        self.counts: dict[str, np.ndarray] = {}
+        self.last = 0
+
+    def numbered(self, lang: str, texts: list[bytes]) -> np.ndarray:
+        """The sequence of one block's texts, in the ids of the shard."""
+        sequence, words = tokenised(texts)
+        known = self.words.get(lang, pa.array([], pa.string()))
+        local = self.local.get(lang, np.zeros(0, np.int32))
+        at = pc.index_in(words, value_set=known)
+        new = np.flatnonzero(at.is_null().to_numpy(zero_copy_only=False))
+        place = at.fill_null(0).to_numpy(zero_copy_only=False).copy()
+        place[new] = len(known) + np.arange(len(new))
+        fresh = np.arange(self.last + 1, self.last + 1 + len(new), dtype=np.int32)
+        self.last += len(new)
+        self.words[lang] = pa.concat_arrays([known, words.take(pa.array(new))])
+        self.local[lang] = local = np.concatenate([local, fresh])
+        counts = np.zeros(len(local), np.int64)
+        counts[: len(known)] = self.counts.get(lang, 0)
+        counts[place] += np.bincount(sequence, minlength=len(words) + 1)[1:]
+        self.counts[lang] = counts
+        return np.concatenate([np.zeros(1, np.int32), local[place]])[sequence]
+
+
 def _shards(shard_bytes: int):
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in SHARDS.split(", ")]
@@ -103,22 +138,21 @@ def _shards(shard_bytes: int):
         number = TaskContext.get().partitionId() << SEQUENCE_BITS
         end = number + (1 << SEQUENCE_BITS)
         held: dict[str, list[bytes]] = {}
-        size = 0
+        size = blocks = 0
+        numbering = _Numbering()
 
-        def written() -> Iterator[pa.RecordBatch]:
+        def block() -> pa.RecordBatch:
             if number == end:
                 raise ValueError(f"a task has more than {1 << SEQUENCE_BITS} shards: use smaller partitions")
-            sequences, last = [], 0
-            for lang, texts in held.items():
-                sequence, words = tokenised(texts)
-                counts = np.bincount(sequence, minlength=len(words) + 1)[1:]
-                local = np.arange(last + 1, last + 1 + len(words))
-                columns = [np.full(len(words), number), [lang] * len(words), words, local, counts, [None] * len(words)]
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
-                sequences.append(np.where(sequence > 0, sequence + last, 0).astype(np.int32))
-                last += len(words)
+            sequences = [numbering.numbered(lang, texts) for lang, texts in held.items()]
             columns = [[number], [None], [None], [None], [None], [np.concatenate(sequences).tobytes()]]
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
+            return pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
+
+        def words() -> Iterator[pa.RecordBatch]:
+            for lang, found in numbering.words.items():
+                n = len(found)
+                columns = [np.full(n, number), [lang] * n, found, numbering.local[lang], numbering.counts[lang], [None] * n]
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
 
         for batch in batches:
             for lang, text in zip(batch["lang"].to_pylist(), batch["text"]):
@@ -126,10 +160,14 @@ def _shards(shard_bytes: int):
                     held.setdefault(lang, []).append(part)
                     size += len(part) + 1
                     if size >= shard_bytes:
-                        yield from written()
-                        held, size, number = {}, 0, number + 1
+                        yield block()
+                        held, size, blocks = {}, 0, blocks + 1
+                        if blocks == BLOCKS:
+                            yield from words()
+                            numbering, blocks, number = _Numbering(), 0, number + 1
         if held:
-            yield from written()
+            yield block()
+        yield from words()
 
     return shards
 
@@ -255,32 +293,64 @@ def _closed_up(sequence: np.ndarray) -> np.ndarray:
     return sequence[keep]
 
 
-def _symbols(sequence: bytes, local: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _symbols(sequence: bytes | pa.Buffer, local: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(sequence over the frequent words only, numbered in order of their ids; the ids from 1 on)."""
     raw = np.frombuffer(sequence, np.int32)
     order = np.argsort(ids)
-    names = np.zeros(int(raw.max(initial=0)) + 1, np.int32)
+    names = np.zeros(int(max(raw.max(initial=0), local.max(initial=0))) + 1, np.int32)
     names[local[order]] = np.arange(1, len(ids) + 1)
     return names[raw], np.concatenate([[0], ids[order]])
 
 
+def _summed(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the distinct keys, the sum of each)."""
+    if not len(key):
+        return key, n
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return key[at], np.add.reduceat(n[order], at)
+
+
 def _pairs(left: pa.Table, right: pa.Table) -> pa.Table:
     names = [c.split()[0] for c in PAIRS.split(", ")]
     empty = pa.table({c: pa.array([], pa.int64()) for c in names})
     if not left.num_rows or not right.num_rows:
         return empty
-    sequence, ids = _symbols(left["sequence"][0].as_py(), right["x"].to_numpy(), right["y"].to_numpy())
-    symbols = len(ids) - 1
-    closed = np.append(_closed_up(sequence), np.zeros(1, np.int32))
-    side = Side(closed, 2, symbols, extend=False)
-    owner, word, _, n, _ = _neighbours(
-        side.before, side.starts[1:-1], np.diff(side.starts)[1:], symbols
-    )
-    real = word > 0
-    columns = [np.full(int(real.sum()), left["shard"][0].as_py()), ids[word[real]], ids[owner[real] + 1], n[real]]
+    keys, counts = [], []
+    for raw in left["sequence"]:
+        sequence, ids = _symbols(raw.as_buffer(), right["x"].to_numpy(), right["y"].to_numpy())
+        symbols = len(ids) - 1
+        closed = np.append(_closed_up(sequence), np.zeros(1, np.int32))
+        side = Side(closed, 2, symbols, extend=False)
+        owner, word, _, n, _ = _neighbours(
+            side.before, side.starts[1:-1], np.diff(side.starts)[1:], symbols
+        )
+        real = word > 0
+        keys.append(word[real] * len(ids) + owner[real] + 1)
+        counts.append(n[real])
+    key, n = _summed(np.concatenate(keys), np.concatenate(counts))
+    columns = [np.full(len(key), left["shard"][0].as_py()), ids[key // len(ids)], ids[key % len(ids)], n]
     return pa.table({c: pa.array(v, pa.int64()) for c, v in zip(names, columns)})
 
 
+def _runs(sequence: np.ndarray, size: int, known: np.ndarray) -> np.ndarray:
+    """Where three words or more stand in a row all of whose pairs are known: these, and a zero before each run."""
+    sequence = _closed_up(sequence).astype(np.int64)
+    met = np.isin(sequence[:-1] * size + sequence[1:], known)
+    # A word stays if it lies in three words all of whose pairs are frequent.
+    triple = np.flatnonzero(met[:-1] & met[1:])
+    stays = np.zeros(len(sequence), bool)
+    for k in range(3):
+        stays[triple + k] = True
+    kept = np.flatnonzero(stays)
+    cut = np.ones(len(kept), bool)
+    cut[1:] = (np.diff(kept) > 1) | ~met[kept[1:] - 1]
+    runs = np.zeros(len(kept) + int(cut.sum()), np.int64)
+    runs[np.arange(len(kept)) + np.cumsum(cut)] = sequence[kept]
+    return runs
+
+
 def _longer(longest: int):
     def grams(left: pa.Table, right: pa.Table) -> pa.Table:
         schema = pa.schema([("gram", pa.list_(pa.int64())), ("n", pa.int64())])
@@ -288,31 +358,30 @@ def _longer(longest: int):
         x, y = right["x"].to_numpy(), right["y"].to_numpy()
         if not left.num_rows or not pair.any():
             return schema.empty_table()
-        sequence, ids = _symbols(left["sequence"][0].as_py(), x[~pair], y[~pair])
-        size = np.int64(len(ids))
-        known = np.searchsorted(ids, x[pair]) * size + np.searchsorted(ids, y[pair])
-        sequence = _closed_up(sequence)
-        met = np.isin(sequence[:-1] * size + sequence[1:], known)
-        # A word stays if it lies in three words all of whose pairs are frequent.
-        triple = np.flatnonzero(met[:-1] & met[1:])
-        stays = np.zeros(len(sequence), bool)
-        for k in range(3):
-            stays[triple + k] = True
-        kept = np.flatnonzero(stays)
-        if not len(kept):
-            return schema.empty_table()
-        cut = np.ones(len(kept), bool)
-        cut[1:] = (np.diff(kept) > 1) | ~met[kept[1:] - 1]
-        runs = np.zeros(len(kept) + int(cut.sum()), np.int64)
-        runs[np.arange(len(kept)) + np.cumsum(cut)] = sequence[kept]
-        names, runs = np.unique(runs, return_inverse=True)  # the first is the separator
-        parts = []
-        for found in phrases_of(runs, len(names) - 1, longest):
-            length = found.words.shape[1]
-            if length > 2 and len(found.n):
-                flat = pa.array(ids[names[found.words.ravel()]], pa.int64())
-                ends = pa.array(np.arange(0, (len(found.n) + 1) * length, length), pa.int32())
-                parts.append(pa.table([pa.ListArray.from_arrays(ends, flat), pa.array(found.n, pa.int64())], schema=schema))
+        held, parts = [], []
+
+        def indexed() -> None:
+            names, runs = np.unique(np.concatenate(held), return_inverse=True)  # the first is the separator
+            held.clear()
+            for found in phrases_of(runs, len(names) - 1, longest):
+                length = found.words.shape[1]
+                if length > 2 and len(found.n):
+                    flat = pa.array(ids[names[found.words.ravel()]], pa.int64())
+                    ends = pa.array(np.arange(0, (len(found.n) + 1) * length, length), pa.int32())
+                    parts.append(pa.table([pa.ListArray.from_arrays(ends, flat), pa.array(found.n, pa.int64())], schema=schema))
+
+        known = None
+        for raw in left["sequence"]:
+            sequence, ids = _symbols(raw.as_buffer(), x[~pair], y[~pair])
+            if known is None:
+                known = np.searchsorted(ids, x[pair]) * np.int64(len(ids)) + np.searchsorted(ids, y[pair])
+            runs = _runs(sequence, len(ids), known)
+            if len(runs):
+                held.append(runs)
+            if sum(map(len, held)) >= RUN_WORDS:
+                indexed()
+        if held:
+            indexed()
         return pa.concat_tables(parts) if parts else schema.empty_table()
 
     return grams

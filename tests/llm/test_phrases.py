@@ -6,6 +6,7 @@ import re
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from compare import connect, duck_rows, spark_rows
@@ -101,6 +102,38 @@ def test_index_counts(seed):
             assert dict(zip(map(tuple, found.words.tolist()), found.n.tolist())) == want
 
 
+def test_blocks_of_a_shard_share_their_words(spark):
+    docs = noisy(2, 300, 40)
+    df = spark.createDataFrame(docs, "lang string, text string").na.fill("und", ["lang"]).coalesce(1)
+    rows = df.mapInArrow(phrases._shards(1000), phrases.SHARDS).collect()
+    words = [r for r in rows if r.word is not None]
+    blocks = [r for r in rows if r.sequence is not None]
+    shards = {r.shard for r in rows}
+    assert len(blocks) > 2 * len(shards) > 4 and shards == {r.shard for r in blocks}
+    assert len({(r.shard, r.lang, r.word) for r in words}) == len({(r.shard, r.local) for r in words}) == len(words)
+    spelled = {(r.shard, r.local): (r.lang, r.word) for r in words}
+    met = collections.Counter()
+    for r in blocks:
+        met.update((r.shard, *spelled[r.shard, i]) for i in np.frombuffer(r.sequence, np.int32).tolist() if i)
+    assert met == {(r.shard, r.lang, r.word): r.n for r in words}
+    want = collections.Counter((lang if lang is not None else "und", w) for lang, text in docs for p in pieces(text) for w in p)
+    found = collections.Counter()
+    for r in words:
+        found[r.lang, r.word] += r.n
+    assert found == want
+
+
+def test_a_pair_leaves_a_shard_once():
+    blocks = [np.array(b, np.int32).tobytes() for b in ([0, 1, 2, 1, 2], [0, 2, 1, 2, 3], [0, 3])]
+    left = pa.table({"shard": [7] * 3, "sequence": pa.array(blocks, pa.binary())})
+    words = {"shard": [7] * 3, "x": [1, 2, 3], "y": [30, 10, 20], "pair": [False] * 3}
+    rows = phrases._pairs(left, pa.table(words)).to_pylist()
+    assert {(r["a"], r["b"]): r["n"] for r in rows} == {(30, 10): 3, (10, 30): 2, (10, 20): 1} and len(rows) == 3
+    known = {"shard": [7] * 5, "x": [1, 2, 3, 30, 10], "y": [30, 10, 20, 10, 30], "pair": [False] * 3 + [True] * 2}
+    grams = phrases._longer(3)(left, pa.table(known)).to_pylist()
+    assert sorted((r["gram"], r["n"]) for r in grams) == [([10, 30, 10], 2), ([30, 10, 30], 1)]
+
+
 def test_query_against_plain_counting_and_sql(spark):
     docs = duckdb.sql(f"SELECT lang, text FROM '{SF_DIR}/documents.parquet'").fetchall()
     found = queries.op12_phrases(spark, SF_DIR)
