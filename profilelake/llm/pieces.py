@@ -6,7 +6,8 @@ merging the text:
 * an Aho-Corasick automaton over the pieces gives, for every position, the
   pieces that start there; the longest is tried first, then shorter ones;
 * a piece may follow another only if merging the two texts anew gives exactly
-  these two pieces (answers are kept per pair);
+  these two pieces (what may follow a piece is kept per longest piece there, which
+  settles what the shorter ones are);
 * where no piece fits, the last piece is taken back and its end position is
   struck from a bit field, so no position fails twice.
 
@@ -41,9 +42,8 @@ NO_TEXT = hashlib.sha256(b"").hexdigest()
 BLOCK = 4096  # characters whose matches are looked up at once
 KEPT_BYTES = 96_000_000  # of encoded words that a Python worker remembers
 ENTRY_BYTES = 330  # of one, beside the characters of its word
-PAIRS_KEPT = 500_000  # pair answers that a Python worker remembers
+PAIRS_KEPT = 500_000  # answers on what may follow a piece that a Python worker remembers
 SLICE = 256  # texts of a batch that are Python strings at once
-_ONE = (1,)
 
 
 def _one_byte(error: UnicodeDecodeError) -> tuple[str, int]:
@@ -146,8 +146,8 @@ class Pieces:
         self.known = _Words(self)
         self.digested = _Digested(self)
         self.facts = _Facts(self)
-        self.fits: dict[str, dict[str, bool]] = {}
-        self.pairs = 0
+        self.steps: dict[str, tuple[str, int, dict]] = {}
+        self.answers = 0
 
     def _word_pattern(self) -> re.Pattern:
         """Cuts a text only where no piece can lie across the cut.
@@ -184,60 +184,76 @@ class Pieces:
             return self.merge(right) == [right]
         return left + right not in self.ids and self.merge(left + right) == [left, right]
 
-    def _answer(self, left: str, right: str) -> bool:
-        if self.pairs >= PAIRS_KEPT:
-            self.fits.clear()
-            self.pairs = 0
-        self.pairs += 1
-        answer = self.fits.setdefault(left, {})[right] = self.compatible(left, right)
-        return answer
+    def _step(self, piece: str) -> tuple[str, int, dict]:
+        """(piece, its length, what may follow it per longest piece there, as far as known)."""
+        found = self.steps.get(piece)
+        if found is None:
+            found = self.steps[piece] = piece, len(piece), {}
+        return found
+
+    def _options(self, left: str, longest: str) -> tuple:
+        """The steps to all pieces that may follow, longest first."""
+        if self.answers >= PAIRS_KEPT:
+            for _, _, known in self.steps.values():
+                known.clear()
+            self.steps.clear()
+            self.answers = 0
+        pieces = (longest[:length] for length in range(len(longest), 0, -1))
+        options = tuple(
+            self._step(piece)
+            for piece in pieces
+            if (len(piece) == 1 or piece in self.ids) and self.compatible(left, piece)
+        )
+        self.answers += 1
+        self._step(left)[2][longest] = options
+        return options
 
-    def _matches(self, text: str, block: int) -> list:
-        """For each position of a block the lengths of the pieces there, ascending."""
+    def _longest(self, text: str, block: int) -> list[int]:
+        """For each position of a block the length of the longest piece there."""
         start = block * BLOCK
         size = min(len(text) - start, BLOCK)
+        found = [1] * size
         if size == len(text):
-            found = [_ONE] * size
-            for end, length in self.automaton.iter(text):
-                found[end - length + 1] += (length,)
+            for end, length in self.automaton.iter(text):  # of a start, the longest comes last
+                found[end - length + 1] = length
             return found
-        found = [[1] for _ in range(size)]
         for end, length in self.automaton.iter(
             text, start, min(len(text), start + size + self.longest)
         ):
             if end - length + 1 < start + size:
-                found[end - length + 1 - start].append(length)
+                found[end - length + 1 - start] = length
         return found
 
     def segment(self, text: str) -> list[str]:
         """The pieces of a text, found by backtracking."""
         size = len(text)
-        number, block = 0, self._matches(text, 0)
-        failed = b""
-        fits, out, none = self.fits, [], {}
-        at, skip, last, turned = 0, 0, "", False
+        number, block = 0, self._longest(text, 0)
+        failed = None
+        out, path, known = [], [], self._step("")[2]
+        at, skip = 0, 0
         while at < size:
             if at // BLOCK != number:
                 number = at // BLOCK
-                block = self._matches(text, number)
-            after = fits.get(last, none)
-            for length in reversed(block[at - number * BLOCK]):
+                block = self._longest(text, number)
+            longest = text[at : at + block[at - number * BLOCK]]
+            options = known.get(longest)
+            if options is None:
+                options = self._options(out[-1] if out else "", longest)
+            for piece, length, follows in options:
                 end = at + length
-                if turned and (length >= skip > 0 or failed[end >> 3] >> (end & 7) & 1):
+                if failed is not None and (length >= skip > 0 or failed[end >> 3] >> (end & 7) & 1):
                     continue
-                piece = text[at:end]
-                answer = after.get(piece)
-                if self._answer(last, piece) if answer is None else answer:
-                    out.append(piece)
-                    at, skip, last = end, 0, piece
-                    break
+                out.append(piece)
+                path.append(known)
+                at, skip, known = end, 0, follows
+                break
             else:
-                if not turned:
-                    turned, failed = True, bytearray(size // 8 + 1)
+                if failed is None:
+                    failed = bytearray(size // 8 + 1)
                 failed[at >> 3] |= 1 << (at & 7)
                 skip = len(out.pop())
                 at -= skip
-                last = out[-1] if out else ""
+                known = path.pop()
         return out
 
     def to_ids(self, pieces: list[str]) -> list[int]:
